@@ -63,8 +63,11 @@ def land_messages(messages: DataFrame, path: str) -> None:
 
 
 def write_objects(messages: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> None:
-    """Messages as Parquet objects of at most so many rows, by topic and partition."""
-    messages.write.mode("append").option("maxRecordsPerFile", rows_per_file).partitionBy("topic", "partition").parquet(path)
+    """Messages as Parquet objects of at most so many rows, by topic and partition.
+
+    The folder is replaced: a stream gives each micro-batch its own, so a replay stores nothing twice.
+    """
+    messages.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).partitionBy("topic", "partition").parquet(path)
 
 
 def write_relational(df: DataFrame, mode: str = "append", **options: str) -> None:

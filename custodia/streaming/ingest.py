@@ -124,17 +124,41 @@ def deduplicated(rows: DataFrame, keys: list[str], event_time: str, delay: str =
 def correlated(
     requests: DataFrame, results: DataFrame, key: str, seconds: int = 30, delay: str = "1 minute"
 ) -> DataFrame:
-    """Requests with each result of the same key within the limit; a request without one is a timeout.
+    """Requests marked ``answered`` when a result of the same key follows within the limit, else ``timeout``.
 
-    Both sides need a ``ts`` timestamp. The watermarks bound the state; timeouts are emitted when
-    the watermark has passed the limit.
+    Both sides need a ``ts`` timestamp. Time is cut into slots as long as the limit. An answer lies
+    in the slot of its request or the next one, so per key and slot it is enough to know the last
+    result in the slot and the first in the one after. Every request then meets at most one row,
+    and a busy key is spread over its slots. The watermarks bound the state.
     """
-    asked = requests.withWatermark("ts", delay).alias("q")
-    answered = results.select(F.col(key).alias("_k"), F.col("ts").alias("result_ts")).withWatermark("result_ts", delay)
+    slot = F.floor(F.unix_micros("ts") / (seconds * 1_000_000))
     limit = F.expr(f"INTERVAL {seconds} SECONDS")
-    within = (F.col(f"q.{key}") == F.col("_k")) & F.col("result_ts").between(F.col("q.ts"), F.col("q.ts") + limit)
+    asked = requests.withWatermark("ts", delay).withColumn("_slot", slot)
+
+    late = F.col("ts") >= F.col("_w.start") + limit
+    answers = (
+        results.select(key, "ts")
+        .withWatermark("ts", delay)
+        .withColumn("_w", F.window("ts", f"{2 * seconds} seconds", f"{seconds} seconds"))
+        .groupBy(key, "_w")
+        .agg(F.max(F.when(~late, F.col("ts"))).alias("_last_own"), F.min(F.when(late, F.col("ts"))).alias("_first_next"))
+        .select(
+            F.col(key).alias("_k"),
+            F.window_time("_w").alias("_t"),
+            F.floor(F.unix_micros("_w.start") / (seconds * 1_000_000)).alias("_s"),
+            "_last_own",
+            "_first_next",
+        )
+    )
+    same = (F.col(key) == F.col("_k")) & (F.col("_slot") == F.col("_s"))
+    bounded = F.col("_t").between(F.col("ts"), F.col("ts") + limit + limit)
+    found = (F.col("_last_own") >= F.col("ts")) | (F.col("_first_next") <= F.col("ts") + limit)
     status = F.when(F.col("_k").isNull(), "timeout").otherwise("answered")
-    return asked.join(answered, within, "leftOuter").withColumn("status", status).drop("_k")
+    return (
+        asked.join(answers, same & bounded & found, "leftOuter")
+        .withColumn("status", status)
+        .select(*requests.columns, "status")
+    )
 
 
 def await_all(queries: list[StreamingQuery]) -> None:

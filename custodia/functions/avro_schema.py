@@ -11,19 +11,19 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from custodia.functions.json_schema import _Node, undecodable_rules
+from custodia.functions.json_schema import Fields, Node, undecodable_rules
 from custodia.functions.rules import Rule
 
 INT_RANGE = (-(2**31), 2**31 - 1)
 
 
-def _decimal_fits(node: _Node, precision: int, scale: int) -> Column:
+def _decimal_fits(node: Node, precision: int, scale: int) -> Column:
     carrier = node.is_type("number") | node.is_type("string")
-    exact = F.try_variant_get(node.document, node.path, "string").try_cast("decimal(38,18)")
+    exact = node.text.try_cast("decimal(38,18)")
     return carrier & (exact == exact.try_cast(f"decimal({precision},{scale})"))
 
 
-def _matches(avro_type: object, node: _Node) -> Column:
+def _matches(avro_type: object, node: Node) -> Column:
     if isinstance(avro_type, list):
         ok = F.lit(False)
         for branch in avro_type:
@@ -40,11 +40,10 @@ def _matches(avro_type: object, node: _Node) -> Column:
     if avro_type in ("float", "double"):
         return node.is_type("number")
     if avro_type in ("int", "long"):
-        whole = node.json_type == "BIGINT"
+        whole = node.json_type == "BIG"
         if avro_type == "long":
             return whole
-        as_long = F.try_variant_get(node.document, node.path, "bigint")
-        return whole & as_long.between(*INT_RANGE)
+        return whole & node.whole.between(*INT_RANGE)
     raise ValueError(f"unsupported Avro type {avro_type!r}")
 
 
@@ -52,20 +51,20 @@ def _accepts_null(avro_type: object) -> bool:
     return avro_type == "null" or (isinstance(avro_type, list) and "null" in avro_type)
 
 
-def avro_rules(schema: dict, document: Column, value: Column) -> list[Rule]:
-    """Rules of an Avro record document for a parsed message."""
+def avro_rules(schema: dict, fields: Fields, value: Column) -> list[Rule]:
+    """Rules of an Avro record document for a parsed message; ``fields.staged`` holds what they read."""
     if schema.get("type") != "record":
         raise ValueError("only Avro records are supported")
-    root = _Node(document, ())
+    root = Node(fields, ())
     is_object = root.is_type("object")
     names = F.array(*[F.lit(f["name"]) for f in schema["fields"]])
     rules = [
-        *undecodable_rules(document, value),
-        Rule("$", "type", document.isNotNull() & ~is_object, "not an object"),
+        *undecodable_rules(fields, value),
+        Rule("$", "type", ~is_object, "not an object"),
         Rule("$", "unknown_field", F.size(F.array_except(F.json_object_keys(value), names)) > 0, "unknown key"),
     ]
     for field in schema["fields"]:
-        node = _Node(document, (field["name"],))
+        node = root.child(field["name"])
         wrong = node.present & ~F.coalesce(_matches(field["type"], node), F.lit(False))
         rules.append(Rule(field["name"], "type", is_object & wrong, "value does not fit the type"))
         if "default" not in field and not _accepts_null(field["type"]):

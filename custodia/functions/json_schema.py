@@ -7,6 +7,8 @@ keyword stops the job on the driver instead of being skipped.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -20,6 +22,17 @@ SUPPORTED = {
     "minLength", "maxLength", "enum", "minimum", "maximum", "format",
 }
 
+# What a VARIANT calls the JSON types: STRING, VOID, BOOLEAN, BIGINT, DECIMAL(p,s), DOUBLE, FLOAT,
+# OBJECT<...>, ARRAY<...>. Three letters tell them apart.
+VARIANT_TYPES = {
+    "string": ["STR"],
+    "null": ["VOI"],
+    "boolean": ["BOO"],
+    "number": ["BIG", "DEC", "DOU", "FLO"],
+    "object": ["OBJ"],
+    "array": ["ARR"],
+}
+
 IPV4 = r"^((25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(\.|$)){4}(?<!\.)$"
 
 
@@ -35,45 +48,85 @@ def path_of(*keys: str) -> str:
     return "$" + "".join(f"['{key}']" for key in keys)
 
 
-class _Node:
+class Fields:
+    """Types and values of a document's fields, to be added to the frame before the rules.
+
+    Each is computed once per message however many rules look at it, and the rules stay small
+    enough to compile.
+    """
+
+    def __init__(self, document: str, prefix: str = "_f"):
+        self.document, self.prefix = document, prefix
+        self.staged: dict[str, Column] = {}
+        self._references: dict[tuple[str, str], Column] = {}
+        self._tests: dict[tuple[str, str], Column] = {}
+
+    def stage(self, kind: str, path: str, build: Callable[[], Column]) -> Column:
+        """Reference to a field's type or value; ``build`` is called on first use."""
+        if (kind, path) not in self._references:
+            name = f"{self.prefix}{len(self._references)}"
+            self.staged[name] = build()
+            self._references[kind, path] = F.col(name)
+        return self._references[kind, path]
+
+    def test(self, name: str, path: str, build: Callable[[], Column]) -> Column:
+        """A type test, built once."""
+        if (name, path) not in self._tests:
+            self._tests[name, path] = build()
+        return self._tests[name, path]
+
+
+class Node:
     """One place in the document: its JSON type and typed values as columns."""
 
-    def __init__(self, document: Column, keys: tuple[str, ...]):
-        self.document, self.keys = document, keys
+    def __init__(self, fields: Fields, keys: tuple[str, ...]):
+        self.fields, self.keys = fields, keys
         self.path = path_of(*keys)
-        self.variant = F.try_variant_get(document, self.path, "variant") if keys else document
-        self.json_type = F.schema_of_variant(self.variant)
+
+    def child(self, key: str) -> Node:
+        return Node(self.fields, (*self.keys, key))
+
+    def _get(self, kind: str) -> Column:
+        return F.try_variant_get(self.fields.document, self.path, kind)
+
+    @property
+    def json_type(self) -> Column:
+        return self.fields.stage(
+            "type", self.path, lambda: F.substring(F.schema_of_variant(self._get("variant")), 1, 3)
+        )
 
     @property
     def present(self) -> Column:
-        return self.variant.isNotNull()
+        return self.fields.test("present", self.path, self.json_type.isNotNull)
 
     @property
     def text(self) -> Column:
-        return F.try_variant_get(self.document, self.path, "string")
+        return self.fields.stage("text", self.path, lambda: self._get("string"))
 
     @property
     def number(self) -> Column:
-        return F.try_variant_get(self.document, self.path, "double")
+        return self.fields.stage("number", self.path, lambda: self._get("double"))
+
+    @property
+    def whole(self) -> Column:
+        return self.fields.stage("whole", self.path, lambda: self._get("bigint"))
+
+    def is_any(self, names: list[str]) -> Column:
+        """True when the value has one of the JSON types."""
+        plain = [n for n in names if n != "integer"]
+        known = self.json_type.isin([v for n in plain for v in VARIANT_TYPES[n]]) if plain else F.lit(False)
+        return known | self.is_type("integer") if "integer" in names else known
 
     def is_type(self, name: str) -> Column:
-        t = self.json_type
-        number = (t == "BIGINT") | t.startswith("DECIMAL") | (t == "DOUBLE") | (t == "FLOAT")
-        if name == "string":
-            return t == "STRING"
-        if name == "null":
-            return t == "VOID"
-        if name == "boolean":
-            return t == "BOOLEAN"
-        if name == "number":
-            return number
+        return self.fields.test(name, self.path, lambda: self._type_test(name))
+
+    def _type_test(self, name: str) -> Column:
         if name == "integer":
-            return (t == "BIGINT") | (number & (self.number == F.floor(self.number)))
-        if name == "object":
-            return t.startswith("OBJECT")
-        if name == "array":
-            return t.startswith("ARRAY")
-        raise ValueError(f"unknown JSON Schema type {name!r}")
+            whole_number = self.is_type("number") & (self.number == F.floor(self.number))
+            return (self.json_type == "BIG") | whole_number
+        if name not in VARIANT_TYPES:
+            raise ValueError(f"unknown JSON Schema type {name!r}")
+        return self.json_type.isin(VARIANT_TYPES[name])
 
 
 def _format_broken(name: str, text: Column) -> Column:
@@ -88,7 +141,7 @@ def _format_broken(name: str, text: Column) -> Column:
     raise ValueError(f"unknown format {name!r}")
 
 
-def _node_rules(schema: dict, node: _Node, value: Column, enforce_formats: bool) -> list[Rule]:
+def _node_rules(schema: dict, node: Node, value: Column, enforce_formats: bool) -> list[Rule]:
     unknown = set(schema) - SUPPORTED - ANNOTATIONS
     if unknown:
         raise ValueError(f"unsupported JSON Schema keywords: {sorted(unknown)}")
@@ -100,16 +153,13 @@ def _node_rules(schema: dict, node: _Node, value: Column, enforce_formats: bool)
 
     if "type" in schema:
         names = [schema["type"]] if isinstance(schema["type"], str) else schema["type"]
-        ok = node.is_type(names[0])
-        for name in names[1:]:
-            ok = ok | node.is_type(name)
-        add("type", node.present & ~ok, f"not of type {' or '.join(names)}")
+        add("type", node.present & ~node.is_any(names), f"not of type {' or '.join(names)}")
     if "enum" in schema:
         if not all(isinstance(v, str) for v in schema["enum"]):
             raise ValueError(f"only text values are supported in enum: {field}")
         ok = node.is_type("string") & node.text.isin(schema["enum"])
         add("enum", node.present & ~ok, "not an allowed value")
-    is_text = node.is_type("string")
+    is_text = node.is_type("string") if {"pattern", "minLength", "maxLength", "format"} & set(schema) else None
     if "pattern" in schema:
         add("pattern", is_text & ~python_search(node.text, schema["pattern"]), "does not match the pattern")
     if "minLength" in schema:
@@ -123,9 +173,10 @@ def _node_rules(schema: dict, node: _Node, value: Column, enforce_formats: bool)
     if enforce_formats and "format" in schema:
         add("format", is_text & _format_broken(schema["format"], node.text), f"not a valid {schema['format']}")
 
-    is_object = node.is_type("object")
+    nested = {"required", "additionalProperties"} & set(schema)
+    is_object = node.is_type("object") if nested else None
     for key in schema.get("required", []):
-        child = _Node(node.document, (*node.keys, key))
+        child = node.child(key)
         rules.append(Rule(".".join(child.keys), "required", is_object & ~child.present, "key is missing"))
     if schema.get("additionalProperties", True) is False:
         if node.keys:
@@ -136,24 +187,23 @@ def _node_rules(schema: dict, node: _Node, value: Column, enforce_formats: bool)
     elif schema.get("additionalProperties", True) is not True:
         raise ValueError("additionalProperties must be true or false")
     for key, sub in schema.get("properties", {}).items():
-        rules += _node_rules(sub, _Node(node.document, (*node.keys, key)), value, enforce_formats)
+        rules += _node_rules(sub, node.child(key), value, enforce_formats)
     return rules
 
 
-def json_schema_rules(schema: dict, document: Column, value: Column, enforce_formats: bool = False) -> list[Rule]:
-    """Rules of a document for a parsed message.
+def json_schema_rules(schema: dict, fields: Fields, value: Column, enforce_formats: bool = False) -> list[Rule]:
+    """Rules of a document for a parsed message; ``fields.staged`` then holds the columns they read.
 
-    ``document`` is ``try_parse_json(value)``; keep it as a column of the frame so that a message is
-    parsed once. ``format`` is an annotation unless ``enforce_formats`` is set.
+    ``format`` is an annotation unless ``enforce_formats`` is set.
     """
-    return [*undecodable_rules(document, value), *_node_rules(schema, _Node(document, ()), value, enforce_formats)]
+    return [*undecodable_rules(fields, value), *_node_rules(schema, Node(fields, ()), value, enforce_formats)]
 
 
-def undecodable_rules(document: Column, value: Column) -> list[Rule]:
+def undecodable_rules(fields: Fields, value: Column) -> list[Rule]:
     """A null message and text that is not JSON are invalid."""
     return [
         Rule("$", "null_message", value.isNull(), "message is null"),
-        Rule("$", "undecodable", value.isNotNull() & document.isNull(), "not JSON"),
+        Rule("$", "undecodable", value.isNotNull() & F.col(fields.document).isNull(), "not JSON"),
     ]
 
 

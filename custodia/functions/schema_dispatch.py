@@ -7,34 +7,33 @@ from pyspark.sql import functions as F
 
 from custodia.contracts import AVRO_SUFFIX, JSON_SUFFIX
 from custodia.functions.avro_schema import avro_rules
-from custodia.functions.json_schema import json_schema_rules
+from custodia.functions.json_schema import Fields, json_schema_rules
 from custodia.functions.rules import Rule, all_hold, validate
 
 DOCUMENT = "_document"
 
 
-def parse_document(df: DataFrame, value: str = "value") -> DataFrame:
-    """Add the parsed message; null when it is not JSON."""
-    return df.withColumn(DOCUMENT, F.try_parse_json(value))
-
-
-def rules_for(schema_path: str, schema: dict, document: Column, value: Column, **options) -> list[Rule]:
+def rules_for(schema_path: str, schema: dict, fields: Fields, value: Column, **options) -> list[Rule]:
     """Rules by the dialect that the path's suffix names."""
     if schema_path.endswith(JSON_SUFFIX):
-        return json_schema_rules(schema, document, value, **options)
+        return json_schema_rules(schema, fields, value, **options)
     if schema_path.endswith(AVRO_SUFFIX):
-        return avro_rules(schema, document, value)
+        return avro_rules(schema, fields, value)
     raise ValueError(f"unknown schema dialect: {schema_path!r}")
 
 
 def validate_messages(
     df: DataFrame, schema_path: str, schema: dict, value: str = "value", enforce_formats: bool = False
 ) -> DataFrame:
-    """Add ``is_valid`` and ``errors`` for messages that all follow one schema."""
+    """Add ``is_valid`` and ``errors`` for messages that all follow one schema.
+
+    A message is parsed once, each of its fields is looked up once, and the rules read those columns.
+    """
     options = {"enforce_formats": enforce_formats} if schema_path.endswith(JSON_SUFFIX) else {}
-    parsed = parse_document(df, value)
-    rules = rules_for(schema_path, schema, F.col(DOCUMENT), F.col(value), **options)
-    return validate(parsed, rules).drop(DOCUMENT)
+    fields = Fields(DOCUMENT)
+    rules = rules_for(schema_path, schema, fields, F.col(value), **options)
+    staged = df.withColumn(DOCUMENT, F.try_parse_json(value)).withColumns(fields.staged)
+    return validate(staged, rules).drop(DOCUMENT, *fields.staged)
 
 
 def validate_by_path(
@@ -43,9 +42,12 @@ def validate_by_path(
     """Add ``is_valid`` for messages that each name a schema.
 
     A path without a document, with another suffix, empty or null makes the message invalid.
+    Schemas share the looked-up fields, so a field that several of them check is read once.
     """
+    fields = Fields(DOCUMENT)
     verdict = F.lit(False)
     for schema_path, schema in catalogue.items():
-        rules = rules_for(schema_path, schema, F.col(DOCUMENT), F.col(value))
+        rules = rules_for(schema_path, schema, fields, F.col(value))
         verdict = F.when(F.col(path) == schema_path, all_hold(rules)).otherwise(verdict)
-    return parse_document(df, value).withColumn("is_valid", verdict).drop(DOCUMENT)
+    staged = df.withColumn(DOCUMENT, F.try_parse_json(value)).withColumns(fields.staged)
+    return staged.withColumn("is_valid", verdict).drop(DOCUMENT, *fields.staged)

@@ -16,9 +16,6 @@ ARCHIVE_REASONS = {MAX_RETRY: "Max retry atteint", VALIDATION_FAILED: "Validatio
 RETRY_MANAGER_REASONS = {MAX_RETRY: "Nombre max de retry atteint", VALIDATION_FAILED: "Validation échouée"}
 MAX_RETRY_EXCEEDED = "MaxRetryExceeded"
 
-# Envelope of a dead letter. The payload stays JSON text, so nothing of it is lost.
-ENVELOPE = "payload string, schema_path string, retry_count int, last_retry_at string"
-
 
 def dlq_name(topic: str) -> str:
     """Dead-letter topic of a topic."""
@@ -26,16 +23,26 @@ def dlq_name(topic: str) -> str:
 
 
 def parse_envelope(messages: DataFrame, value: str = "value") -> DataFrame:
-    """Envelope fields of dead letters; ``decodable`` is false for text that is not a JSON object."""
-    text = F.col(value).cast("string")
-    # from_json into a string field keeps the JSON text of a nested object.
-    envelope = F.from_json(text, ENVELOPE)
+    """Envelope fields of dead letters; ``decodable`` is false for text that is not a JSON object.
+
+    The payload stays JSON text, whatever its type, so nothing of it is lost. A missing payload is
+    an empty object and a missing schema path is empty.
+    """
     kept = [c for c in messages.columns if c != value]
+    envelope = F.col("_e")
+    payload = F.to_json(F.try_variant_get(envelope, "$.payload", "variant"))
     return (
-        messages.withColumn("message", text)
-        .withColumn("decodable", F.json_object_keys("message").isNotNull())
-        .withColumn("_e", envelope)
-        .select(*kept, "message", "decodable", "_e.*")
+        messages.withColumn("message", F.col(value).cast("string"))
+        .withColumn("_e", F.try_parse_json("message"))
+        .select(
+            *kept,
+            "message",
+            F.coalesce(F.schema_of_variant(envelope).startswith("OBJECT"), F.lit(False)).alias("decodable"),
+            F.coalesce(payload, F.lit("{}")).alias("payload"),
+            F.coalesce(F.try_variant_get(envelope, "$.schema_path", "string"), F.lit("")).alias("schema_path"),
+            F.try_variant_get(envelope, "$.retry_count", "int").alias("retry_count"),
+            F.try_variant_get(envelope, "$.last_retry_at", "string").alias("last_retry_at"),
+        )
     )
 
 

@@ -51,7 +51,7 @@ def _accepts_null(avro_type: object) -> bool:
     return avro_type == "null" or (isinstance(avro_type, list) and "null" in avro_type)
 
 
-def avro_rules(schema: dict, fields: Fields, value: Column) -> list[Rule]:
+def avro_rules(schema: dict, fields: Fields) -> list[Rule]:
     """Rules of an Avro record document for a parsed message; ``fields.staged`` holds what they read."""
     if schema.get("type") != "record":
         raise ValueError("only Avro records are supported")
@@ -59,9 +59,9 @@ def avro_rules(schema: dict, fields: Fields, value: Column) -> list[Rule]:
     is_object = root.is_type("object")
     names = F.array(*[F.lit(f["name"]) for f in schema["fields"]])
     rules = [
-        *undecodable_rules(fields, value),
+        *undecodable_rules(fields),
         Rule("$", "type", ~is_object, "not an object"),
-        Rule("$", "unknown_field", F.size(F.array_except(F.json_object_keys(value), names)) > 0, "unknown key"),
+        Rule("$", "unknown_field", F.size(F.array_except(F.json_object_keys(fields.value), names)) > 0, "unknown key"),
     ]
     for field in schema["fields"]:
         node = root.child(field["name"])

@@ -55,8 +55,8 @@ class Fields:
     enough to compile.
     """
 
-    def __init__(self, document: str, prefix: str = "_f"):
-        self.document, self.prefix = document, prefix
+    def __init__(self, document: str, value: str, prefix: str = "_f"):
+        self.document, self.value, self.prefix = document, value, prefix
         self.staged: dict[str, Column] = {}
         self._references: dict[tuple[str, str], Column] = {}
         self._tests: dict[tuple[str, str], Column] = {}
@@ -91,9 +91,17 @@ class Node:
 
     @property
     def json_type(self) -> Column:
-        return self.fields.stage(
-            "type", self.path, lambda: F.substring(F.schema_of_variant(self._get("variant")), 1, 3)
-        )
+        return self.fields.stage("type", self.path, self._json_type if self.keys else self._root_type)
+
+    def _json_type(self) -> Column:
+        return F.substring(F.schema_of_variant(self._get("variant")), 1, 3)
+
+    def _root_type(self) -> Column:
+        # Spelling out the schema of the whole message is dear, and an object shows by its first character.
+        opened = F.ltrim(self.fields.value, F.lit(" \t\r\n")).startswith("{")
+        document = F.col(self.fields.document)
+        whole = F.substring(F.schema_of_variant(document), 1, 3)
+        return F.when(opened & document.isNotNull(), VARIANT_TYPES["object"][0]).otherwise(whole)
 
     @property
     def present(self) -> Column:
@@ -141,7 +149,7 @@ def _format_broken(name: str, text: Column) -> Column:
     raise ValueError(f"unknown format {name!r}")
 
 
-def _node_rules(schema: dict, node: Node, value: Column, enforce_formats: bool) -> list[Rule]:
+def _node_rules(schema: dict, node: Node, enforce_formats: bool) -> list[Rule]:
     unknown = set(schema) - SUPPORTED - ANNOTATIONS
     if unknown:
         raise ValueError(f"unsupported JSON Schema keywords: {sorted(unknown)}")
@@ -182,25 +190,26 @@ def _node_rules(schema: dict, node: Node, value: Column, enforce_formats: bool)
         if node.keys:
             raise ValueError("additionalProperties: false is supported at the top level only")
         allowed = F.array(*[F.lit(k) for k in schema.get("properties", {})]).cast("array<string>")
-        extra = F.array_except(F.json_object_keys(value), allowed)
+        extra = F.array_except(F.json_object_keys(node.fields.value), allowed)
         add("additionalProperties", is_object & (F.size(extra) > 0), "unknown key")
     elif schema.get("additionalProperties", True) is not True:
         raise ValueError("additionalProperties must be true or false")
     for key, sub in schema.get("properties", {}).items():
-        rules += _node_rules(sub, node.child(key), value, enforce_formats)
+        rules += _node_rules(sub, node.child(key), enforce_formats)
     return rules
 
 
-def json_schema_rules(schema: dict, fields: Fields, value: Column, enforce_formats: bool = False) -> list[Rule]:
+def json_schema_rules(schema: dict, fields: Fields, enforce_formats: bool = False) -> list[Rule]:
     """Rules of a document for a parsed message; ``fields.staged`` then holds the columns they read.
 
     ``format`` is an annotation unless ``enforce_formats`` is set.
     """
-    return [*undecodable_rules(fields, value), *_node_rules(schema, Node(fields, ()), value, enforce_formats)]
+    return [*undecodable_rules(fields), *_node_rules(schema, Node(fields, ()), enforce_formats)]
 
 
-def undecodable_rules(fields: Fields, value: Column) -> list[Rule]:
+def undecodable_rules(fields: Fields) -> list[Rule]:
     """A null message and text that is not JSON are invalid."""
+    value = F.col(fields.value)
     return [
         Rule("$", "null_message", value.isNull(), "message is null"),
         Rule("$", "undecodable", value.isNotNull() & F.col(fields.document).isNull(), "not JSON"),

@@ -50,11 +50,20 @@ def _none_set(flags: list[Column]) -> Column:
     return ~F.array_contains(F.array(*flags), True) if flags else F.lit(True)
 
 
+def evaluated_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Add columns that later filters read but do not evaluate again.
+
+    A filter on an ordinary computed column is pushed below the projection with the whole
+    expression copied into it. The output of a generator stays where it is, while filters on the
+    other columns still reach the scan.
+    """
+    return df.select("*", F.stack(F.lit(1), *columns.values()).alias(*columns))
+
+
 def validate(df: DataFrame, rules: list[Rule], normalised: list[Column] | None = None) -> DataFrame:
     """Add ``is_valid`` and ``errors`` (all broken rules, in rule order).
 
-    With ``normalised`` also add ``data``, a struct that is null for invalid records. The outcome
-    of every rule is a column first, so that each rule is evaluated once.
+    With ``normalised`` also add ``data``, a struct that is null for invalid records.
     """
     flags = {f"_broken{i}": rule.fails for i, rule in enumerate(rules)}
     ok = _none_set([F.col(name) for name in flags])
@@ -63,7 +72,7 @@ def validate(df: DataFrame, rules: list[Rule], normalised: list[Column] | None =
     added = {"is_valid": ok, "errors": F.when(ok, none).otherwise(broken)}
     if normalised is not None:
         added["data"] = F.when(ok, F.struct(*normalised))
-    return df.withColumns(flags).withColumns(added).drop(*flags)
+    return evaluated_once(df, flags).withColumns(added).drop(*flags)
 
 
 def error_codes(errors: str = "errors") -> Column:

@@ -2,23 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from custodia.contracts import AVRO_SUFFIX, JSON_SUFFIX
 from custodia.functions.avro_schema import avro_rules
 from custodia.functions.json_schema import Fields, json_schema_rules
-from custodia.functions.rules import Rule, all_hold, validate
+from custodia.functions.rules import Rule, all_hold, evaluated_once, validate
 
 DOCUMENT = "_document"
 
 
-def rules_for(schema_path: str, schema: dict, fields: Fields, value: Column, **options) -> list[Rule]:
+def rules_for(schema_path: str, schema: dict, fields: Fields, **options) -> list[Rule]:
     """Rules by the dialect that the path's suffix names."""
     if schema_path.endswith(JSON_SUFFIX):
-        return json_schema_rules(schema, fields, value, **options)
+        return json_schema_rules(schema, fields, **options)
     if schema_path.endswith(AVRO_SUFFIX):
-        return avro_rules(schema, fields, value)
+        return avro_rules(schema, fields)
     raise ValueError(f"unknown schema dialect: {schema_path!r}")
 
 
@@ -30,8 +30,8 @@ def validate_messages(
     A message is parsed once, each of its fields is looked up once, and the rules read those columns.
     """
     options = {"enforce_formats": enforce_formats} if schema_path.endswith(JSON_SUFFIX) else {}
-    fields = Fields(DOCUMENT)
-    rules = rules_for(schema_path, schema, fields, F.col(value), **options)
+    fields = Fields(DOCUMENT, value)
+    rules = rules_for(schema_path, schema, fields, **options)
     staged = df.withColumn(DOCUMENT, F.try_parse_json(value)).withColumns(fields.staged)
     return validate(staged, rules).drop(DOCUMENT, *fields.staged)
 
@@ -44,10 +44,10 @@ def validate_by_path(
     A path without a document, with another suffix, empty or null makes the message invalid.
     Schemas share the looked-up fields, so a field that several of them check is read once.
     """
-    fields = Fields(DOCUMENT)
+    fields = Fields(DOCUMENT, value)
     verdict = F.lit(False)
     for schema_path, schema in catalogue.items():
-        rules = rules_for(schema_path, schema, fields, F.col(value))
+        rules = rules_for(schema_path, schema, fields)
         verdict = F.when(F.col(path) == schema_path, all_hold(rules)).otherwise(verdict)
     staged = df.withColumn(DOCUMENT, F.try_parse_json(value)).withColumns(fields.staged)
-    return staged.withColumn("is_valid", verdict).drop(DOCUMENT, *fields.staged)
+    return evaluated_once(staged, {"is_valid": verdict}).drop(DOCUMENT, *fields.staged)

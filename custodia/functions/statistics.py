@@ -31,16 +31,13 @@ def attach(df: DataFrame, per_group: DataFrame, by: list[str]) -> DataFrame:
     return df.join(renamed, same).drop(*[f"_k_{c}" for c in by])
 
 
-def _position(n: Column, fraction: Fraction, method: str) -> tuple[Column, Column]:
-    """1-based lower rank and the numerator of the interpolation weight."""
+def _rank_and_weight(fraction: Fraction, method: str) -> tuple[str, str]:
+    """SQL for the 1-based lower rank among ``_n`` values and the numerator of the interpolation weight."""
     i, k = fraction
     if method == "exclusive":
-        scaled = (n + 1) * F.lit(i)
-        rank = F.greatest(F.lit(1), F.least(n - 1, F.floor(scaled / k)))
-        return rank, scaled - rank * k
-    scaled = (n - 1) * F.lit(i)
-    rank = F.floor(scaled / k) + 1
-    return rank, scaled - (rank - 1) * k
+        rank = f"greatest(1, least(_n - 1, ({i} * (_n + 1)) div {k}))"
+        return f"if(_n < {k}, _n, {rank})", f"if(_n < {k}, 0, {i} * (_n + 1) - {rank} * {k})"
+    return f"({i} * (_n - 1)) div {k} + 1", f"({i} * (_n - 1)) % {k}"
 
 
 def exact_quantiles(
@@ -64,64 +61,56 @@ def exact_quantiles(
     replaced by the whole range, so the result does not depend on the sketch.
     """
     by = by or []
+    parts = range(len(fractions))
     values = df.select(*by, F.col(value).cast("double").alias("_v"))
     margin = 2.0 / accuracy
-    edges: list[float] = []
-    for i, k in fractions.values():
-        edges += [max(0.0, i / k - margin), min(1.0, i / k + margin)]
+    edges = [e for i, k in fractions.values() for e in (max(0.0, i / k - margin), min(1.0, i / k + margin))]
 
     sketch = values.groupBy(*by).agg(
-        F.count("_v").alias("_n"),
-        F.percentile_approx("_v", edges, accuracy).alias("_edges"),
+        F.count("_v").alias("_n"), F.percentile_approx("_v", edges, accuracy).alias("_edges")
     )
-    bounded = attach(values, sketch, by)
-    counted = []
-    for p in range(len(fractions)):
-        lo, hi = F.col("_edges")[2 * p], F.col("_edges")[2 * p + 1]
-        counted += [F.count_if(F.col("_v") < lo).alias(f"_below{p}"), F.count_if(F.col("_v") <= hi).alias(f"_upto{p}")]
-    plan = bounded.groupBy(*by, "_n", "_edges").agg(*counted)
-
-    targets = []
+    counts = [
+        F.expr(text)
+        for p in parts
+        for text in (f"count_if(_v < _edges[{2 * p}]) AS _below{p}", f"count_if(_v <= _edges[{2 * p + 1}]) AS _upto{p}")
+    ]
+    brackets = attach(values, sketch, by).groupBy(*by, "_n", "_edges").agg(*counts)
+
+    ranks, uppers, targets = [], [], []
     for p, fraction in enumerate(fractions.values()):
-        rank, weight = _position(F.col("_n"), fraction, method)
-        if method == "exclusive":
-            short = F.col("_n") < fraction[1]
-            rank = F.when(short, F.col("_n")).otherwise(rank)
-            weight = F.when(short, F.lit(0)).otherwise(weight)
-        upper = F.when(weight > 0, rank + 1).otherwise(rank)
-        held = (F.col(f"_below{p}") < rank) & (F.col(f"_upto{p}") >= upper)
+        rank, weight = _rank_and_weight(fraction, method)
+        ranks += [f"{rank} AS _r{p}", f"{weight} AS _w{p}"]
+        uppers.append(f"if(_w{p} > 0, _r{p} + 1, _r{p}) AS _u{p}")
+        held = f"_below{p} < _r{p} AND _upto{p} >= _u{p}"
         targets.append(
-            F.struct(
-                F.lit(p).alias("p"),
-                rank.cast("bigint").alias("rank"),
-                upper.cast("bigint").alias("upper"),
-                weight.cast("double").alias("weight"),
-                F.when(held, F.col("_edges")[2 * p]).otherwise(F.lit(float("-inf"))).alias("lo"),
-                F.when(held, F.col("_edges")[2 * p + 1]).otherwise(F.lit(float("inf"))).alias("hi"),
-                F.when(held, F.col(f"_below{p}")).otherwise(F.lit(0)).cast("bigint").alias("below"),
-            )
+            f"named_struct('p', {p}, 'rank', _r{p}, 'upper', _u{p}, 'weight', _w{p},"
+            f" 'lo', if({held}, _edges[{2 * p}], double('-Infinity')),"
+            f" 'hi', if({held}, _edges[{2 * p + 1}], double('Infinity')),"
+            f" 'below', if({held}, _below{p}, 0L))"
         )
-    plan = plan.select(*by, F.array(*targets).alias("_targets"))
+    plan = (
+        brackets.selectExpr("*", *ranks)
+        .selectExpr("*", *uppers)
+        .select(*by, F.expr(f"array({', '.join(targets)})").alias("_targets"))
+    )
 
-    near = attach(values, plan, by)
-    inside = [F.col("_v").between(F.col("_targets")[p]["lo"], F.col("_targets")[p]["hi"]) for p in range(len(fractions))]
-    near = near.filter(reduce(lambda a, b: a | b, inside))
-    hits = F.array(*[F.when(c, F.col("_targets")[p]) for p, c in enumerate(inside)])
-    spread = near.select(*by, "_v", F.explode(F.array_compact(hits)).alias("_t"))
+    inside = [f"_v BETWEEN _targets[{p}].lo AND _targets[{p}].hi" for p in parts]
+    hits = ", ".join(f"if({test}, _targets[{p}], NULL)" for p, test in enumerate(inside))
+    spread = (
+        attach(values, plan, by)
+        .filter(" OR ".join(inside))
+        .select(*by, "_v", F.expr(f"explode(array_compact(array({hits})))").alias("_t"))
+    )
     tallied = spread.groupBy(*by, "_t", "_v").agg(F.count("*").alias("_c"))
     order = Window.partitionBy(*by, "_t.p").orderBy("_v")
     ranked = tallied.withColumn("_cum", F.col("_t.below") + F.sum("_c").over(order))
-    picked = ranked.groupBy(*by, F.col("_t.p").alias("_p")).agg(
-        F.min(F.when(F.col("_cum") >= F.col("_t.rank"), F.col("_v"))).alias("_x"),
-        F.min(F.when(F.col("_cum") >= F.col("_t.upper"), F.col("_v"))).alias("_y"),
-        F.first("_t.weight").alias("_w"),
+    picked = ranked.groupBy(*by, F.col("_t.p").alias("_p"), F.col("_t.weight").alias("_w")).agg(
+        F.expr("min(if(_cum >= _t.rank, _v, NULL))").alias("_x"), F.expr("min(if(_cum >= _t.upper, _v, NULL))").alias("_y")
     )
     columns = []
     for p, (name, (_, k)) in enumerate(fractions.items()):
-        x, y, w = F.col("_x"), F.col("_y"), F.col("_w")
-        mixed = (x * (F.lit(k) - w) + y * w) / k if method == "exclusive" else x + (y - x) * (w / k)
-        mixed = F.when(w == 0, x).otherwise(mixed)
-        columns.append(F.max(F.when(F.col("_p") == p, mixed)).alias(name))
+        mixed = f"(_x * ({k} - _w) + _y * _w) / {k}" if method == "exclusive" else f"_x + (_y - _x) * (_w / {k})"
+        columns.append(F.expr(f"max(if(_p = {p}, if(_w = 0, _x, {mixed}), NULL))").alias(name))
     return picked.groupBy(*by).agg(*columns)
 
 

@@ -55,22 +55,19 @@ def stability_index(reference: DataFrame, current: DataFrame, features: list[str
     edges = exact_quantiles(stacked.filter(F.col("r") == 1), "v", cuts, ["feature"], "inclusive")
     # One row per feature named in the call: bounded by the argument list.
     binned = stacked.join(F.broadcast(edges), "feature")
-    number = F.lit(0)
-    for name in cuts:
-        number = number + (F.col("v") > F.col(name)).cast("int")
-    counts = binned.select("feature", number.alias("bin"), "r", "c").groupBy("feature").pivot(
-        "bin", list(range(bins))
-    ).agg(F.sum("r").alias("r"), F.sum("c").alias("c"))
-
-    def total(side: str) -> Column:
-        return sum((F.coalesce(F.col(f"{b}_{side}"), F.lit(0)) for b in range(bins)), F.lit(0))
-
-    def share(b: int, side: str) -> Column:
-        part = F.try_divide(F.coalesce(F.col(f"{b}_{side}"), F.lit(0)), total(side))
-        return F.greatest(part, F.lit(EMPTY_BIN_SHARE))
-
-    terms = [(share(b, "c") - share(b, "r")) * F.ln(share(b, "c") / share(b, "r")) for b in range(bins)]
-    return counts.select("feature", sum(terms, F.lit(0.0)).alias("psi"))
+    number = F.expr(" + ".join(f"int(v > {name})" for name in cuts)).alias("bin")
+    counts = binned.select("feature", number, "r", "c").groupBy("feature", "bin").agg(
+        F.sum("r").alias("r"), F.sum("c").alias("c")
+    )
+    sizes = counts.groupBy("feature").agg(F.sum("r").alias("n_reference"), F.sum("c").alias("n_current"))
+    # A bin that is empty on both sides adds nothing, so it need not have a row.
+    floor = F.lit(EMPTY_BIN_SHARE)
+    shares = counts.join(sizes, "feature").select(
+        "feature",
+        F.greatest(F.try_divide("r", "n_reference"), floor).alias("p"),
+        F.greatest(F.try_divide("c", "n_current"), floor).alias("q"),
+    )
+    return shares.groupBy("feature").agg(F.expr("sum((q - p) * ln(q / p))").alias("psi"))
 
 
 def category_drift(reference: DataFrame, current: DataFrame, features: list[str]) -> DataFrame:

@@ -19,6 +19,7 @@ _FROM_TABLE = re.compile(r"\bFROM (" + "|".join(TABLES) + r")\b")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+MODULES: dict[str, str] = {}
 
 
 class Data:
@@ -49,6 +50,7 @@ def query(name: str, sql: str | None = None, views: str = ""):
         if name in QUERIES:
             raise ValueError(f"query {name} is registered twice")
         QUERIES[name] = lambda spark, sf_dir: build(Data(spark, sf_dir))
+        MODULES[name] = build.__module__.rpartition(".")[2]
         if sql is not None:
             ORACLES[name] = with_views(views.split(), sql)
         return build

@@ -1 +1,222 @@
-"""Queries."""
+"""Files, tables and messages: what is written is read back and compared."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from custodia.contracts import builtin
+from custodia.operators import customers
+from custodia.plans import jobs
+from custodia.sources import readers, writers
+from workload.records import PARSED, TXN_ERRORS, TXN_SCHEMA, ntz
+from workload.registry import query
+from workload.tables import as_of
+
+
+def envelope(d):
+    """Transaction messages in the shape of topic messages."""
+    m = d.view("txn_msg")
+    return readers.landed_envelope(m, "transactions", F.col("value"), F.col("msg_offset"), F.col("sent_at"))
+
+
+@query(
+    "crm_csv_scan",
+    # An empty value in a CSV file loads as null.
+    "SELECT customer_id, first_name, email, nullif(phone, '') AS phone, TRY_CAST(updated_at AS TIMESTAMP) AS updated_at FROM crm",
+    "crm",
+)
+def crm_csv_scan(d):
+    path = d.scratch()
+    rows = d.view("crm").drop("c_custkey")
+    rows.write.option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    return readers.read_crm(d.spark, path).select("customer_id", "first_name", "email", "phone", ntz("updated_at"))
+
+
+@query(
+    "kyc_csv_scan",
+    "SELECT customer_id, id_type, id_number, verification_status, risk_level, CAST(verified_at AS TIMESTAMP) AS verified_at FROM kyc",
+    "kyc",
+)
+def kyc_csv_scan(d):
+    path = d.scratch()
+    d.view("kyc").drop("c_custkey", "rep").write.option("header", True).csv(path)
+    return readers.read_kyc(d.spark, path).withColumn("verified_at", F.col("verified_at").cast("timestamp_ntz"))
+
+
+@query(
+    "first_messages",
+    "SELECT msg_offset AS \"offset\", value FROM txn_msg ORDER BY msg_offset LIMIT 10",
+    "txn_msg",
+)
+def first_messages(d):
+    return readers.first_messages(envelope(d), 10).select("offset", F.col("value").cast("string").alias("value"))
+
+
+@query(
+    "warehouse_roundtrip",
+    """SELECT c.customer_id, c.email, k.id_number, k.risk_level FROM crm c JOIN kyc k ON c.customer_id = k.customer_id""",
+    "crm kyc",
+)
+def warehouse_roundtrip(d):
+    path = d.scratch()
+    writers.overwrite_warehouse(customers.integrate(d.view("crm"), d.view("kyc")), path)
+    return readers.read_table(d.spark, path).select("customer_id", "email", "id_number", "risk_level")
+
+
+@query(
+    "warehouse_stage_counts",
+    """SELECT 'crm' AS stage, count(*) AS row_count FROM crm UNION ALL SELECT 'kyc', count(*) FROM kyc
+    UNION ALL SELECT 'integrated', count(*) FROM crm c JOIN kyc k ON c.customer_id = k.customer_id""",
+    "crm kyc",
+)
+def warehouse_stage_counts(d):
+    counts = jobs.integrate_to_warehouse(d.view("crm"), d.view("kyc"), d.scratch())
+    return d.spark.createDataFrame(list(counts.items()), "stage string, row_count bigint")
+
+
+@query(
+    "lake_append",
+    """SELECT c.customer_id, 1 AS batch FROM crm c JOIN kyc k ON c.customer_id = k.customer_id
+    UNION ALL SELECT c.customer_id, 2 FROM crm c JOIN kyc k ON c.customer_id = k.customer_id""",
+    "crm kyc",
+)
+def lake_append(d):
+    path = d.scratch()
+    joined = customers.integrate(d.view("crm"), d.view("kyc")).select("customer_id")
+    for batch in (1, 2):
+        writers.append_table(joined.withColumn("batch", F.lit(batch)), path)
+    return readers.read_table(d.spark, path)
+
+
+@query(
+    "evolved_table",
+    """SELECT transaction_id, amount, NULL::VARCHAR AS currency FROM txn UNION ALL SELECT transaction_id, amount, currency FROM txn""",
+    "txn",
+)
+def evolved_table(d):
+    path = d.scratch()
+    rows = d.view("txn")
+    writers.append_table(rows.select("transaction_id", "amount"), path)
+    writers.append_table(rows.select("transaction_id", "amount", "currency"), path)
+    return readers.read_table(d.spark, path, merge_schema=True).select("transaction_id", "amount", "currency")
+
+
+@query(
+    "object_store_files",
+    "SELECT 'transactions' AS topic, count(*) AS messages, 0 AS files_over_limit FROM txn_msg",
+    "txn_msg",
+)
+def object_store_files(d):
+    path = d.scratch()
+    writers.write_objects(envelope(d), path)
+    per_file = d.spark.read.parquet(path).groupBy("topic", F.input_file_name().alias("file")).agg(F.count("*").alias("n"))
+    return per_file.groupBy("topic").agg(
+        F.sum("n").alias("messages"), F.count_if(F.col("n") > writers.ROWS_PER_FILE).alias("files_over_limit")
+    )
+
+
+@query(
+    "compacted_table",
+    "SELECT o_orderkey, o_orderstatus FROM orders",
+)
+def compacted_table(d):
+    source, target = d.scratch(), d.scratch()
+    d.table("orders").select("o_orderkey", "o_orderstatus").repartition(16).write.parquet(source)
+    writers.compact_table(d.spark, source, target)
+    return d.spark.read.parquet(target)
+
+
+@query(
+    "published_messages",
+    """SELECT customer_id AS key, concat('{"customer_id":"', customer_id, '","verification_status":"', verification_status, '"}') AS value,
+      'kyc_responses' AS topic FROM kyc""",
+    "kyc",
+)
+def published_messages(d):
+    rows = d.view("kyc").select("customer_id", "verification_status")
+    return writers.as_messages(rows, "kyc_responses", "customer_id")
+
+
+@query(
+    "landed_messages",
+    "SELECT topic, payload AS value FROM dlq",
+    "dlq",
+)
+def landed_messages(d):
+    path = d.scratch()
+    writers.land_messages(d.view("dlq").select("topic", F.col("payload").alias("value")), path)
+    return d.spark.read.json(path).select("topic", "value")
+
+
+@query(
+    "quarantined_messages",
+    f"""WITH {PARSED}
+    SELECT 'transactions' AS topic, msg_offset AS "offset", value, 'parse' AS stage,
+      CASE WHEN value IS NULL THEN 'null_message' ELSE 'undecodable' END AS rule FROM p WHERE j IS NULL""",
+    "txn_msg",
+)
+def quarantined_messages(d):
+    messages = envelope(d)
+    text = F.col("value").cast("string")
+    bad = messages.filter(F.try_parse_json(text).isNull())
+    rule = F.when(F.col("value").isNull(), "null_message").otherwise("undecodable")
+    rows = writers.quarantine(bad, "parse", rule, F.lit("not JSON"))
+    return rows.select("topic", "offset", "value", "error.stage", "error.rule")
+
+
+@query(
+    "audit_log",
+    "SELECT 7 AS batch_id, 'transactions' AS table_name, count(*) AS row_count, TIMESTAMP '2024-01-31 00:00:00' AS written_at FROM txn",
+    "txn",
+)
+def audit_log(d):
+    return writers.audit_row(d.view("txn"), "transactions", 7, as_of())
+
+
+@query(
+    "validated_table",
+    f"""WITH {TXN_ERRORS}
+    SELECT 'valid' AS outcome, t.msg_offset, t.value FROM txn_msg t WHERE t.msg_offset NOT IN (SELECT msg_offset FROM found)
+    UNION ALL SELECT 'dead', t.msg_offset, t.value FROM txn_msg t WHERE t.msg_offset IN (SELECT msg_offset FROM found)""",
+    "txn_msg",
+)
+def validated_table(d):
+    good, dead = d.scratch(), d.scratch()
+    messages = d.view("txn_msg").select("msg_offset", "value")
+    jobs.validate_table(messages, TXN_SCHEMA, builtin("transaction.schema.json"), good, dead)
+    columns = ["msg_offset", "value"]
+    valid = readers.read_table(d.spark, good).select(F.lit("valid").alias("outcome"), *columns)
+    return valid.unionByName(readers.read_table(d.spark, dead).select(F.lit("dead").alias("outcome"), *columns))
+
+
+@query(
+    "gated_integration",
+    r"""WITH c AS (SELECT * FROM crm WHERE regexp_matches(customer_id, '^[A-Za-z0-9]{8,}$')
+        AND (email IS NULL OR email LIKE '%@%') AND (phone IS NULL OR phone = '' OR regexp_matches(phone, '^\+?[0-9]{10,15}$'))
+        AND TRY_CAST(updated_at AS TIMESTAMP) IS NOT NULL),
+    k AS (SELECT * FROM kyc WHERE lower(verification_status) IN ('pending', 'verified', 'rejected', 'expired') AND lower(risk_level) IN ('low', 'medium', 'high')),
+    j AS (SELECT c.customer_id, lower(k.risk_level) AS risk_level FROM c JOIN k ON c.customer_id = k.customer_id)
+    SELECT risk_level AS item, count(*) AS row_count FROM j GROUP BY risk_level
+    UNION ALL SELECT 'notified', count(DISTINCT customer_id) FROM j""",
+    "crm kyc",
+)
+def gated_integration(d):
+    path, notify = d.scratch(), d.scratch()
+    jobs.gated_integration(d.view("crm"), d.view("kyc"), path, notify, 0.25, as_of())
+    levels = d.spark.read.parquet(path).groupBy(F.col("risk_level").alias("item")).agg(F.count("*").alias("row_count"))
+    notices = d.spark.read.json(notify).agg(F.count("*").alias("row_count")).select(F.lit("notified").alias("item"), "row_count")
+    return levels.unionByName(notices)
+
+
+@query(
+    "enriched_lake",
+    """SELECT c.customer_id, concat('{"kyc_status":"', k.verification_status, '"}') AS kyc_response_json
+    FROM crm c JOIN kyc k ON c.customer_id = k.customer_id WHERE k.rep = 1""",
+    "crm kyc",
+)
+def enriched_lake(d):
+    path = d.scratch()
+    reply = F.concat(F.lit('{"kyc_status":"'), "verification_status", F.lit('"}')).alias("kyc_response_json")
+    responses = d.view("kyc").filter(F.col("rep") == 1).select("customer_id", reply)
+    jobs.enrich_to_lake(d.view("crm"), responses, path, as_of())
+    return readers.read_table(d.spark, path).select("customer_id", "kyc_response_json")

@@ -51,10 +51,16 @@ def _accepts_null(avro_type: object) -> bool:
     return avro_type == "null" or (isinstance(avro_type, list) and "null" in avro_type)
 
 
+def as_properties(schema: dict) -> dict:
+    """The record's field names in the form of a JSON Schema."""
+    return {"properties": {f["name"]: {} for f in schema["fields"]}}
+
+
 def avro_rules(schema: dict, fields: Fields) -> list[Rule]:
-    """Rules of an Avro record document for a parsed message; ``fields.staged`` holds what they read."""
+    """Rules of an Avro record document for a parsed message; ``fields`` stages what they read."""
     if schema.get("type") != "record":
         raise ValueError("only Avro records are supported")
+    fields.know(as_properties(schema))
     root = Node(fields, ())
     is_object = root.is_type("object")
     names = F.array(*[F.lit(f["name"]) for f in schema["fields"]])

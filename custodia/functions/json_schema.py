@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from custodia.functions.parsing import ISO_DATETIME
@@ -41,39 +41,63 @@ def python_search(column: Column, pattern: str) -> Column:
     return column.rlike("(?dU)" + pattern)
 
 
-def path_of(*keys: str) -> str:
-    """Variant path of nested keys; keys may hold dots or blanks but no quote."""
-    if any("'" in key for key in keys):
-        raise ValueError(f"quote in a field name: {keys}")
-    return "$" + "".join(f"['{key}']" for key in keys)
+def _backticked(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
 class Fields:
-    """Types and values of a document's fields, to be added to the frame before the rules.
+    """Types and values of a message's fields, to be added to the frame before the rules.
 
-    Each is computed once per message however many rules look at it, and the rules stay small
-    enough to compile.
+    An object is opened once into a struct with a VARIANT per known key, and each type or value is
+    read from there once, however many rules look at it. ``layers`` holds the columns in the order
+    in which they build on each other.
     """
 
-    def __init__(self, document: str, value: str, prefix: str = "_f"):
-        self.document, self.value, self.prefix = document, value, prefix
-        self.staged: dict[str, Column] = {}
-        self._references: dict[tuple[str, str], Column] = {}
-        self._tests: dict[tuple[str, str], Column] = {}
-
-    def stage(self, kind: str, path: str, build: Callable[[], Column]) -> Column:
-        """Reference to a field's type or value; ``build`` is called on first use."""
-        if (kind, path) not in self._references:
-            name = f"{self.prefix}{len(self._references)}"
-            self.staged[name] = build()
-            self._references[kind, path] = F.col(name)
-        return self._references[kind, path]
-
-    def test(self, name: str, path: str, build: Callable[[], Column]) -> Column:
+    def __init__(self, value: str = "value", document: str = "_document", prefix: str = "_f"):
+        self.value, self.document, self.prefix = value, document, prefix
+        self.layers: list[dict[str, Column]] = [{document: F.try_parse_json(value)}]
+        self._references: dict[tuple, Column] = {}
+        self._tests: dict[tuple, Column] = {}
+        self._keys: dict[tuple[str, ...], set[str]] = {}
+
+    def stage(self, kind: str, keys: tuple[str, ...], layer: int, build: Callable[[], Column]) -> Column:
+        """Reference to a staged column; ``build`` is called on first use."""
+        if (kind, keys) not in self._references:
+            while len(self.layers) <= layer:
+                self.layers.append({})
+            name = f"{self.prefix}_{kind}_{len(keys)}_{len(self._references)}"
+            self._references[kind, keys] = F.col(name)
+            self.layers[layer][name] = build()
+        return self._references[kind, keys]
+
+    def test(self, name: str, keys: tuple[str, ...], build: Callable[[], Column]) -> Column:
         """A type test, built once."""
-        if (name, path) not in self._tests:
-            self._tests[name, path] = build()
-        return self._tests[name, path]
+        if (name, keys) not in self._tests:
+            self._tests[name, keys] = build()
+        return self._tests[name, keys]
+
+    def know(self, schema: dict, keys: tuple[str, ...] = ()) -> None:
+        """Note the keys that a JSON Schema names, so that their objects are opened with all of them."""
+        names = [*schema.get("properties", {}), *schema.get("required", [])]
+        self._keys.setdefault(keys, set()).update(names)
+        for key, sub in schema.get("properties", {}).items():
+            if "properties" in sub or "required" in sub:
+                self.know(sub, (*keys, key))
+
+    def object_of(self, node: Node) -> Column:
+        """Struct with the known fields of an object; null when the place holds no object."""
+        layout = ", ".join(f"{_backticked(key)}: variant" for key in sorted(self._keys[node.keys]))
+        build = lambda: F.try_variant_get(node.variant, "$", f"struct<{layout}>")
+        return self.stage("object", node.keys, 2 * len(node.keys) + 1, build)
+
+    def add_to(self, df: DataFrame) -> DataFrame:
+        for layer in self.layers:
+            df = df.withColumns(layer)
+        return df
+
+    @property
+    def names(self) -> list[str]:
+        return [name for layer in self.layers for name in layer]
 
 
 class Node:
@@ -81,20 +105,26 @@ class Node:
 
     def __init__(self, fields: Fields, keys: tuple[str, ...]):
         self.fields, self.keys = fields, keys
-        self.path = path_of(*keys)
 
     def child(self, key: str) -> Node:
         return Node(self.fields, (*self.keys, key))
 
-    def _get(self, kind: str) -> Column:
-        return F.try_variant_get(self.fields.document, self.path, kind)
+    @property
+    def variant(self) -> Column:
+        if not self.keys:
+            return F.col(self.fields.document)
+        parent = Node(self.fields, self.keys[:-1])
+        return self.fields.object_of(parent).getField(self.keys[-1])
+
+    def _stage(self, kind: str, build: Callable[[], Column]) -> Column:
+        return self.fields.stage(kind, self.keys, 2 * len(self.keys) if self.keys else 1, build)
 
     @property
     def json_type(self) -> Column:
-        return self.fields.stage("type", self.path, self._json_type if self.keys else self._root_type)
+        return self._stage("type", self._json_type if self.keys else self._root_type)
 
     def _json_type(self) -> Column:
-        return F.substring(F.schema_of_variant(self._get("variant")), 1, 3)
+        return F.substring(F.schema_of_variant(self.variant), 1, 3)
 
     def _root_type(self) -> Column:
         # Spelling out the schema of the whole message is dear, and an object shows by its first character.
@@ -105,19 +135,19 @@ class Node:
 
     @property
     def present(self) -> Column:
-        return self.fields.test("present", self.path, self.json_type.isNotNull)
+        return self.fields.test("present", self.keys, self.json_type.isNotNull)
 
     @property
     def text(self) -> Column:
-        return self.fields.stage("text", self.path, lambda: self._get("string"))
+        return self._stage("text", lambda: F.try_variant_get(self.variant, "$", "string"))
 
     @property
     def number(self) -> Column:
-        return self.fields.stage("number", self.path, lambda: self._get("double"))
+        return self._stage("number", lambda: F.try_variant_get(self.variant, "$", "double"))
 
     @property
     def whole(self) -> Column:
-        return self.fields.stage("whole", self.path, lambda: self._get("bigint"))
+        return self._stage("whole", lambda: F.try_variant_get(self.variant, "$", "bigint"))
 
     def is_any(self, names: list[str]) -> Column:
         """True when the value has one of the JSON types."""
@@ -126,7 +156,7 @@ class Node:
         return known | self.is_type("integer") if "integer" in names else known
 
     def is_type(self, name: str) -> Column:
-        return self.fields.test(name, self.path, lambda: self._type_test(name))
+        return self.fields.test(name, self.keys, lambda: self._type_test(name))
 
     def _type_test(self, name: str) -> Column:
         if name == "integer":
@@ -200,10 +230,11 @@ def _node_rules(schema: dict, node: Node, enforce_formats: bool) -> list[Rule]:
 
 
 def json_schema_rules(schema: dict, fields: Fields, enforce_formats: bool = False) -> list[Rule]:
-    """Rules of a document for a parsed message; ``fields.staged`` then holds the columns they read.
+    """Rules of a document for a parsed message; ``fields`` then stages the columns they read.
 
     ``format`` is an annotation unless ``enforce_formats`` is set.
     """
+    fields.know(schema)
     return [*undecodable_rules(fields), *_node_rules(schema, Node(fields, ()), enforce_formats)]
 
 

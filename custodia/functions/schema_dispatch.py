@@ -6,12 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from custodia.contracts import AVRO_SUFFIX, JSON_SUFFIX
-from custodia.functions.avro_schema import avro_rules
+from custodia.functions.avro_schema import as_properties, avro_rules
 from custodia.functions.json_schema import Fields, json_schema_rules
 from custodia.functions.rules import Rule, all_hold, evaluated_once, validate
 
-DOCUMENT = "_document"
-
 
 def rules_for(schema_path: str, schema: dict, fields: Fields, **options) -> list[Rule]:
     """Rules by the dialect that the path's suffix names."""
@@ -30,10 +28,9 @@ def validate_messages(
     A message is parsed once, each of its fields is looked up once, and the rules read those columns.
     """
     options = {"enforce_formats": enforce_formats} if schema_path.endswith(JSON_SUFFIX) else {}
-    fields = Fields(DOCUMENT, value)
+    fields = Fields(value)
     rules = rules_for(schema_path, schema, fields, **options)
-    staged = df.withColumn(DOCUMENT, F.try_parse_json(value)).withColumns(fields.staged)
-    return validate(staged, rules).drop(DOCUMENT, *fields.staged)
+    return validate(fields.add_to(df), rules).drop(*fields.names)
 
 
 def validate_by_path(
@@ -44,10 +41,11 @@ def validate_by_path(
     A path without a document, with another suffix, empty or null makes the message invalid.
     Schemas share the looked-up fields, so a field that several of them check is read once.
     """
-    fields = Fields(DOCUMENT, value)
+    fields = Fields(value)
     verdict = F.lit(False)
+    for schema_path, schema in catalogue.items():
+        fields.know(schema if schema_path.endswith(JSON_SUFFIX) else as_properties(schema))
     for schema_path, schema in catalogue.items():
         rules = rules_for(schema_path, schema, fields)
         verdict = F.when(F.col(path) == schema_path, all_hold(rules)).otherwise(verdict)
-    staged = df.withColumn(DOCUMENT, F.try_parse_json(value)).withColumns(fields.staged)
-    return evaluated_once(staged, {"is_valid": verdict}).drop(DOCUMENT, *fields.staged)
+    return evaluated_once(fields.add_to(df), {"is_valid": verdict}).drop(*fields.names)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from custodia.functions.parsing import ISO_DATETIME
 from custodia.functions.records import EMAIL
-from custodia.functions.rules import Rule
+from custodia.functions.rules import Rule, evaluated_once
 
 ANNOTATIONS = {"$schema", "$id", "$comment", "title", "description", "default", "examples"}
 SUPPORTED = {
@@ -49,32 +49,15 @@ class Fields:
     """Types and values of a message's fields, to be added to the frame before the rules.
 
     An object is opened once into a struct with a VARIANT per known key, and each type or value is
-    read from there once, however many rules look at it. ``layers`` holds the columns in the order
-    in which they build on each other.
+    read from there once, however many rules look at it.
     """
 
-    def __init__(self, value: str = "value", document: str = "_document", prefix: str = "_f"):
-        self.value, self.document, self.prefix = value, document, prefix
-        self.layers: list[dict[str, Column]] = [{document: F.try_parse_json(value)}]
-        self._references: dict[tuple, Column] = {}
-        self._tests: dict[tuple, Column] = {}
+    def __init__(self, value: str = "value", document: str = "_document"):
+        self.value, self.document = value, document
         self._keys: dict[tuple[str, ...], set[str]] = {}
-
-    def stage(self, kind: str, keys: tuple[str, ...], layer: int, build: Callable[[], Column]) -> Column:
-        """Reference to a staged column; ``build`` is called on first use."""
-        if (kind, keys) not in self._references:
-            while len(self.layers) <= layer:
-                self.layers.append({})
-            name = f"{self.prefix}_{kind}_{len(keys)}_{len(self._references)}"
-            self._references[kind, keys] = F.col(name)
-            self.layers[layer][name] = build()
-        return self._references[kind, keys]
-
-    def test(self, name: str, keys: tuple[str, ...], build: Callable[[], Column]) -> Column:
-        """A type test, built once."""
-        if (name, keys) not in self._tests:
-            self._tests[name, keys] = build()
-        return self._tests[name, keys]
+        self._objects: dict[tuple[str, ...], tuple[str, Column]] = {}
+        self._leaves: dict[tuple[str, tuple[str, ...]], tuple[str, Column]] = {}
+        self._tests: dict[tuple[str, tuple[str, ...]], Column] = {}
 
     def know(self, schema: dict, keys: tuple[str, ...] = ()) -> None:
         """Note the keys that a JSON Schema names, so that their objects are opened with all of them."""
@@ -86,18 +69,39 @@ class Fields:
 
     def object_of(self, node: Node) -> Column:
         """Struct with the known fields of an object; null when the place holds no object."""
-        layout = ", ".join(f"{_backticked(key)}: variant" for key in sorted(self._keys[node.keys]))
-        build = lambda: F.try_variant_get(node.variant, "$", f"struct<{layout}>")
-        return self.stage("object", node.keys, 2 * len(node.keys) + 1, build)
+        if node.keys not in self._objects:
+            layout = ", ".join(f"{_backticked(key)}: variant" for key in sorted(self._keys[node.keys]))
+            opened = F.try_variant_get(node.variant, "$", f"struct<{layout}>")
+            self._objects[node.keys] = (f"_object_{len(self._objects)}", opened)
+        return F.col(self._objects[node.keys][0])
+
+    def leaf(self, kind: str, keys: tuple[str, ...], build: Callable[[], Column]) -> Column:
+        """Reference to a type or value; ``build`` is called on first use."""
+        if (kind, keys) not in self._leaves:
+            column = build()
+            self._leaves[kind, keys] = (f"_{kind}_{len(self._leaves)}", column)
+        return F.col(self._leaves[kind, keys][0])
+
+    def test(self, name: str, keys: tuple[str, ...], build: Callable[[], Column]) -> Column:
+        """A type test, built once."""
+        if (name, keys) not in self._tests:
+            self._tests[name, keys] = build()
+        return self._tests[name, keys]
 
     def add_to(self, df: DataFrame) -> DataFrame:
-        for layer in self.layers:
-            df = df.withColumns(layer)
-        return df
+        """The frame with everything the rules read; a filter on their outcome looks nothing up again."""
+        df = df.withColumn(self.document, F.try_parse_json(self.value))
+        for keys in sorted(self._objects, key=len):
+            name, column = self._objects[keys]
+            df = df.withColumn(name, column)
+        return evaluated_once(df, dict(self._leaves.values())).drop(
+            self.document, *[name for name, _ in self._objects.values()]
+        )
 
     @property
     def names(self) -> list[str]:
-        return [name for layer in self.layers for name in layer]
+        """Columns that ``add_to`` leaves in the frame."""
+        return [name for name, _ in self._leaves.values()]
 
 
 class Node:
@@ -116,12 +120,9 @@ class Node:
         parent = Node(self.fields, self.keys[:-1])
         return self.fields.object_of(parent).getField(self.keys[-1])
 
-    def _stage(self, kind: str, build: Callable[[], Column]) -> Column:
-        return self.fields.stage(kind, self.keys, 2 * len(self.keys) if self.keys else 1, build)
-
     @property
     def json_type(self) -> Column:
-        return self._stage("type", self._json_type if self.keys else self._root_type)
+        return self.fields.leaf("type", self.keys, self._json_type if self.keys else self._root_type)
 
     def _json_type(self) -> Column:
         return F.substring(F.schema_of_variant(self.variant), 1, 3)
@@ -139,15 +140,15 @@ class Node:
 
     @property
     def text(self) -> Column:
-        return self._stage("text", lambda: F.try_variant_get(self.variant, "$", "string"))
+        return self.fields.leaf("text", self.keys, lambda: F.try_variant_get(self.variant, "$", "string"))
 
     @property
     def number(self) -> Column:
-        return self._stage("number", lambda: F.try_variant_get(self.variant, "$", "double"))
+        return self.fields.leaf("number", self.keys, lambda: F.try_variant_get(self.variant, "$", "double"))
 
     @property
     def whole(self) -> Column:
-        return self._stage("whole", lambda: F.try_variant_get(self.variant, "$", "bigint"))
+        return self.fields.leaf("whole", self.keys, lambda: F.try_variant_get(self.variant, "$", "bigint"))
 
     def is_any(self, names: list[str]) -> Column:
         """True when the value has one of the JSON types."""
@@ -243,7 +244,7 @@ def undecodable_rules(fields: Fields) -> list[Rule]:
     value = F.col(fields.value)
     return [
         Rule("$", "null_message", value.isNull(), "message is null"),
-        Rule("$", "undecodable", value.isNotNull() & F.col(fields.document).isNull(), "not JSON"),
+        Rule("$", "undecodable", value.isNotNull() & ~Node(fields, ()).present, "not JSON"),
     ]
 
 

@@ -57,22 +57,22 @@ def evaluated_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     expression copied into it. The output of a generator stays where it is, while filters on the
     other columns still reach the scan.
     """
+    if not columns:
+        return df
     return df.select("*", F.stack(F.lit(1), *columns.values()).alias(*columns))
 
 
 def validate(df: DataFrame, rules: list[Rule], normalised: list[Column] | None = None) -> DataFrame:
-    """Add ``is_valid`` and ``errors`` (all broken rules, in rule order).
+    """Add ``is_valid`` and ``errors`` (all broken rules, in rule order; worked out for invalid records only).
 
     With ``normalised`` also add ``data``, a struct that is null for invalid records.
     """
-    flags = {f"_broken{i}": rule.fails for i, rule in enumerate(rules)}
-    ok = _none_set([F.col(name) for name in flags])
-    broken = F.array_compact(F.array(*[F.when(F.col(n), r.named()) for n, r in zip(flags, rules, strict=True)]))
-    none = F.array().cast(ERROR_TYPE)
-    added = {"is_valid": ok, "errors": F.when(ok, none).otherwise(broken)}
+    ok = all_hold(rules)
+    broken = F.array_compact(F.array(*[F.when(rule.broken, rule.named()) for rule in rules]))
+    added = {"is_valid": ok, "errors": F.when(ok, F.array().cast(ERROR_TYPE)).otherwise(broken)}
     if normalised is not None:
         added["data"] = F.when(ok, F.struct(*normalised))
-    return evaluated_once(df, flags).withColumns(added).drop(*flags)
+    return df.withColumns(added)
 
 
 def error_codes(errors: str = "errors") -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from custodia.contracts import AVRO_SUFFIX, JSON_SUFFIX
 from custodia.functions.avro_schema import as_properties, avro_rules
 from custodia.functions.json_schema import Fields, json_schema_rules
-from custodia.functions.rules import Rule, all_hold, evaluated_once, validate
+from custodia.functions.rules import Rule, all_hold, validate
 
 
 def rules_for(schema_path: str, schema: dict, fields: Fields, **options) -> list[Rule]:
@@ -48,4 +48,4 @@ def validate_by_path(
     for schema_path, schema in catalogue.items():
         rules = rules_for(schema_path, schema, fields)
         verdict = F.when(F.col(path) == schema_path, all_hold(rules)).otherwise(verdict)
-    return evaluated_once(fields.add_to(df), {"is_valid": verdict}).drop(*fields.names)
+    return fields.add_to(df).withColumn("is_valid", verdict).drop(*fields.names)

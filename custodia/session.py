@@ -13,6 +13,10 @@ SEMANTIC_CONF = {
     "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
+# The JVM does not compile methods beyond 8000 bytes of bytecode. Long rule lists would be generated
+# as one such method; below this limit Spark splits them instead.
+CODEGEN_CONF = {"spark.sql.codegen.hugeMethodLimit": "8000"}
+
 # Settings that change speed only; applied when this module builds the session.
 TUNING_CONF = {
     "spark.sql.adaptive.enabled": "true",
@@ -37,8 +41,8 @@ def build_session(app_name: str = "custodia", master: str | None = None, **conf:
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Apply the settings that fix results to a session created elsewhere."""
-    for key, value in SEMANTIC_CONF.items():
+    """Apply the settings that fix results, and the code size limit, to a session created elsewhere."""
+    for key, value in {**SEMANTIC_CONF, **CODEGEN_CONF}.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
     return spark

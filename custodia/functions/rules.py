@@ -62,16 +62,21 @@ def evaluated_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     return df.select("*", F.stack(F.lit(1), *columns.values()).alias(*columns))
 
 
-def validate(df: DataFrame, rules: list[Rule], normalised: list[Column] | None = None) -> DataFrame:
+def validate(
+    df: DataFrame, rules: list[Rule], normalised: list[Column] | None = None, once: bool = True
+) -> DataFrame:
     """Add ``is_valid`` and ``errors`` (all broken rules, in rule order; worked out for invalid records only).
 
-    With ``normalised`` also add ``data``, a struct that is null for invalid records.
+    With ``normalised`` also add ``data``, a struct that is null for invalid records. ``once`` keeps
+    later filters on ``is_valid`` from repeating the rules; leave it out where the rules only read
+    columns that are behind such a barrier already.
     """
-    ok = all_hold(rules)
+    ok = {"is_valid": all_hold(rules)}
+    df = evaluated_once(df, ok) if once else df.withColumns(ok)
     broken = F.array_compact(F.array(*[F.when(rule.broken, rule.named()) for rule in rules]))
-    added = {"is_valid": ok, "errors": F.when(ok, F.array().cast(ERROR_TYPE)).otherwise(broken)}
+    added = {"errors": F.when(F.col("is_valid"), F.array().cast(ERROR_TYPE)).otherwise(broken)}
     if normalised is not None:
-        added["data"] = F.when(ok, F.struct(*normalised))
+        added["data"] = F.when(F.col("is_valid"), F.struct(*normalised))
     return df.withColumns(added)
 
 

@@ -30,7 +30,7 @@ def validate_messages(
     options = {"enforce_formats": enforce_formats} if schema_path.endswith(JSON_SUFFIX) else {}
     fields = Fields(value)
     rules = rules_for(schema_path, schema, fields, **options)
-    return validate(fields.add_to(df), rules).drop(*fields.names)
+    return validate(fields.add_to(df), rules, once=False).drop(*fields.names)
 
 
 def validate_by_path(

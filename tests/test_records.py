@@ -166,4 +166,5 @@ def test_scoring_contract(spark):
 def test_filter_on_flag_does_not_repeat_the_rules(spark):
     checked = validate_crm(crm_frame(spark, {}, {"phone": "1"}))
     plan = checked.filter(~F.col("is_valid"))._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("[0-9]{10,15}") == 1
+    filters = [line for line in plan.splitlines() if "Filter" in line]
+    assert filters and not any("{10,15}" in line for line in filters)

@@ -29,16 +29,21 @@ def parse_envelope(messages: DataFrame, value: str = "value") -> DataFrame:
     an empty object and a missing schema path is empty.
     """
     kept = [c for c in messages.columns if c != value]
-    envelope = F.col("_e")
-    payload = F.to_json(F.try_variant_get(envelope, "$.payload", "variant"))
+    envelope, text = F.col("_e"), F.col("message")
+    # The text of an object is cut out as it stands; only other payloads are written anew, so that
+    # a payload which is a string keeps its quotes.
+    is_object = F.try_variant_get(envelope, "$.payload", "struct<any: variant>").isNotNull()
+    other = F.to_json(F.try_variant_get(envelope, "$.payload", "variant"))
+    payload = F.when(is_object, F.get_json_object(text, "$.payload")).otherwise(F.coalesce(other, F.lit("{}")))
+    opened = F.ltrim(text, F.lit(" \t\r\n")).startswith("{")
     return (
         messages.withColumn("message", F.col(value).cast("string"))
         .withColumn("_e", F.try_parse_json("message"))
         .select(
             *kept,
             "message",
-            F.coalesce(F.schema_of_variant(envelope).startswith("OBJECT"), F.lit(False)).alias("decodable"),
-            F.coalesce(payload, F.lit("{}")).alias("payload"),
+            (envelope.isNotNull() & opened).alias("decodable"),
+            payload.alias("payload"),
             F.coalesce(F.try_variant_get(envelope, "$.schema_path", "string"), F.lit("")).alias("schema_path"),
             F.try_variant_get(envelope, "$.retry_count", "int").alias("retry_count"),
             F.try_variant_get(envelope, "$.last_retry_at", "string").alias("last_retry_at"),

@@ -120,6 +120,18 @@ def _unpivot(df: DataFrame, columns: list[str], cast: str) -> DataFrame:
     return df.select(F.explode(F.array(*pairs)).alias("p")).select("p.feature", "p.v")
 
 
+def _common_values(df: DataFrame, columns: list[str], cast: str) -> DataFrame:
+    """Distinct values and the most common one per column; the smallest among equally common ones."""
+    tallied = _unpivot(df, columns, cast).filter(F.col("v").isNotNull()).groupBy("feature", "v").agg(F.count("*").alias("c"))
+    top = F.min(F.struct((-F.col("c")).alias("neg"), F.col("v").alias("v")))
+    return tallied.groupBy("feature").agg(F.count("*").alias("distinct_values"), top.alias("t")).select(
+        "feature",
+        "distinct_values",
+        F.col("t.v").cast("string").alias("most_common"),
+        (-F.col("t.neg")).alias("most_common_count"),
+    )
+
+
 PROFILE_QUANTILES: dict[str, Fraction] = {"q25": (1, 4), "q50": (1, 2), "q75": (3, 4)}
 
 
@@ -128,8 +140,8 @@ def profile(
 ) -> DataFrame:
     """Quality profile, one row per feature.
 
-    Counts, missing share, distinct values, most common value (ties: smallest text) and, for
-    numbers, min, max, mean, standard deviation and quartiles. With ``exact`` the distinct values
+    Counts, missing values, distinct values, most common value (ties: the smallest) and, for numbers,
+    min, max, mean, standard deviation and quartiles. With ``exact`` the distinct values
     and most common value come from one count per (feature, value), which combines on the map side;
     otherwise distinct values and quartiles come from sketches and the most common value is left out.
     """
@@ -161,13 +173,12 @@ def profile(
         return one_pass.select("*", *quartiles).drop("approx_quartiles").withColumnRenamed("approx_distinct", "distinct_values")
     one_pass = one_pass.drop("approx_distinct", "approx_quartiles")
 
-    values = _unpivot(df, features, "string").filter(F.col("v").isNotNull())
-    tallied = values.groupBy("feature", "v").agg(F.count("*").alias("c"))
-    # Smallest text among the most frequent: order by count, then by the complement of the text order.
-    top = F.min(F.struct((-F.col("c")).alias("neg"), F.col("v").alias("v")))
-    common = tallied.groupBy("feature").agg(F.count("*").alias("distinct_values"), top.alias("t")).select(
-        "feature", "distinct_values", F.col("t.v").alias("most_common"), (-F.col("t.neg")).alias("most_common_count")
-    )
+    # Doubles are counted as they are; text of them is made once per feature, not once per row.
+    plain = {"double", "float", "int", "smallint", "tinyint"}
+    as_number = [c for c in numeric if df.schema[c].dataType.simpleString() in plain]
+    as_text = [c for c in features if c not in as_number]
+    parts = [_common_values(df, names, kind) for names, kind in ((as_number, "double"), (as_text, "string")) if names]
+    common = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     joined = one_pass.join(common, "feature", "left").withColumn(
         "distinct_values", F.coalesce("distinct_values", F.lit(0))
     )

@@ -17,10 +17,22 @@ from custodia.session import ensure_checkpointing
 Fraction = tuple[int, int]
 
 
-def attach(df: DataFrame, per_group: DataFrame, by: list[str]) -> DataFrame:
+# Up to this many rows, a table with one row per group is sent to all executors.
+BROADCAST_GROUPS = 10_000
+
+
+def few_groups(df: DataFrame, by: list[str]) -> bool:
+    """Whether there are few enough groups to broadcast a table of them; a job over the key columns."""
+    return df.select(*by).distinct().limit(BROADCAST_GROUPS + 1).count() <= BROADCAST_GROUPS
+
+
+def attach(df: DataFrame, per_group: DataFrame, by: list[str], few: bool = False) -> DataFrame:
     """Add the columns of a one-row-per-group frame; with no group columns, of a one-row frame.
 
-    Groups are matched null-safe. The one-row case is a scalar subquery, not a join.
+    Groups are matched null-safe. The one-row case is a scalar subquery, not a join. ``few`` says
+    that the number of groups is known to be at most ``BROADCAST_GROUPS``: the groups are then
+    broadcast and ``df``, where one group may hold most rows, is not shuffled. Otherwise the join is
+    left to adaptive execution.
     """
     extra = [c for c in per_group.columns if c not in by]
     if not by:
@@ -28,7 +40,7 @@ def attach(df: DataFrame, per_group: DataFrame, by: list[str]) -> DataFrame:
         return df.withColumn("_row", row).select("*", *[F.col(f"_row.{c}").alias(c) for c in extra]).drop("_row")
     renamed = per_group.select(*[F.col(c).alias(f"_k_{c}") for c in by], *extra)
     same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in by])
-    return df.join(renamed, same).drop(*[f"_k_{c}" for c in by])
+    return df.join(F.broadcast(renamed) if few else renamed, same).drop(*[f"_k_{c}" for c in by])
 
 
 def _rank_and_weight(fraction: Fraction, method: str) -> tuple[str, str]:
@@ -47,6 +59,7 @@ def exact_quantiles(
     by: list[str] | None = None,
     method: str = "exclusive",
     accuracy: int = 10_000,
+    groups: int | None = None,
 ) -> DataFrame:
     """Interpolated quantiles of ``value`` per group: one row with a column per fraction.
 
@@ -59,8 +72,12 @@ def exact_quantiles(
     around each rank, an exact count tells how many values lie below it, and only the values in the
     brackets (a ``4 / accuracy`` share of a group) are ordered. A bracket that misses its rank is
     replaced by the whole range, so the result does not depend on the sketch.
+
+    ``groups`` is an upper bound of the number of groups where the caller knows one; without it the
+    groups are counted first.
     """
     by = by or []
+    few = bool(by) and (few_groups(df, by) if groups is None else groups <= BROADCAST_GROUPS)
     parts = range(len(fractions))
     values = df.select(*by, F.col(value).cast("double").alias("_v"))
     margin = 2.0 / accuracy
@@ -74,7 +91,7 @@ def exact_quantiles(
         for p in parts
         for text in (f"count_if(_v < _edges[{2 * p}]) AS _below{p}", f"count_if(_v <= _edges[{2 * p + 1}]) AS _upto{p}")
     ]
-    brackets = attach(values, sketch, by).groupBy(*by, "_n", "_edges").agg(*counts)
+    brackets = attach(values, sketch, by, few).groupBy(*by, "_n", "_edges").agg(*counts)
 
     ranks, uppers, targets = [], [], []
     for p, fraction in enumerate(fractions.values()):
@@ -97,7 +114,7 @@ def exact_quantiles(
     inside = [f"_v BETWEEN _targets[{p}].lo AND _targets[{p}].hi" for p in parts]
     hits = ", ".join(f"if({test}, _targets[{p}], NULL)" for p, test in enumerate(inside))
     spread = (
-        attach(values, plan, by)
+        attach(values, plan, by, few)
         .filter(" OR ".join(inside))
         .select(*by, "_v", F.expr(f"explode(array_compact(array({hits})))").alias("_t"))
     )
@@ -114,7 +131,9 @@ def exact_quantiles(
     return picked.groupBy(*by).agg(*columns)
 
 
-def running_totals(df: DataFrame, by: list[str], order: str, totals: dict[str, str]) -> DataFrame:
+def running_totals(
+    df: DataFrame, by: list[str], order: str, totals: dict[str, str], groups: int | None = None
+) -> DataFrame:
     """Running sums per group in ``order``, for one row per group and order value.
 
     ``totals`` maps output to input column. Rows are range-partitioned, the partition number is made
@@ -134,5 +153,6 @@ def running_totals(df: DataFrame, by: list[str], order: str, totals: dict[str, s
     summed = placed.select(
         "*", *[F.sum(c).over(within).alias(f"_w_{name}") for name, c in totals.items()]
     )
-    joined = attach(summed, offsets, [*by, "_part"])
+    few = groups is not None and groups + placed.rdd.getNumPartitions() <= BROADCAST_GROUPS
+    joined = attach(summed, offsets, [*by, "_part"], few)
     return joined.select(*df.columns, *[(F.col(f"_w_{n}") + F.col(f"_o_{n}")).alias(n) for n in totals])

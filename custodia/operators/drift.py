@@ -39,10 +39,11 @@ def ks_distance(reference: DataFrame, current: DataFrame, features: list[str]) -
     Running totals over distinct values are exact and spread over range partitions.
     """
     tallied = _tally(_stack(reference, current, features, "double"))
-    running = running_totals(tallied, ["feature"], "v", {"cum_r": "r", "cum_c": "c"})
+    running = running_totals(tallied, ["feature"], "v", {"cum_r": "r", "cum_c": "c"}, len(features))
     sizes = running.groupBy("feature").agg(F.max("cum_r").alias("n_reference"), F.max("cum_c").alias("n_current"))
     gap = F.abs(F.try_divide(F.col("cum_r"), F.col("n_reference")) - F.try_divide(F.col("cum_c"), F.col("n_current")))
-    return running.join(sizes, "feature").groupBy("feature", "n_reference", "n_current").agg(F.max(gap).alias("ks"))
+    # Tables with one row per feature are bounded by the argument list.
+    return running.join(F.broadcast(sizes), "feature").groupBy("feature", "n_reference", "n_current").agg(F.max(gap).alias("ks"))
 
 
 def stability_index(reference: DataFrame, current: DataFrame, features: list[str], bins: int = 10) -> DataFrame:
@@ -52,8 +53,7 @@ def stability_index(reference: DataFrame, current: DataFrame, features: list[str
     """
     stacked = _stack(reference, current, features, "double")
     cuts = {f"e{i}": (i, bins) for i in range(1, bins)}
-    edges = exact_quantiles(stacked.filter(F.col("r") == 1), "v", cuts, ["feature"], "inclusive")
-    # One row per feature named in the call: bounded by the argument list.
+    edges = exact_quantiles(stacked.filter(F.col("r") == 1), "v", cuts, ["feature"], "inclusive", groups=len(features))
     binned = stacked.join(F.broadcast(edges), "feature")
     number = F.expr(" + ".join(f"int(v > {name})" for name in cuts)).alias("bin")
     counts = binned.select("feature", number, "r", "c").groupBy("feature", "bin").agg(
@@ -62,7 +62,7 @@ def stability_index(reference: DataFrame, current: DataFrame, features: list[str
     sizes = counts.groupBy("feature").agg(F.sum("r").alias("n_reference"), F.sum("c").alias("n_current"))
     # A bin that is empty on both sides adds nothing, so it need not have a row.
     floor = F.lit(EMPTY_BIN_SHARE)
-    shares = counts.join(sizes, "feature").select(
+    shares = counts.join(F.broadcast(sizes), "feature").select(
         "feature",
         F.greatest(F.try_divide("r", "n_reference"), floor).alias("p"),
         F.greatest(F.try_divide("c", "n_current"), floor).alias("q"),
@@ -88,7 +88,7 @@ def category_drift(reference: DataFrame, current: DataFrame, features: list[str]
     chi = F.pow(F.col("r") - expected_r, 2) / expected_r + F.pow(F.col("c") - expected_c, 2) / expected_c
     comparable = sizes.filter((F.col("n_reference") > 0) & (F.col("n_current") > 0))
     return (
-        tallied.join(comparable, "feature")
+        tallied.join(F.broadcast(comparable), "feature")
         .groupBy("feature", "n_reference", "n_current", "categories")
         .agg(
             F.sqrt(F.greatest((F.sum(half(p)) + F.sum(half(q))) / 2, F.lit(0.0))).alias("js"),

@@ -185,7 +185,7 @@ def profile(
     if not numeric:
         return joined
     quartiles = exact_quantiles(
-        _unpivot(df, numeric, "double"), "v", PROFILE_QUANTILES, ["feature"], "inclusive", accuracy
+        _unpivot(df, numeric, "double"), "v", PROFILE_QUANTILES, ["feature"], "inclusive", accuracy, len(numeric)
     )
     return joined.join(quartiles, "feature", "left")
 

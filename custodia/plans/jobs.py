@@ -49,22 +49,19 @@ def enrich_to_lake(crm: DataFrame, responses: DataFrame, path: str, clock: Colum
     writers.append_table(customers.enrich(crm, responses, "customer_id", "kyc_response_json", clock), path, fmt)
 
 
-def validate_table(
-    messages: DataFrame, schema_path: str, schema: dict, path: str, dead: str, value: str = "value"
-) -> dict[str, int]:
-    """Validate raw messages into one table partitioned by outcome; returns the counts.
+def validate_table(messages: DataFrame, schema_path: str, schema: dict, path: str, value: str = "value") -> dict[str, int]:
+    """Validate raw messages into one table, partitioned into ``outcome=valid`` and ``outcome=dead``.
 
-    Valid rows go to ``path``, invalid ones with their errors to ``dead``. The frame is checked once
-    and kept between the two writes.
+    One pass: the counts are observed while the single write runs, and nothing is cached. Dead rows
+    keep their errors.
     """
-    checked = validate_messages(messages, schema_path, schema, value).persist()
-    try:
-        counts = quality.valid_counts(checked).first().asDict()
-        writers.append_table(checked.filter(F.col("is_valid")).drop("is_valid", "errors"), path)
-        writers.append_invalid(checked, dead)
-    finally:
-        checked.unpersist()
-    return counts
+    counts = Observation("validated")
+    checked = validate_messages(messages, schema_path, schema, value).observe(
+        counts, F.count_if(F.col("is_valid")).alias("valid"), F.count_if(~F.col("is_valid")).alias("invalid")
+    )
+    outcome = F.when(F.col("is_valid"), "valid").otherwise("dead")
+    checked.withColumn("outcome", outcome).drop("is_valid").write.mode("append").partitionBy("outcome").parquet(path)
+    return dict(counts.get)
 
 
 def triage(letters: DataFrame, catalogue: dict[str, dict], retry: str, archive: str, checkpoint: str, **options) -> StreamingQuery:
@@ -133,8 +130,8 @@ def ingest_validate_retry(
     spark: SparkSession = messages.sparkSession
     raw = messages.select(F.col("value").cast("string").alias("value"), "topic", "offset")
     ingest.append_stream(raw, f"{folder}/raw", f"{folder}/ckpt/raw").awaitTermination()
-    counts = validate_table(spark.read.parquet(f"{folder}/raw"), schema_path, schema, f"{folder}/valid", f"{folder}/dead")
-    dead = spark.read.parquet(f"{folder}/dead")
+    counts = validate_table(spark.read.parquet(f"{folder}/raw"), schema_path, schema, f"{folder}/validated")
+    dead = spark.read.parquet(f"{folder}/validated").filter(F.col("outcome") == "dead")
     # An unreadable payload is kept as JSON text, so that the envelope itself stays readable.
     payload = F.when(F.try_parse_json("value").isNotNull(), F.col("value")).otherwise(F.to_json(F.struct(F.col("value").alias("raw"))))
     envelope = F.concat(F.lit('{"payload":'), payload, F.lit(f',"schema_path":"{schema_path}","retry_count":0}}'))

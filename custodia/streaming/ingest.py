@@ -75,8 +75,12 @@ def ingest(
                 F.lit("not readable with the declared schema").alias("message"),
             ).alias("error"),
         )
-        write_batch(stamp(rows, clock=clock), path, batch_id, fmt)
-        write_batch(bad, dead_letters, batch_id, fmt)
+        batch.persist()  # the source and the parser run once for both tables
+        try:
+            write_batch(stamp(rows, clock=clock), path, batch_id, fmt)
+            write_batch(bad, dead_letters, batch_id, fmt)
+        finally:
+            batch.unpersist()
 
     return each_batch(parsed, split, checkpoint, interval)
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from custodia.contracts import builtin
+from custodia.functions.schema_dispatch import validate_messages
 from custodia.operators import customers
 from custodia.plans import jobs
 from custodia.sources import readers, writers
@@ -181,12 +182,21 @@ def audit_log(d):
     "txn_msg",
 )
 def validated_table(d):
-    good, dead = d.scratch(), d.scratch()
-    messages = d.view("txn_msg").select("msg_offset", "value")
-    jobs.validate_table(messages, TXN_SCHEMA, builtin("transaction.schema.json"), good, dead)
-    columns = ["msg_offset", "value"]
-    valid = readers.read_table(d.spark, good).select(F.lit("valid").alias("outcome"), *columns)
-    return valid.unionByName(readers.read_table(d.spark, dead).select(F.lit("dead").alias("outcome"), *columns))
+    path = d.scratch()
+    jobs.validate_table(d.view("txn_msg").select("msg_offset", "value"), TXN_SCHEMA, builtin("transaction.schema.json"), path)
+    return readers.read_table(d.spark, path).select("outcome", "msg_offset", "value")
+
+
+@query(
+    "dead_letter_table",
+    f"WITH {TXN_ERRORS} SELECT DISTINCT t.msg_offset, t.value FROM txn_msg t JOIN found f ON t.msg_offset = f.msg_offset",
+    "txn_msg",
+)
+def dead_letter_table(d):
+    path = d.scratch()
+    checked = validate_messages(d.view("txn_msg"), TXN_SCHEMA, builtin("transaction.schema.json"))
+    writers.append_invalid(checked.select("msg_offset", "value", "is_valid"), path)
+    return readers.read_table(d.spark, path).select("msg_offset", "value")
 
 
 @query(

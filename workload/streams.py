@@ -189,7 +189,6 @@ def ingest_validate_retry_chain(d):
     folder = d.scratch()
     stream = landed(d, envelope(d))
     jobs.ingest_validate_retry(stream, TXN_SCHEMA, builtin("transaction.schema.json"), folder, catalogue(), clock=as_of())
-    steps = {"valid": "valid", "dead": "dead", "archived": "archive"}
-    frames = [d.spark.read.parquet(f"{folder}/{f}").select(F.lit(s).alias("step")) for s, f in steps.items()]
-    rows = frames[0].unionByName(frames[1]).unionByName(frames[2])
-    return rows.groupBy("step").agg(F.count("*").alias("messages"))
+    validated = d.spark.read.parquet(f"{folder}/validated").select(F.col("outcome").alias("step"))
+    archived = d.spark.read.parquet(f"{folder}/archive").select(F.lit("archived").alias("step"))
+    return validated.unionByName(archived).groupBy("step").agg(F.count("*").alias("messages"))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -67,3 +69,19 @@ def ensure_checkpointing(spark: SparkSession) -> None:
     """Make ``DataFrame.checkpoint`` usable."""
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
+
+
+@contextmanager
+def state_partitions(spark: SparkSession, count: int | None = None) -> Iterator[None]:
+    """Start stateful streams with this many state stores, by default one per core.
+
+    The number is fixed for the life of a checkpoint, so it is worth choosing; the session default of
+    shuffle partitions is made for batch shuffles, which adaptive execution can still merge.
+    """
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(count or spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from custodia.contracts import builtin
 from custodia.plans import jobs
+from custodia.session import state_partitions
 from custodia.sources import readers
 from custodia.sources.schemas import TRANSACTION_STREAM
 from custodia.streaming import dead_letters, ingest, mirror
@@ -114,7 +115,8 @@ def stream_replay_dedup(d):
     messages = envelope(d)
     stream = landed(d, messages.unionByName(messages))
     unique = ingest.deduplicated(stream.select("offset", "timestamp"), ["offset"], "timestamp")
-    drain(ingest.append_stream(unique, path, checkpoint))
+    with state_partitions(d.spark):
+        drain(ingest.append_stream(unique, path, checkpoint))
     return d.spark.read.parquet(path).select("offset", F.col("timestamp").cast("timestamp_ntz").alias("sent_at"))
 
 
@@ -158,7 +160,8 @@ def stream_request_result_match(d):
 
     path, checkpoint = d.scratch(), d.scratch()
     matched = ingest.correlated(as_stream("requests"), as_stream("results"), "customer_id")
-    drain(ingest.append_stream(matched, path, checkpoint))
+    with state_partitions(d.spark):
+        drain(ingest.append_stream(matched, path, checkpoint))
     return d.spark.read.parquet(path).select("request_id", "status")
 
 

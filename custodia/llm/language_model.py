@@ -90,7 +90,7 @@ def vocabulary(counts: DataFrame, head_words: int = HEAD_WORDS, known_words: int
     known = {bytes(r["word"]): r["n"] for r in top}
     head = [w for w in known if w != END][:head_words]
     head.insert(0, END)
-    ascii_only = F.octet_length("word") == F.octet_length(F.encode(F.decode("word", "US-ASCII"), "UTF-8"))
+    ascii_only = F.octet_length("word") == F.char_length(F.col("word").cast("string"))
     last = F.expr("substring(word, octet_length(word), 1)")
     tail = F.when(ascii_only, 0).otherwise(2) + last.isin([bytes([b]) for b in _PUNCTUATION]).cast("int")
     sums = {r["tail"]: r for r in counts.groupBy(tail.alias("tail")).agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect()}

@@ -42,9 +42,9 @@ def op1(spark, sf_dir):
     "op2_chosen_path_jaccard_join",
     r"""WITH RECURSIVE w AS (
       SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-        '[ \t\n\v\f\r]+'), x -> x <> '') AS w FROM documents),
+        '[ \t\n\v\f\r]+'), lambda x: x <> '') AS w FROM documents),
     s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] ELSE list_distinct(list_transform(range(1, greatest(len(w) - 4, 1) + 1),
-        i -> array_to_string(list_slice(w, i, i + 4), ' '))) END AS s FROM w),
+        lambda i: array_to_string(list_slice(w, i, i + 4), ' '))) END AS s FROM w),
     t AS (SELECT doc_id, unnest(s) AS t FROM s),
     both_have AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM t a JOIN t b ON a.t = b.t AND a.doc_id <> b.doc_id GROUP BY ALL),
     links AS (SELECT a, b FROM both_have JOIN s x ON x.doc_id = a JOIN s y ON y.doc_id = b WHERE c >= 0.8 * (len(x.s) + len(y.s) - c) - 1e-9),
@@ -70,9 +70,9 @@ def op4(spark, sf_dir):
 
 @query(
     "op5_multi_index_hashing",
-    """WITH v AS (SELECT vec_id, list_transform(embedding, x -> CASE WHEN x > 0 THEN 1 ELSE 0 END) AS bits FROM embeddings),
+    """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CASE WHEN x > 0 THEN 1 ELSE 0 END) AS bits FROM embeddings),
     d AS (SELECT q.vec_id, o.vec_id AS neighbor_id,
-        list_sum(list_transform(list_zip(q.bits, o.bits), p -> CASE WHEN p[1] <> p[2] THEN 1 ELSE 0 END)) AS distance
+        list_sum(list_transform(list_zip(q.bits, o.bits), lambda p: CASE WHEN p[1] <> p[2] THEN 1 ELSE 0 END)) AS distance
       FROM v q JOIN v o ON q.vec_id <> o.vec_id WHERE q.vec_id % 20 = 0),
     r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY distance, neighbor_id) AS rank FROM d)
     SELECT vec_id, CAST(rank AS INTEGER) AS rank, neighbor_id, CAST(distance AS BIGINT) AS distance FROM r WHERE rank <= 10""",

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 import custodia
 from custodia.session import prepare, shared_dir
 
-CHUNK_BYTES = 2 << 20  # text handled at once inside a task
+CHUNK_BYTES = 1 << 20  # text handled at once inside a task
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _SPACE = np.zeros(256, dtype=bool)

@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 import custodia
 from custodia.session import prepare, shared_dir
 
+# Texts are long: batches for Python workers are bounded by bytes, not by rows alone.
+BATCH_BYTES = ("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
 CHUNK_BYTES = 1 << 20  # text handled at once inside a task
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -32,6 +34,7 @@ _BASE = 0x9E3779B97F4A7C15 | 1
 def ship(spark: SparkSession) -> SparkSession:
     """Make this package importable in Python workers, wherever they run; once per application."""
     context = prepare(spark).sparkContext
+    spark.conf.set(*BATCH_BYTES)
     if not getattr(context, "_custodia_shipped", False):
         blob = io.BytesIO()
         with zipfile.ZipFile(blob, "w", zipfile.ZIP_DEFLATED) as archive:

@@ -17,7 +17,7 @@ from custodia.llm.common import mix, prefix_hashes, stored, text_chunks, whole_g
 LENGTH = 200  # bytes of a passage
 ANCHOR = 100  # bytes of the string that names a passage's group
 SEED = 16  # length of the strings that the search starts from
-BATCH = 3 << 19  # bytes of one transform
+BATCH = 1 << 20  # bytes of one transform
 HOT = 8192  # different contexts of an anchor beyond which its windows are counted one by one
 _END = 0xFF  # never a byte of UTF-8, and last in order
 _POSITION = np.uint64(34)  # bits of a position in a text

@@ -20,6 +20,7 @@ DEPTH = 3
 BUCKET = 256  # sets compared with each other without further splitting
 BINS = 64  # of the sketch that screens pairs of a bucket
 SLACK = 0.2  # four standard deviations of the sketch's estimate
+LEAF = 1024  # sets of a block of a bucket that stays larger at full depth
 BLOCK = 256  # sets of a block of verification
 
 
@@ -161,7 +162,7 @@ def _close(table: pa.Table, threshold: float) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _screen(buckets: DataFrame, threshold: float) -> DataFrame:
-    """Links (a, b) that connect the sets of each bucket which look similar; a bucket is bounded by BUCKET."""
+    """Links (a, b) that connect the sets of each bucket which look similar; a bucket is bounded by BUCKET or two LEAFs."""
 
     def run(batches):
         for table in whole_groups(batches, "bucket"):
@@ -185,7 +186,7 @@ def candidates(reps: DataFrame, threshold: float) -> DataFrame:
         large = sizes.where(F.col("n") > BUCKET)
         if depth == DEPTH:
             # Buckets that full depth leaves large: all pairs of blocks of them, an exact way for the rest.
-            blocks = F.ceil(F.col("n") / (BUCKET // 2)).cast("long")
+            blocks = F.ceil(F.col("n") / LEAF).cast("long")
             split = level.join(large, "bucket").withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("serial"), "blocks"))
             pairs = split.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
             pairs = pairs.select("serial", F.xxhash64("bucket", F.least("own", "other"), F.greatest("own", "other")).alias("bucket"))

@@ -281,7 +281,8 @@ def join(
                 yield pa.RecordBatch.from_arrays([pa.array(_keys(value, starts, counts), pa.binary()), pa.array(parts, pa.binary())], names=["key", "shingles"])
 
     texts = docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).withColumn("text_hash", F.xxhash64("text"))
-    texts = texts.join(members.select("text_hash").distinct(), "text_hash", "left_semi").dropDuplicates(["text_hash"])
+    # The same plan at every size: a side that is small today grows with the copies.
+    texts = texts.join(members.select("text_hash").distinct().hint("merge"), "text_hash", "left_semi").dropDuplicates(["text_hash"])
     sets = texts.select("text").mapInArrow(shingle_sets, "key binary, shingles binary")
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
     pairs = members.join(sets, "key").withColumn("other", other)

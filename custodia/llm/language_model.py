@@ -33,9 +33,22 @@ TAILS = 4  # classes of all other words: by a non-ASCII byte and by final punctu
 _PUNCTUATION = tuple(b".,;:!?")
 
 
-def tokens(text: str | None) -> list[bytes]:
-    """Words in lower case (A-Z only), split at ASCII white space, then the end."""
-    return [*(text or "").encode().lower().split(), END]
+def tokens(text: bytes | None) -> list[bytes]:
+    """Words of UTF-8 in lower case (A-Z only), split at ASCII white space, then the end."""
+    made = (text or b"").lower().split()
+    made.append(END)
+    return made
+
+
+def _softmax(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(exponentials, their sums by row), in place; shifted by the maximum only where that is needed."""
+    made = np.exp(logits)
+    total = made @ np.ones(made.shape[1], dtype=np.float32)
+    if not (np.isfinite(total).all() and total.min() > 1e-30):
+        logits -= logits.max(axis=1, keepdims=True)
+        np.exp(logits, out=made)
+        total = made.sum(axis=1)
+    return made, total
 
 
 def tail_class(word: bytes) -> int:
@@ -75,7 +88,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
             return made
 
         for batch in batches:
-            for text in batch.column(0):
+            for text in batch.column(0).cast(pa.binary()):
                 counts.update(tokens(text.as_py()))
                 if len(counts) > COUNT_ENTRIES:
                     yield emit()
@@ -168,14 +181,11 @@ class Network:
         c = self.class_of[y]
         rows = np.arange(len(y))
         logits = h @ p["C"] + p["c"]
-        logits -= logits.max(axis=1, keepdims=True)
-        score = logits[rows, c]
-        np.exp(logits, out=logits)
-        total = logits.sum(axis=1, keepdims=True)
-        score = score - np.log(total[:, 0])
+        made, total = _softmax(logits)  # may shift the logits
+        score = logits[rows, c] - np.log(total)
         dh = None
         if grad is not None:
-            logits /= total
+            logits = np.divide(made, total[:, None], out=made)
             logits[rows, c] -= 1
             grad["C"] += h.T @ logits
             grad["c"] += logits.sum(axis=0)
@@ -189,13 +199,10 @@ class Network:
             s = slice(k * CLASS_WORDS, (k + 1) * CLASS_WORDS)
             hk, target, own = h[at], y[at] - k * CLASS_WORDS, np.arange(len(at))
             inner = hk @ p["U"][s].T + p["u"][s]
-            inner -= inner.max(axis=1, keepdims=True)
-            part = inner[own, target]
-            np.exp(inner, out=inner)
-            total = inner.sum(axis=1, keepdims=True)
-            score[at] += part - np.log(total[:, 0])
+            made, total = _softmax(inner)
+            score[at] += inner[own, target] - np.log(total)
             if grad is not None:
-                inner /= total
+                inner = np.divide(made, total[:, None], out=made)
                 inner[own, target] -= 1
                 grad["U"][s] += inner.T @ hk
                 grad["u"][s] += inner.sum(axis=0)
@@ -327,7 +334,7 @@ def train(docs: DataFrame, vocab: Vocabulary, rounds: int = 2, seed: int = 7) ->
             trainer = Trainer(own)
             seen, held, size = 0, [], 0
             for batch in batches:
-                for text in batch.column(0):
+                for text in batch.column(0).cast(pa.binary()):
                     held.append(_ids(tokens(text.as_py()), voc))
                     size += len(held[-1])
                     if size >= BUFFER_TOKENS:
@@ -413,7 +420,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         id_type = None
         for batch in batches:
             id_type = batch.schema.field(0).type
-            for doc, text, out in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
+            for doc, text, out in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()), batch.column(2).to_pylist()):
                 words = tokens(text.as_py())
                 held.append((doc, words, _ids(words, voc), out))
                 size += len(words)

@@ -17,10 +17,10 @@ from pyspark.sql import functions as F
 from custodia.llm.common import by_group, stored
 
 END = b"\n"  # the end token; no word contains white space
-HEAD_WORDS = 1023  # words with outputs of their own, besides the end
-CLASS_WORDS = 64
-KNOWN_WORDS = 50_000  # words whose counts every task holds; the counts of all others are joined
-HIDDEN = 16
+HEAD_WORDS = 767  # words with outputs of their own, besides the end
+CLASS_WORDS = 32
+KNOWN_WORDS = 200_000  # words whose counts every task holds; the counts of all others are joined
+HIDDEN = 12
 WINDOW = 16  # steps of truncated backpropagation
 LANES = 512  # texts that a task reads side by side
 SCORE_LANES = 192
@@ -98,9 +98,18 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 
 def vocabulary(counts: DataFrame, head_words: int = HEAD_WORDS, known_words: int = KNOWN_WORDS) -> Vocabulary:
-    """Totals of all words, and the counts of the most frequent, by count and then by word."""
-    top = counts.orderBy(F.desc("n"), "word").limit(known_words).collect()
-    known = {bytes(r["word"]): r["n"] for r in top}
+    """Totals of all words, and the counts of the most frequent, as many as share no count with one left out."""
+    # The least count that at most ``known_words`` words reach, from their numbers by powers of 1.02.
+    step = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.02))).cast("int")
+    steps = {r["step"]: r["v"] for r in counts.groupBy(step.alias("step")).agg(F.count("*").alias("v")).collect()}
+    least, reached = max(steps, default=0) + 1, 0
+    for k in sorted(steps, reverse=True):
+        reached += steps[k]
+        if reached > known_words:
+            break
+        least = k
+    top = counts.where(step >= least).collect()
+    known = {w: n for w, n in sorted(((bytes(r["word"]), r["n"]) for r in top), key=lambda x: (-x[1], x[0]))}
     head = [w for w in known if w != END][:head_words]
     head.insert(0, END)
     ascii_only = F.octet_length("word") == F.char_length(F.col("word").cast("string"))
@@ -165,12 +174,21 @@ class Network:
         out = np.empty((len(x), *h.shape), dtype=np.float32)
         for t in range(len(x)):
             live = ~first[t]
-            h = h * live[:, None]
+            if first[t].any():
+                h = h * live[:, None]
             a, g = p["E"][x[t]], h @ p["W"]
-            gates = 0.5 * (1 + np.tanh(0.5 * (a[:, : 2 * H] + g[:, : 2 * H])))
+            gates = a[:, : 2 * H] + g[:, : 2 * H]
+            gates *= np.float32(0.5)
+            np.tanh(gates, out=gates)
+            gates += np.float32(1)
+            gates *= np.float32(0.5)
             z, r = gates[:, :H], gates[:, H:]
-            n = np.tanh(a[:, 2 * H :] + r * g[:, 2 * H :])
-            out[t] = n + z * (h - n)
+            n = r * g[:, 2 * H :]
+            n += a[:, 2 * H :]
+            np.tanh(n, out=n)
+            np.subtract(h, n, out=out[t])
+            out[t] *= z
+            out[t] += n
             if keep:
                 steps.append((h, z, r, n, g[:, 2 * H :], live))
             h = out[t]
@@ -394,7 +412,8 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         def emit():
             nonlocal held, size, serial
             logs = _run(net, [h[2] for h in held], None) / np.log(10.0)
-            n, known, base, model, rare = [], [], [], [], []
+            n, known, base, model = [], [], [], []
+            rare_words, rare_n, cuts = [], [], [0]
             for (_, words, ids, _), log in zip(held, logs):
                 here = [local.get(w, -1.0) for w in words]
                 value = np.array(here)
@@ -406,12 +425,16 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
                 known.append(int(seen.sum()))
                 base.append(float(value.sum() - len(words) * denominator))
                 model.append(float(log + inner))
-                rare.append(list(Counter(w for w, v in zip(words, here) if v < 0).items()))
+                rare = Counter([words[i] for i in np.flatnonzero(~seen)])
+                rare_words += rare.keys()
+                rare_n += rare.values()
+                cuts.append(len(rare_words))
             count = len(held)
             made = pa.RecordBatch.from_arrays(
                 [pa.array(range(serial, serial + count), pa.int64()), pa.array([h[0] for h in held], id_type), pa.array([h[3] for h in held], pa.bool_()),
                  pa.array(n, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(model, pa.float64()),
-                 pa.array([[{"word": w, "n": k} for w, k in r] for r in rare], pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())])))],
+                 
+                 pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.StructArray.from_arrays([pa.array(rare_words, pa.binary()), pa.array(rare_n, pa.int64())], names=["word", "n"]))],
                 names=["serial", "id", "held_out", "n_tokens", "n_known", "base", "model", "rare"],
             )
             serial, held, size = serial + count, [], 0

@@ -137,7 +137,6 @@ def _close(table: pa.Table, threshold: float) -> tuple[np.ndarray, np.ndarray]:
     """Pairs within the buckets of a table sorted by bucket whose sketches look similar."""
     bucket = table["bucket"].to_numpy()
     node = table["serial"].to_numpy()
-    side = table["side"].to_numpy() if "side" in table.column_names else None
     sketch = fixed_bytes(table["sketch"], 4 * BINS, "<u4")
     left, right = [], []
     at = np.arange(len(bucket))
@@ -149,8 +148,6 @@ def _close(table: pa.Table, threshold: float) -> tuple[np.ndarray, np.ndarray]:
             break
         for i in range(0, len(at), 20_000):
             a = at[i : i + 20_000]
-            if side is not None:
-                a = a[side[a] != side[a + step]]
             x, y = sketch[a], sketch[a + step]
             both = ((x == y) & (x != 0)).sum(axis=1)
             any_ = ((x != 0) | (y != 0)).sum(axis=1)
@@ -178,27 +175,25 @@ def candidates(reps: DataFrame, threshold: float) -> DataFrame:
     """Links between sets that meet in a bucket of some run and look similar there."""
     found = []
     level = reps.select("serial", F.explode("path1").alias("bucket"))
-    sketches = reps.select("serial", "sketch")
     for depth in range(1, DEPTH + 1):
         sizes = stored(level.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"))
-        small = level.join(sizes.where(F.col("n") <= BUCKET), "bucket").drop("n")
-        found.append(_screen(small.join(sketches, "serial"), threshold))
+        found.append(level.join(sizes.where(F.col("n") <= BUCKET), "bucket").select("serial", "bucket"))
         large = sizes.where(F.col("n") > BUCKET)
         if depth == DEPTH:
             # Buckets that full depth leaves large: all pairs of blocks of them, an exact way for the rest.
             blocks = F.ceil(F.col("n") / LEAF).cast("long")
             split = level.join(large, "bucket").withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("serial"), "blocks"))
             pairs = split.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-            pairs = pairs.select("serial", F.xxhash64("bucket", F.least("own", "other"), F.greatest("own", "other")).alias("bucket"))
-            found.append(_screen(pairs.join(sketches, "serial"), threshold))
+            found.append(pairs.select("serial", F.xxhash64("bucket", F.least("own", "other"), F.greatest("own", "other")).alias("bucket")))
             break
         zipped = reps.select("serial", F.explode(F.arrays_zip(f"parent{depth + 1}", f"path{depth + 1}")).alias("z"))
         deeper = zipped.select("serial", F.col(f"z.parent{depth + 1}").alias("parent"), F.col(f"z.path{depth + 1}").alias("bucket"))
         level = stored(deeper.join(large.select(F.col("bucket").alias("parent")), "parent", "left_semi").select("serial", "bucket"))
-    links = found[0]
+    buckets = found[0]
     for more in found[1:]:
-        links = links.union(more)
-    return links
+        buckets = buckets.union(more)
+    # One join brings the sketches to the buckets of all levels, by the same plan at every size.
+    return _screen(buckets.join(reps.select("serial", "sketch").hint("merge"), "serial"), threshold)
 
 
 def _verify(group: pd.DataFrame, threshold: float) -> pd.DataFrame | None:
@@ -285,7 +280,7 @@ def join(
     texts = texts.join(members.select("text_hash").distinct().hint("merge"), "text_hash", "left_semi").dropDuplicates(["text_hash"])
     sets = texts.select("text").mapInArrow(shingle_sets, "key binary, shingles binary")
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
-    pairs = members.join(sets, "key").withColumn("other", other)
+    pairs = members.hint("merge").join(sets, "key").withColumn("other", other)
     pairs = pairs.select(
         F.xxhash64("component", F.least("block", "other"), F.greatest("block", "other")).alias("pair"),
         F.col("node").alias("serial"), "weight", "block", (F.col("block") != F.col("other")).alias("cross"), "shingles",

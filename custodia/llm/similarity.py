@@ -69,12 +69,12 @@ def _next_paths(value, starts, counts, limit, rows, paths):
 
 
 def _sketch(value, row, n_rows) -> np.ndarray:
-    """One-permutation minimum of each bin of hash values, 0 for an empty bin."""
-    out = np.zeros((n_rows, BINS), dtype=np.uint32)
+    """One byte of the one-permutation minimum of each bin of hash values, 0 for an empty bin."""
+    out = np.zeros((n_rows, BINS), dtype=np.uint8)
     bin_ = (value >> np.uint64(58)).astype(np.int64)
     new = np.ones(len(value), dtype=bool)
     new[1:] = (row[1:] != row[:-1]) | (bin_[1:] != bin_[:-1])  # sorted by row and value
-    out[row[new], bin_[new]] = (mix(value[new], 5) >> np.uint64(33)).astype(np.uint32) + 1
+    out[row[new], bin_[new]] = (mix(value[new], 5) % np.uint64(255)).astype(np.uint8) + np.uint8(1)
     return out
 
 
@@ -137,7 +137,7 @@ def _close(table: pa.Table, threshold: float) -> tuple[np.ndarray, np.ndarray]:
     """Pairs within the buckets of a table sorted by bucket whose sketches look similar."""
     bucket = table["bucket"].to_numpy()
     node = table["serial"].to_numpy()
-    sketch = fixed_bytes(table["sketch"], 4 * BINS, "<u4")
+    sketch = fixed_bytes(table["sketch"], BINS, "u1")
     left, right = [], []
     at = np.arange(len(bucket))
     step = 1

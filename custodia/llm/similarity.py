@@ -177,7 +177,7 @@ def candidates(reps: DataFrame, threshold: float) -> DataFrame:
     level = reps.select("serial", F.explode("path1").alias("bucket"))
     for depth in range(1, DEPTH + 1):
         sizes = stored(level.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"))
-        found.append(level.join(sizes.where(F.col("n") <= BUCKET), "bucket").select("serial", "bucket"))
+        found.append(level.join(sizes.where(F.col("n") <= BUCKET).hint("merge"), "bucket").select("serial", "bucket"))
         large = sizes.where(F.col("n") > BUCKET)
         if depth == DEPTH:
             # Buckets that full depth leaves large: all pairs of blocks of them, an exact way for the rest.
@@ -258,7 +258,8 @@ def join(
     profile = stored(profiles(docs, id_col, text_col, runs_for(recall, threshold), threshold, size))
     full = profile.where("size > 0")
     classes = stored(full.groupBy("key").agg(F.min("serial").alias("rep"), F.count("*").alias("weight")))
-    reps = full.join(classes.select(F.col("rep").alias("serial")), "serial", "left_semi")
+    # Written once, as every level reads other columns of it; joined by the same plan at every size.
+    reps = stored(full.join(classes.select(F.col("rep").alias("serial")).hint("merge"), "serial", "left_semi"))
     looks = components(stored(candidates(reps, threshold)))
     # Sets that look connected are verified together, in blocks, with their exact shingles.
     group = stored(looks.union(looks.select("component", "component").distinct()))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pickle
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -11,7 +13,7 @@ from pyspark.sql import functions as F
 from custodia.llm.common import by_group, components, forest, stored
 
 THRESHOLD = 0.95
-PIVOTS = 32  # children of the root of the whole tree; chosen from a bounded sample
+PIVOTS = 256  # children of the root of the whole tree at most: some, and one for each block of vectors
 SAMPLE = 4096
 BLOCK = 8192  # vectors of one local tree
 RADII = (1.0, 0.5, 0.25)  # nested levels on the unit sphere, halving
@@ -153,10 +155,6 @@ def dual(x: np.ndarray, y: np.ndarray, threshold: float, same: bool, tx: Tree, t
     return i, j
 
 
-def _matrix(blobs, dim: int) -> np.ndarray:
-    return np.frombuffer(b"".join(blobs), dtype="<f8").reshape(-1, dim)
-
-
 def near_duplicates(
     vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", threshold: float = THRESHOLD,
     pivots: int = PIVOTS, block: int = BLOCK,
@@ -186,6 +184,7 @@ def near_duplicates(
     classes = stored(usable.groupBy("v").agg(F.min("serial").alias("node"), F.count("*").alias("weight")))
     # Pivots per length, farthest first from a bounded sample in a fixed order.
     chosen: dict[int, np.ndarray] = {}
+    pivots = min(pivots, 4 + -(-classes.count() // block))
     picked = classes.orderBy(F.xxhash64("v")).limit(SAMPLE).select("v").collect()
     for dim in sorted({len(r["v"]) for r in picked}):
         sample = _unit(np.array([r["v"] for r in picked if len(r["v"]) == dim]))
@@ -223,28 +222,29 @@ def near_duplicates(
     near_b = spark.sparkContext.broadcast((near, parts))
 
     def pack(group: pd.DataFrame) -> pd.DataFrame:
-        """A block as one row per block that it meets: the pair's name and the block's vectors."""
+        """A block as one row per block that it meets: the pair's name, the block's vectors and their tree."""
         dim, cell, part = (int(group[k].iloc[0]) for k in ("dim", "cell", "part"))
         group = group.sort_values("node")
         me = (cell, part)
         rows = []
-        blob = (group["node"].to_numpy().tobytes(), group["weight"].to_numpy().tobytes(), b"".join(group["unit"]))
+        units = np.frombuffer(b"".join(group["unit"]), dtype="<f8").reshape(-1, dim)
+        blob = (group["node"].to_numpy().tobytes(), group["weight"].to_numpy().tobytes(), units.tobytes(), pickle.dumps(Tree(units)))
         for other, count in near_b.value[0][dim, cell]:
             for k in range(count):
                 low, high = sorted((me, (other, k)))
                 rows.append((f"{dim}:{low[0]}:{low[1]}:{high[0]}:{high[1]}", dim, *blob))
-        return pd.DataFrame(rows, columns=["pair", "dim", "nodes", "weights", "units"])
+        return pd.DataFrame(rows, columns=["pair", "dim", "nodes", "weights", "units", "tree"])
 
     part = F.expr("pmod(xxhash64(node), parts)")
     count = F.create_map([F.lit(x) for k, v in parts.items() for x in (f"{k[0]}:{k[1]}", v)]) if parts else F.create_map(F.lit(""), F.lit(1))
     located = placed.withColumn("parts", F.element_at(count, F.concat_ws(":", "dim", "cell"))).withColumn("part", part).drop("parts", "far")
-    blocks = by_group(located, ["dim", "cell", "part"], pack, "pair string, dim int, nodes binary, weights binary, units binary")
+    blocks = by_group(located, ["dim", "cell", "part"], pack, "pair string, dim int, nodes binary, weights binary, units binary, tree binary")
 
     def meet(group: pd.DataFrame) -> pd.DataFrame | None:
         sides = []
         for r in group.itertuples():
             units = np.frombuffer(r.units, dtype="<f8").reshape(-1, r.dim)
-            sides.append((np.frombuffer(r.nodes, "<i8"), np.frombuffer(r.weights, "<i8"), units, Tree(units)))
+            sides.append((np.frombuffer(r.nodes, "<i8"), np.frombuffer(r.weights, "<i8"), units, pickle.loads(r.tree)))
         (na, wa, xa, ta), (nb, wb, xb, tb) = sides[0], sides[-1]
         i, j = dual(xa, xb, threshold, len(sides) == 1, ta, tb)
         if not len(i):

@@ -17,22 +17,13 @@ from custodia.session import ensure_checkpointing
 Fraction = tuple[int, int]
 
 
-# Up to this many rows, a table with one row per group is sent to all executors.
-BROADCAST_GROUPS = 10_000
-
-
-def few_groups(df: DataFrame, by: list[str]) -> bool:
-    """Whether there are few enough groups to broadcast a table of them; a job over the key columns."""
-    return df.select(*by).distinct().limit(BROADCAST_GROUPS + 1).count() <= BROADCAST_GROUPS
-
-
 def attach(df: DataFrame, per_group: DataFrame, by: list[str], few: bool = False) -> DataFrame:
     """Add the columns of a one-row-per-group frame; with no group columns, of a one-row frame.
 
     Groups are matched null-safe. The one-row case is a scalar subquery, not a join. ``few`` says
-    that the number of groups is known to be at most ``BROADCAST_GROUPS``: the groups are then
-    broadcast and ``df``, where one group may hold most rows, is not shuffled. Otherwise the join is
-    left to adaptive execution.
+    that the caller's arguments bound the number of groups: the groups are then broadcast and ``df``,
+    where one group may hold most rows, is not shuffled. Otherwise adaptive execution chooses by the
+    measured size and splits a group that holds most rows.
     """
     extra = [c for c in per_group.columns if c not in by]
     if not by:
@@ -73,11 +64,10 @@ def exact_quantiles(
     brackets (a ``4 / accuracy`` share of a group) are ordered. A bracket that misses its rank is
     replaced by the whole range, so the result does not depend on the sketch.
 
-    ``groups`` is an upper bound of the number of groups where the caller knows one; without it the
-    groups are counted first.
+    ``groups`` is an upper bound of the number of groups where the caller's arguments give one.
     """
     by = by or []
-    few = bool(by) and (few_groups(df, by) if groups is None else groups <= BROADCAST_GROUPS)
+    few = bool(by) and groups is not None
     parts = range(len(fractions))
     values = df.select(*by, F.col(value).cast("double").alias("_v"))
     margin = 2.0 / accuracy
@@ -153,6 +143,5 @@ def running_totals(
     summed = placed.select(
         "*", *[F.sum(c).over(within).alias(f"_w_{name}") for name, c in totals.items()]
     )
-    few = groups is not None and groups + placed.rdd.getNumPartitions() <= BROADCAST_GROUPS
-    joined = attach(summed, offsets, [*by, "_part"], few)
+    joined = attach(summed, offsets, [*by, "_part"], groups is not None)
     return joined.select(*df.columns, *[(F.col(f"_w_{n}") + F.col(f"_o_{n}")).alias(n) for n in totals])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -50,18 +51,37 @@ def fold_changes(changes: DataFrame, keys: list[str], order: list[Column], is_de
     return latest_per_key(marked, keys, order).filter(~F.col("_delete")).drop("_delete")
 
 
+def _change_body(text: Column) -> Column:
+    wrapped = F.array_contains(F.json_object_keys(text), "after")
+    return F.when(wrapped, F.get_json_object(text, "$.after")).otherwise(text)
+
+
+def _undecodable(text: Column) -> Column:
+    """Whether a change is there but neither it nor its new state is a JSON object."""
+    body = _change_body(text)
+    return (text.isNotNull() & F.json_object_keys(text).isNull()) | (body.isNotNull() & F.json_object_keys(body).isNull())
+
+
+def rejected_changes(messages: DataFrame, keys: list[str], value: str = "value") -> DataFrame:
+    """Change messages that cannot be applied, as they came, with the ``rule`` they break."""
+    keyless = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    rule = F.when(_undecodable(F.col(value).cast("string")), "undecodable").when(keyless, "no_key")
+    return messages.withColumn("rule", rule).filter(F.col("rule").isNotNull())
+
+
 def unwrap_change(messages: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
     """New row state of change messages: the ``after`` image, or the message itself when it is flat.
 
     A null message is a tombstone and sets ``is_delete``; so does an envelope whose ``after`` is null.
+    A message that is no JSON object, or whose ``after`` is none, says nothing about its row and is left
+    out; ``rejected_changes`` returns it.
     """
     text = F.col(value).cast("string")
-    after = F.get_json_object(text, "$.after")
-    wrapped = F.array_contains(F.json_object_keys(text), "after")
-    body = F.when(wrapped, after).otherwise(text)
     kept = [c for c in messages.columns if c != value]
     return (
-        messages.withColumns({"_body": body, "is_delete": body.isNull()})
+        messages.filter(~_undecodable(text))
+        .withColumn("_body", _change_body(text))
+        .withColumn("is_delete", F.col("_body").isNull())
         .withColumn("_state", F.from_json("_body", schema))
         .select(*kept, "is_delete", "_state.*")
     )

@@ -40,8 +40,8 @@ def match_within(
 ) -> DataFrame:
     """Requests with the time of the first result of the same key within the limit, or null.
 
-    Requests and results are laid on one time line per key and time bucket and read once with a
-    window, so no pairs are formed. A bucket is as long as the limit; a result is placed in its own
+    Requests and results are laid on one time line per key and time bucket and read once, backwards, with a
+    running minimum, so no pairs are formed and a bucket costs in proportion to its rows. A bucket is as long as the limit; a result is placed in its own
     and the bucket before, where any request it can answer lies. Equal (key, time) points are
     merged first, so that a busy key is spread over its buckets and a bucket holds distinct times only.
     """
@@ -55,9 +55,9 @@ def match_within(
     points = asked.select(key, "_b", "_t", F.lit(None).cast("bigint").alias("_answer")).unionByName(
         answered.select(key, "_b", "_t", F.col("_t").alias("_answer"))
     )
-    following = Window.partitionBy(key, "_b").orderBy("_t").rangeBetween(Window.currentRow, width)
+    following = Window.partitionBy(key, "_b").orderBy(F.col("_t").desc()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
     first = points.withColumn("_first", F.min("_answer").over(following)).filter(F.col("_answer").isNull())
-    answers = first.filter(F.col("_first").isNotNull()).select(
+    answers = first.filter(F.col("_first") <= F.col("_t") + width).select(
         F.col(key).alias("_k"), F.col("_t").alias("_at"), "_first"
     )
     timed = requests.withColumn("_t", micros)

@@ -99,14 +99,15 @@ def gated_integration(
 ) -> dict[str, int]:
     """Validate both feeds, integrate the valid records, notify once per integrated customer.
 
-    The job stops before anything is written when the share of valid records is below the gate.
+    The job stops before anything is written when the share of valid records is below the gate; an
+    empty feed fails any gate above 0.
     """
     checked_crm, checked_kyc = validate_crm(crm), validate_kyc(kyc)
     summary = quality.validation_summary(checked_crm, "crm").unionByName(
         quality.validation_summary(checked_kyc, "kyc")
     )
     for row in summary.collect():  # two rows
-        if row["total"] and row["valid"] / row["total"] < min_valid_share:
+        if min_valid_share > 0 and (not row["total"] or row["valid"] / row["total"] < min_valid_share):
             raise ValueError(f"{row['data_type']}: {row['valid']} of {row['total']} records are valid")
     counts = integrate_to_warehouse(
         checked_crm.filter("is_valid").select("data.*"), checked_kyc.filter("is_valid").select("data.*"), path
@@ -125,18 +126,35 @@ def ingest_validate_retry(
 ) -> dict[str, int]:
     """One bounded run of the CRM chain: land the stream, validate what landed, triage what failed.
 
-    Every step ends on its own, so the next can start.
+    Every step ends on its own, so the next can start. The later steps read what landed as a stream with
+    a checkpoint of its own, so a further run handles new messages only; its counts are of that run.
     """
     spark: SparkSession = messages.sparkSession
     raw = messages.select(F.col("value").cast("string").alias("value"), "topic", "offset")
     ingest.append_stream(raw, f"{folder}/raw", f"{folder}/ckpt/raw").awaitTermination()
-    counts = validate_table(spark.read.parquet(f"{folder}/raw"), schema_path, schema, f"{folder}/validated")
-    dead = spark.read.parquet(f"{folder}/validated").filter(F.col("outcome") == "dead")
-    # An unreadable payload is kept as JSON text, so that the envelope itself stays readable.
-    payload = F.when(F.try_parse_json("value").isNotNull(), F.col("value")).otherwise(F.to_json(F.struct(F.col("value").alias("raw"))))
-    envelope = F.concat(F.lit('{"payload":'), payload, F.lit(f',"schema_path":"{schema_path}","retry_count":0}}'))
-    routed = dead_letters.triage_letters(dead.select(envelope.alias("value")), catalogue, max_retries, clock)
-    writers.append_table(deadletter.to_archive(routed, clock=clock), f"{folder}/archive")
+    checkpoint = f"{folder}/ckpt/validated"
+    writer = ingest.writer_name(spark, checkpoint)
+    counts = {"valid": 0, "invalid": 0}
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        checked = validate_messages(batch, schema_path, schema)
+        outcome = F.when(F.col("is_valid"), "valid").otherwise("dead")
+        stored = f"{folder}/validated/batch_id={writer}-{batch_id}"
+        ingest.write_batch(
+            checked.withColumn("outcome", outcome).drop("is_valid"), f"{folder}/validated", batch_id, partition=["outcome"], writer=writer
+        )
+        done = batch.sparkSession.read.parquet(stored)
+        for row in done.groupBy("outcome").count().collect():  # two rows
+            counts["valid" if row["outcome"] == "valid" else "invalid"] += row["count"]
+        # An unreadable payload is kept as JSON text, so that the envelope itself stays readable.
+        payload = F.when(F.try_parse_json("value").isNotNull(), F.col("value")).otherwise(F.to_json(F.struct(F.col("value").alias("raw"))))
+        envelope = F.concat(F.lit('{"payload":'), payload, F.lit(f',"schema_path":"{schema_path}","retry_count":0}}'))
+        dead = done.filter(F.col("outcome") == "dead").select(envelope.alias("value"))
+        routed = dead_letters.triage_letters(dead, catalogue, max_retries, clock)
+        ingest.write_batch(deadletter.to_archive(routed, clock=clock), f"{folder}/archive", batch_id, writer=writer)
+
+    landed = spark.readStream.schema(raw.schema).parquet(f"{folder}/raw")
+    ingest.each_batch(landed, step, checkpoint).awaitTermination()
     return counts
 
 
@@ -162,12 +180,16 @@ def report_service(log: DataFrame, as_of: Column) -> ServiceReport:
 
 
 def mirror_changes(
-    messages: DataFrame, schema: T.StructType, path: str, objects: str, checkpoint: str, keys: list[str]
+    messages: DataFrame, schema: T.StructType, path: str, objects: str, checkpoint: str, keys: list[str], dead_letters_path: str | None = None
 ) -> list[StreamingQuery]:
-    """Change stream to the mirrored table and to object storage."""
+    """Change stream to the mirrored table and to object storage; changes that cannot be applied go to a
+    dead-letter table where one is named, and never to the mirror."""
     changes = customers.unwrap_change(messages, schema)
     state = mirror.mirror_stream(changes, path, f"{checkpoint}/mirror", keys, "offset")
     files = ingest.each_batch(
         messages, lambda batch, number: writers.write_objects(batch, f"{objects}/batch_id={number}"), f"{checkpoint}/objects"
     )
-    return [state, files]
+    if dead_letters_path is None:
+        return [state, files]
+    rejected = customers.rejected_changes(messages, keys)
+    return [state, files, ingest.append_stream(rejected, dead_letters_path, f"{checkpoint}/rejected")]

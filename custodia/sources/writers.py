@@ -116,12 +116,23 @@ def table_bytes(spark: SparkSession, path: str) -> int:
 
 
 def compact_table(spark: SparkSession, source: str, target: str, file_mb: int = COMPACT_TO_MB) -> int:
-    """Rewrite a Parquet table into files of about the given size; returns the number of tasks.
+    """Rewrite a Parquet table into files of about the given size; returns the number of files to expect.
 
-    The new copy goes to another folder, so readers of the old one are not disturbed.
+    The copy has the partition folders of the source. The new copy goes to another folder, so readers of the old one are not disturbed.
     """
+    rows = spark.read.parquet(source)
+    first = next(iter(rows.inputFiles()), "")
+    stem = source.rstrip("/").rpartition("/")[2]
+    layout = [part.partition("=")[0] for part in first.rpartition(f"/{stem}/")[2].split("/")[:-1] if "=" in part]
     files = max(1, ceil(table_bytes(spark, source) / (file_mb * 1024 * 1024)))
-    spark.read.parquet(source).repartition(files).write.mode("overwrite").parquet(target)
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(size)
+    spark.conf.set(size, f"{file_mb}m")
+    try:
+        out = rows.hint("rebalance", *layout).write.mode("overwrite")
+        (out.partitionBy(*layout) if layout else out).parquet(target)
+    finally:
+        spark.conf.set(size, before)
     return files
 
 

@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from custodia.functions.schema_dispatch import validate_by_path, validate_messages
 from custodia.operators.deadletter import ARCHIVE, RETRY, attempt, parse_envelope, route, to_archive
-from custodia.streaming.ingest import each_batch, write_batch
+from custodia.streaming.ingest import each_batch, write_batch, writer_name
 
 
 def flagged(messages: DataFrame, schema_path: str, schema: dict, value: str = "value") -> DataFrame:
@@ -51,12 +51,13 @@ def triage_stream(
     Each table gets one set-based write per micro-batch, never one per message.
     """
     routed = triage_letters(letters, catalogue, max_retries, clock)
+    writer = writer_name(letters.sparkSession, checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            write_batch(retry_message(batch), retry_path, batch_id)
-            write_batch(to_archive(batch.filter(F.col("route") == ARCHIVE), clock=clock), archive_path, batch_id)
+            write_batch(retry_message(batch), retry_path, batch_id, writer=writer)
+            write_batch(to_archive(batch.filter(F.col("route") == ARCHIVE), clock=clock), archive_path, batch_id, writer=writer)
         finally:
             batch.unpersist()
 
@@ -73,6 +74,7 @@ def process_stream(
     """
     text = messages.withColumn("value", F.col("value").cast("string"))
     outcome = attempt(text, max_retries=max_retries)
-    return each_batch(outcome, lambda b, i: write_batch(b, path, i, partition=["outcome"]), checkpoint, interval)
+    writer = writer_name(messages.sparkSession, checkpoint)
+    return each_batch(outcome, lambda b, i: write_batch(b, path, i, partition=["outcome"], writer=writer), checkpoint, interval)
 
 

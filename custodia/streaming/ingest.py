@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -60,6 +61,7 @@ def ingest(
         messages.withColumnsRenamed(dict(zip(origin, renamed, strict=True))), schema, "_value", tuple(renamed)
     )
     good = [f.name for f in schema.fields]
+    writer = writer_name(messages.sparkSession, checkpoint)
 
     def split(batch: DataFrame, batch_id: int) -> None:
         rows = batch.filter(F.col(CORRUPT).isNull()).select(*good)
@@ -77,8 +79,8 @@ def ingest(
         )
         batch.persist()  # the source and the parser run once for both tables
         try:
-            write_batch(stamp(rows, clock=clock), path, batch_id, fmt)
-            write_batch(bad, dead_letters, batch_id, fmt)
+            write_batch(stamp(rows, clock=clock), path, batch_id, fmt, writer=writer)
+            write_batch(bad, dead_letters, batch_id, fmt, writer=writer)
         finally:
             batch.unpersist()
 
@@ -93,15 +95,34 @@ def each_batch(
     return triggered(writer, interval).start()
 
 
-def write_batch(rows: DataFrame, path: str, batch_id: int, fmt: str = "parquet", partition: list[str] | None = None) -> None:
-    """Write one micro-batch under its own ``batch_id`` folder.
+def writer_name(spark: SparkSession, checkpoint: str) -> str:
+    """The identity of the writer that owns a checkpoint, kept in its folder.
+
+    Batch numbers start at 0 in every checkpoint. With the writer's name in front, two streams, or one
+    stream under a new checkpoint, never replace each other's batches in a shared table.
+    """
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{checkpoint.rstrip('/')}/writer")
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        stream = fs.create(path, False)
+        stream.write(uuid.uuid4().hex.encode())
+        stream.close()
+    return spark.read.text(path.toString()).first()[0]
+
+
+def write_batch(
+    rows: DataFrame, path: str, batch_id: int, fmt: str = "parquet", partition: list[str] | None = None, writer: str = ""
+) -> None:
+    """Write one micro-batch under its own folder, named by its writer and number.
 
     A replayed batch replaces what its first try left behind, so nothing is stored twice.
     """
-    writer = rows.write.format(fmt).mode("overwrite")
+    name = f"{writer}-{batch_id}" if writer else str(batch_id)
+    out = rows.write.format(fmt).mode("overwrite")
     if partition:
-        writer = writer.partitionBy(*partition)
-    writer.save(f"{path}/batch_id={batch_id}")
+        out = out.partitionBy(*partition)
+    out.save(f"{path}/batch_id={name}")
 
 
 def fan_out(

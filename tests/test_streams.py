@@ -84,6 +84,25 @@ def test_mirror_over_two_runs(spark, tmp_path):
     assert spark.read.parquet(objects).count() == 5
 
 
+def test_mirror_goes_on_after_a_fold_and_refuses_what_it_cannot_apply(spark, tmp_path):
+    source, out, folded, bad = (str(tmp_path / n) for n in ("in", "out", "folded", "bad"))
+
+    def send(rows, first, target, ckpt):
+        df = spark.createDataFrame([(bytearray(k.encode()) if k else None, bytearray(v.encode()) if v else None, "crm", 0, first + i, TS) for i, (k, v) in enumerate(rows)], readers.ENVELOPE)
+        df.write.mode("append").parquet(source)
+        for q in jobs.mirror_changes(readers.stream_landed(spark, source), customer_schema(), target, str(tmp_path / f"objects_{ckpt}"), str(tmp_path / ckpt), ["key"], bad):
+            q.awaitTermination()
+
+    send([("a", '{"name":"x"}'), ("b", '{"name":"y"}'), ("a", '{"name":'), (None, '{"name":"q"}')], 0, out, "c1")
+    state = mirror.read_mirror(spark, out, ["key"], "offset")
+    assert sorted((bytes(r["key"]).decode(), r["name"]) for r in state.collect()) == [("a", "x"), ("b", "y")]
+    assert sorted((r["offset"], r["rule"]) for r in spark.read.parquet(bad).collect()) == [(2, "undecodable"), (3, "no_key")]
+    mirror.fold_mirror(spark, out, folded, ["key"], "offset")
+    send([("c", '{"name":"z"}')], 4, folded, "c2")
+    state = mirror.read_mirror(spark, folded, ["key"], "offset")
+    assert sorted((bytes(r["key"]).decode(), r["name"]) for r in state.collect()) == [("a", "x"), ("b", "y"), ("c", "z")]
+
+
 def customer_schema():
     from pyspark.sql import types as T
 

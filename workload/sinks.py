@@ -122,7 +122,7 @@ def object_store_files(d):
 )
 def compacted_table(d):
     source, target = d.scratch(), d.scratch()
-    d.table("orders").select("o_orderkey", "o_orderstatus").repartition(16).write.parquet(source)
+    d.table("orders").select("o_orderkey", "o_orderstatus").repartition(16).write.partitionBy("o_orderstatus").parquet(source)
     writers.compact_table(d.spark, source, target)
     return d.spark.read.parquet(target)
 
@@ -177,8 +177,8 @@ def audit_log(d):
 @query(
     "validated_table",
     f"""WITH {TXN_ERRORS}
-    SELECT 'valid' AS outcome, t.msg_offset, t.value FROM txn_msg t WHERE t.msg_offset NOT IN (SELECT msg_offset FROM found)
-    UNION ALL SELECT 'dead', t.msg_offset, t.value FROM txn_msg t WHERE t.msg_offset IN (SELECT msg_offset FROM found)""",
+    SELECT CASE WHEN f.msg_offset IS NULL THEN 'valid' ELSE 'dead' END AS outcome, t.msg_offset, t.value
+    FROM txn_msg t LEFT JOIN (SELECT DISTINCT msg_offset FROM found) f ON t.msg_offset = f.msg_offset""",
     "txn_msg",
 )
 def validated_table(d):

@@ -140,6 +140,20 @@ def stream_change_mirror(d):
     return rows.select(F.col("key").cast("string").alias("id"), "status")
 
 
+@query(
+    "stream_shared_dead_letters",
+    f"""WITH {PARSED} SELECT topic, count(*) AS messages FROM p, (VALUES ('crm_a'), ('crm_b')) s(topic) WHERE j IS NULL OR bad_field GROUP BY topic""",
+    "txn_msg",
+)
+def stream_shared_dead_letters(d):
+    """Two feeds with checkpoints of their own and one dead-letter table."""
+    dead = d.scratch()
+    for topic in ("crm_a", "crm_b"):
+        messages = landed(d, envelope(d).withColumn("topic", F.lit(topic)))
+        drain(ingest.ingest(messages, TRANSACTION_STREAM, d.scratch(), d.scratch(), dead_letters=dead))
+    return d.spark.read.parquet(dead).groupBy("topic").agg(F.count("*").alias("messages"))
+
+
 @query(
     "stream_request_result_match",
     """SELECT q.request_id, CASE WHEN count(r.ts) > 0 THEN 'answered' ELSE 'timeout' END AS status

@@ -5,6 +5,7 @@ All operators read only the columns they name, so extra columns of the input nev
 
 from __future__ import annotations
 
+import ctypes
 import io
 import uuid
 import zipfile
@@ -63,6 +64,24 @@ def stored(frame: DataFrame) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def tidy(run: Callable) -> Callable:
+    """A function over batches that gives freed memory back at the end of its task.
+
+    Python workers live on for later tasks; what they keep would count against those.
+    """
+
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+
+    return wrapped
+
+
 def text_chunks(array: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, offsets) of consecutive rows with about ``limit`` bytes; null is empty."""
     array = pc.fill_null(array.cast(pa.large_binary()), b"")
@@ -196,7 +215,7 @@ def by_group(frame: DataFrame, key: list[str], build: Callable[[pd.DataFrame], p
             if made is not None and len(made):
                 yield made
 
-    return frame.repartition(*key).sortWithinPartitions(*key).mapInPandas(run, schema)
+    return frame.repartition(*key).sortWithinPartitions(*key).mapInPandas(tidy(run), schema)
 
 
 def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from custodia.llm.common import by_group, components, forest, stored
+from custodia.llm.common import by_group, components, forest, stored, tidy
 
 THRESHOLD = 0.95
 PIVOTS = 256  # children of the root of the whole tree at most: some, and one for each block of vectors
@@ -208,7 +208,7 @@ def near_duplicates(
                 kinds = (pa.int32(), pa.int32(), pa.float64(), pa.int64(), pa.int64(), pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=["dim", "cell", "far", "node", "weight", "unit"])
 
-    placed = stored(classes.select("node", "weight", "v").mapInArrow(assign, "dim int, cell int, far double, node long, weight long, unit binary"))
+    placed = stored(classes.select("node", "weight", "v").mapInArrow(tidy(assign), "dim int, cell int, far double, node long, weight long, unit binary"))
     cells = placed.groupBy("dim", "cell").agg(F.count("*").alias("n"), F.max("far").alias("radius")).collect()  # PIVOTS per length
     limit = float(_chord(np.array(threshold))) + 1e-6
     near: dict[tuple[int, int], list[tuple[int, int]]] = {}

@@ -11,6 +11,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from custodia.llm.common import tidy
+
 MIN_PAGES = 8  # pages of a host that must share a node before it can be judged
 LOW = 0.25  # composite importance below which a branch is removed
 GAMMA = 0.9  # weight of the branch's content against its own presentation, per kind of presentation
@@ -179,7 +181,7 @@ def style_tree(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
                 )
 
     rows = pages.select(host_of(url_col).alias("host"), F.col(html_col).cast("string").alias("html"))
-    counts = rows.mapInArrow(run, "host string, node long, kind int, feature long, n long")
+    counts = rows.mapInArrow(tidy(run), "host string, node long, kind int, feature long, n long")
     counts = counts.groupBy("host", "node", "kind", "feature").agg(F.sum("n").alias("n"))
     # Per node: pages; sum of n log n over presentations and over texts, which give the entropies.
     nodes = counts.groupBy("host", "node").agg(
@@ -225,4 +227,4 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
             )
 
     kinds = [pages.schema[c].dataType.simpleString() for c in (id_col, url_col)]
-    return joined.mapInArrow(run, f"{id_col} {kinds[0]}, {url_col} {kinds[1]}, text string, n_chars long")
+    return joined.mapInArrow(tidy(run), f"{id_col} {kinds[0]}, {url_col} {kinds[1]}, text string, n_chars long")

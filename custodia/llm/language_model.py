@@ -14,7 +14,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from custodia.llm.common import by_group, stored
+from custodia.llm.common import by_group, stored, tidy
 
 END = b"\n"  # the end token; no word contains white space
 HEAD_WORDS = 767  # words with outputs of their own, besides the end
@@ -94,7 +94,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
                     yield emit()
         yield emit()
 
-    return docs.select("text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return docs.select("text").mapInArrow(tidy(run), "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def vocabulary(counts: DataFrame, head_words: int = HEAD_WORDS, known_words: int = KNOWN_WORDS) -> Vocabulary:
@@ -373,7 +373,7 @@ def train(docs: DataFrame, vocab: Vocabulary, rounds: int = 2, seed: int = 7) ->
             return pd.DataFrame({"slot": [group["slot"].iloc[0]], "part": [group["part"].iloc[0]], "tokens": [group["tokens"].sum()], "sums": [total.tobytes()]})
 
         schema = "slot int, part int, tokens double, sums binary"
-        learned = stored(share.select("text").mapInArrow(run, schema))
+        learned = stored(share.select("text").mapInArrow(tidy(run), schema))
         sums = by_group(by_group(learned, ["slot", "part"], add, schema), ["slot"], add, schema).orderBy("slot").collect()
         if sums:
             net.flat[:] = np.concatenate([np.frombuffer(r["sums"], dtype="<f8") / r["tokens"] for r in sums])
@@ -454,8 +454,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 
     kind = docs.schema[id_col].dataType.simpleString()
     partial = stored(
-        rows.select(id_col, "text", "held_out").mapInArrow(
-            run, f"serial long, id {kind}, held_out boolean, n_tokens long, n_known long, base double, model double, rare array<struct<word:binary,n:long>>"
+        rows.select(id_col, "text", "held_out").mapInArrow(tidy(run), f"serial long, id {kind}, held_out boolean, n_tokens long, n_known long, base double, model double, rare array<struct<word:binary,n:long>>"
         )
     )
     # Words beyond the broadcast ones: their counts are joined and summed per document.

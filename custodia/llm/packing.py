@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from custodia.llm.common import tidy
+
 CAPACITY = 2048
 SEGMENTS = 256  # segments of a sequence
 POOL = 512  # pieces a task chooses from
@@ -160,6 +162,5 @@ def pack_documents(
 
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(
-        run, f"{id_col} {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+    return rows.mapInArrow(tidy(run), f"{id_col} {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
     )

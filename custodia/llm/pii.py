@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from custodia.llm.common import tidy
+
 # The base kinds in the order in which spans of one start are listed, then the added ones.
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "url", "account", "address")
@@ -245,7 +247,7 @@ def find_in_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"{id_col} {kind}, " + ", ".join(f"n_{k} long" for k in BASE) + ", base_sha256 string, spans string"
     rows = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, schema + (", masked_text string" if masked else ""))
+    return rows.mapInArrow(tidy(run), schema + (", masked_text string" if masked else ""))
 
 
 def masked_text(column: Column) -> Column:

@@ -12,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from custodia.llm.common import mix, prefix_hashes, stored, text_chunks, whole_groups
+from custodia.llm.common import mix, prefix_hashes, stored, text_chunks, tidy, whole_groups
 
 LENGTH = 200  # bytes of a passage
 ANCHOR = 100  # bytes of the string that names a passage's group
@@ -169,7 +169,7 @@ def _occurrences(texts: DataFrame) -> DataFrame:
                 blobs = pa.BinaryArray.from_buffers(pa.binary(), len(cuts) - 1, [None, pa.py_buffer(cuts.astype(np.int32).tobytes()), pa.py_buffer(places.tobytes())])
                 yield pa.RecordBatch.from_arrays([pa.array(anchor[new].view(np.int64)), pa.array(context[new].view(np.int64)), blobs], names=["anchor", "context", "places"])
 
-    return texts.mapInArrow(run, "anchor long, context long, places binary")
+    return texts.mapInArrow(tidy(run), "anchor long, context long, places binary")
 
 
 def _decide(occurrences: DataFrame) -> DataFrame:
@@ -235,7 +235,7 @@ def _decide(occurrences: DataFrame) -> DataFrame:
                 yield emit(whole, single)
 
     ordered = occurrences.repartition("anchor").sortWithinPartitions("anchor", "context")
-    return ordered.mapInArrow(run, "anchor long, places binary, serial long, start long, run long, alone boolean")
+    return ordered.mapInArrow(tidy(run), "anchor long, places binary, serial long, start long, run long, alone boolean")
 
 
 _RANGES = "serial long, start long, run long"
@@ -251,7 +251,7 @@ def _whole(decided: DataFrame) -> DataFrame:
             places = np.frombuffer(b"".join(batch.column(0).to_pylist()), dtype=_PLACE)
             yield _ranges(places["serial"], places["start"], places["run"])
 
-    return decided.where("places IS NOT NULL").select("places").mapInArrow(run, _RANGES)
+    return decided.where("places IS NOT NULL").select("places").mapInArrow(tidy(run), _RANGES)
 
 
 def _search(contexts: DataFrame) -> DataFrame:
@@ -281,7 +281,7 @@ def _search(contexts: DataFrame) -> DataFrame:
             if made is not None:
                 yield made
 
-    return contexts.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, _RANGES)
+    return contexts.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(tidy(run), _RANGES)
 
 
 def _count_windows(contexts: DataFrame) -> DataFrame:
@@ -297,7 +297,7 @@ def _count_windows(contexts: DataFrame) -> DataFrame:
                     names=["name", "serial", "start", "alone"],
                 )
 
-    windows = contexts.select("serial", "start", "alone", "bytes").mapInArrow(run, "name binary, serial long, start long, alone boolean")
+    windows = contexts.select("serial", "start", "alone", "bytes").mapInArrow(tidy(run), "name binary, serial long, start long, alone boolean")
     often = windows.groupBy("name").agg(F.count("*").alias("n")).where("n > 1")
     return windows.where("alone").join(often, "name", "left_semi").select("serial", "start", F.lit(0).cast("long").alias("run"))
 
@@ -333,7 +333,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = docs.select(
         F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), *(F.col(c).alias(h) for h, c in zip(held, carry))
     )
-    texts = stored(rows.mapInArrow(number, f"serial long, id {kind}, packed binary{carried}"))
+    texts = stored(rows.mapInArrow(tidy(number), f"serial long, id {kind}, packed binary{carried}"))
 
     def unpack(batches):
         open_ = zstandard.ZstdDecompressor()
@@ -342,7 +342,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 part = batch.slice(at, 500)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([open_.decompress(b) for b in part.column(1).to_pylist()], pa.binary())], names=["serial", "bytes"])
 
-    full = texts.where("packed IS NOT NULL").select("serial", "packed").mapInArrow(unpack, "serial long, bytes binary")
+    full = texts.where("packed IS NOT NULL").select("serial", "packed").mapInArrow(tidy(unpack), "serial long, bytes binary")
     decided = stored(_decide(_occurrences(full)))
     singles = decided.where("places IS NULL")
     # All contexts of one text are cut from it at once.
@@ -365,7 +365,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary())
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=["anchor", "serial", "start", "run", "alone", "bytes"])
 
-    contexts = texts.select("serial", "packed").join(wanted, "serial").mapInArrow(cut, "anchor long, serial long, start long, run long, alone boolean, bytes binary")
+    contexts = texts.select("serial", "packed").join(wanted, "serial").mapInArrow(tidy(cut), "anchor long, serial long, start long, run long, alone boolean, bytes binary")
     hot = stored(singles.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > HOT).select("anchor"))
     ranges = _whole(decided)
     if hot.isEmpty():
@@ -401,5 +401,5 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     names = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"][: 5 if keep_text else 4]
     schema = f"id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept_text string" if keep_text else "")
     joined = texts.join(marked, "serial", "left").select("id", "packed", "ranges", *held)
-    done = joined.mapInArrow(finish, schema + carried)
+    done = joined.mapInArrow(tidy(finish), schema + carried)
     return done.select(F.col("id").alias(id_col), *names, *(F.col(h).alias(c) for h, c in zip(held, carry)))

@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from custodia.llm.common import by_group, components, fixed_bytes, forest, mix, shingles, stored, text_chunks, whole_groups, words
+from custodia.llm.common import by_group, components, fixed_bytes, forest, mix, shingles, stored, text_chunks, tidy, whole_groups, words
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -130,7 +130,7 @@ def profiles(docs: DataFrame, id_col: str, text_col: str, runs: int, threshold:
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).withColumn("text_hash", F.xxhash64("text"))
     schema = f"serial long, id {kind}, text_hash long, key binary, size long, sketch binary, " + ", ".join(f"{n} array<long>" for n in names)
-    return rows.select("id", "text", "text_hash").mapInArrow(run, schema)
+    return rows.select("id", "text", "text_hash").mapInArrow(tidy(run), schema)
 
 
 def _close(table: pa.Table, threshold: float) -> tuple[np.ndarray, np.ndarray]:
@@ -168,7 +168,7 @@ def _screen(buckets: DataFrame, threshold: float) -> DataFrame:
                 node, root = forest(a, b)
                 yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(root)], names=["a", "b"])
 
-    return buckets.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, "a long, b long")
+    return buckets.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(tidy(run), "a long, b long")
 
 
 def candidates(reps: DataFrame, threshold: float) -> DataFrame:
@@ -279,7 +279,7 @@ def join(
     texts = docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).withColumn("text_hash", F.xxhash64("text"))
     # The same plan at every size: a side that is small today grows with the copies.
     texts = texts.join(members.select("text_hash").distinct().hint("merge"), "text_hash", "left_semi").dropDuplicates(["text_hash"])
-    sets = texts.select("text").mapInArrow(shingle_sets, "key binary, shingles binary")
+    sets = texts.select("text").mapInArrow(tidy(shingle_sets), "key binary, shingles binary")
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
     pairs = members.hint("merge").join(sets, "key").withColumn("other", other)
     pairs = pairs.select(

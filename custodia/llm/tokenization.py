@@ -15,6 +15,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from custodia.llm.common import tidy
+
 CACHE = 400_000  # encoded chunks a worker remembers
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
 
@@ -208,7 +210,7 @@ def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
 
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, f"id {kind}, ids binary, n_tokens long, decoded binary")
+    return rows.mapInArrow(tidy(run), f"id {kind}, ids binary, n_tokens long, decoded binary")
 
 
 def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -234,4 +236,4 @@ def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
 
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, f"{id_col} {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return rows.mapInArrow(tidy(run), f"{id_col} {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")

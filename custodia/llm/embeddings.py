@@ -16,7 +16,7 @@ THRESHOLD = 0.95
 PIVOTS = 256  # children of the root of the whole tree at most: some, and one for each block of vectors
 SAMPLE = 4096
 BLOCK = 8192  # vectors of one local tree
-RADII = (1.0, 0.5, 0.25)  # nested levels on the unit sphere, halving
+RADII = (0.5, 0.25, 0.125)  # nested levels on the unit sphere, halving; wider nodes prune nothing there
 SLACK = 1e-6  # of bounds worked out in single precision
 _SCHEMA = "node long, links long, root long"
 
@@ -93,7 +93,7 @@ class Tree:
                     centers += part[mids].tolist()
                     reach += np.where(np.diff(cuts) > 1, worst + 1e-3, 0.0).tolist()
                 kids.append((first, len(begins)))
-            self.levels.append((np.array(begins, int), np.array(ends, int), np.array(centers, int), np.array(reach)))
+            self.levels.append((np.array(begins, int), np.array(ends, int), np.array(centers, int), np.array(reach, dtype=np.float32)))
             self.children.append(kids)
             spans = list(zip(begins, ends))
         self.order = order
@@ -104,7 +104,7 @@ def dual(x: np.ndarray, y: np.ndarray, threshold: float, same: bool, tx: Tree, t
 
     Pairs of nodes whose centers are farther apart than both radii and the threshold's chord are pruned.
     """
-    limit = float(_chord(np.array(threshold))) + 1e-3
+    limit = np.float32(float(_chord(np.array(threshold))) + 1e-3)
     out_i, out_j = [], []
     sx, sy = x.astype(np.float32), y.astype(np.float32)
     # Top level: all centers of both trees, by blocks.
@@ -114,7 +114,7 @@ def dual(x: np.ndarray, y: np.ndarray, threshold: float, same: bool, tx: Tree, t
     for i in range(0, len(cx), 1024):
         d = sx[cx[i : i + 1024]] @ sy[cy].T
         bound = limit + rx[i : i + 1024, None] + ry[None, :]
-        a, b = np.nonzero((d >= 1.0 - np.minimum(bound, 2.0) ** 2 / 2.0 - SLACK))
+        a, b = np.nonzero((d >= np.float32(1) - np.square(np.minimum(bound, np.float32(2))) / np.float32(2) - np.float32(SLACK)))
         a = a + i
         if same:
             a, b = a[a <= b], b[a <= b]
@@ -137,7 +137,7 @@ def dual(x: np.ndarray, y: np.ndarray, threshold: float, same: bool, tx: Tree, t
         _, _, cy, ry = ty.levels[level + 1]
         d = sx[cx[u0:u1]] @ sy[cy[v0:v1]].T
         bound = limit + rx[u0:u1, None] + ry[None, v0:v1]
-        a, b = np.nonzero(d >= 1.0 - np.minimum(bound, 2.0) ** 2 / 2.0 - SLACK)
+        a, b = np.nonzero(d >= np.float32(1) - np.square(np.minimum(bound, np.float32(2))) / np.float32(2) - np.float32(SLACK))
         a, b = a + u0, b + v0
         if same and u == v:
             a, b = a[a <= b], b[a <= b]

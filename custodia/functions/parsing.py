@@ -45,17 +45,18 @@ def parse_or_quarantine(
 ) -> DataFrame:
     """Flatten like :func:`parse_json` and say in ``_corrupt_record`` which text could not be read.
 
-    Rows with a non-null ``_corrupt_record`` belong in a dead-letter table. A null message is
+    Rows with a non-null ``_corrupt_record`` belong in a dead-letter table. A null or blank message is
     corrupt as well; its text is the empty string.
     """
     with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     text = decode_value(value)
     parsed = F.from_json(text, with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
     fields = [F.col(f"data.`{f.name}`") for f in schema.fields]
+    blank = F.btrim(F.coalesce("_text", F.lit("")), F.lit(" \t\r\n")) == ""
     return messages.select(*keep, text.alias("_text"), parsed.alias("data")).select(
         *keep,
         *fields,
-        F.when(F.col("_text").isNull(), F.lit("")).otherwise(F.col(f"data.{CORRUPT}")).alias(CORRUPT),
+        F.when(blank, F.lit("")).otherwise(F.col(f"data.{CORRUPT}")).alias(CORRUPT),
     )
 
 

@@ -13,6 +13,7 @@ from custodia.functions.records import crm_normalised, crm_rules, kyc_normalised
 from custodia.functions.rules import validate
 from custodia.functions.schema_dispatch import validate_messages
 from custodia.operators import customers, deadletter, drift, quality, service
+from custodia.session import ensure_checkpointing
 from custodia.sources import writers
 from custodia.streaming import dead_letters, ingest, mirror
 
@@ -32,6 +33,11 @@ def validate_kyc(kyc: DataFrame) -> DataFrame:
     return validate(kyc, kyc_rules(), kyc_normalised())
 
 
+def validate_batch(records: DataFrame, data_type: str) -> DataFrame:
+    """Validate a batch by its type: ``crm`` by the CRM rules, every other type by the KYC rules."""
+    return validate_crm(records) if data_type == "crm" else validate_kyc(records)
+
+
 def integrate_to_warehouse(crm: DataFrame, kyc: DataFrame, path: str, latest_only: bool = False) -> dict[str, int]:
     """Join CRM and KYC records into the warehouse; returns the rows of each stage.
 
@@ -41,12 +47,19 @@ def integrate_to_warehouse(crm: DataFrame, kyc: DataFrame, path: str, latest_onl
     rows = F.count(F.lit(1)).alias("row_count")
     joined = customers.integrate(crm.observe(seen["crm"], rows), kyc.observe(seen["kyc"], rows), latest_only)
     writers.overwrite_warehouse(joined.observe(seen["integrated"], rows), path)
-    return {name: observation.get["row_count"] for name, observation in seen.items()}
+    return {name: writers.observed(observation, "row_count") for name, observation in seen.items()}
 
 
-def enrich_to_lake(crm: DataFrame, responses: DataFrame, path: str, clock: Column | None = None, fmt: str = "parquet") -> None:
-    """Append customers with their KYC response to the lake."""
-    writers.append_table(customers.enrich(crm, responses, "customer_id", "kyc_response_json", clock), path, fmt)
+def enrich_to_lake(
+    crm: DataFrame, responses: DataFrame, path: str, clock: Column | None = None, fmt: str = "parquet",
+    audit: str | None = None, batch_id: int = 0,
+) -> None:
+    """Append customers with their KYC response to the lake, and a row of the write to the audit log where one is named."""
+    enriched = customers.enrich(crm, responses, "customer_id", "kyc_response_json", clock)
+    if audit is None:
+        writers.append_table(enriched, path, fmt)
+    else:
+        writers.append_audited(enriched, path, audit, "enriched_customers", batch_id, clock, fmt)
 
 
 def validate_table(messages: DataFrame, schema_path: str, schema: dict, path: str, value: str = "value") -> dict[str, int]:
@@ -61,7 +74,7 @@ def validate_table(messages: DataFrame, schema_path: str, schema: dict, path: st
     )
     outcome = F.when(F.col("is_valid"), "valid").otherwise("dead")
     checked.withColumn("outcome", outcome).drop("is_valid").write.mode("append").partitionBy("outcome").parquet(path)
-    return dict(counts.get)
+    return {name: writers.observed(counts, name) for name in ("valid", "invalid")}
 
 
 def triage(letters: DataFrame, catalogue: dict[str, dict], retry: str, archive: str, checkpoint: str, **options) -> StreamingQuery:
@@ -169,8 +182,12 @@ class ServiceReport:
 
 
 def report_service(log: DataFrame, as_of: Column) -> ServiceReport:
-    """Load, phase and service-level reports of one request log."""
-    summary, tails = service.load_summary(log), service.load_quantiles(log)
+    """Load, phase and service-level reports of one request log.
+
+    The summary and the tails, a row each, are stored first; the reports that read them do not scan the log again.
+    """
+    ensure_checkpointing(log.sparkSession)
+    summary, tails = service.load_summary(log).checkpoint(), service.load_quantiles(log).checkpoint()
     measured = service.service_metrics(summary, tails, quality.freshness(log, "ts", as_of))
     slos = service.slo_report(measured, service.slo_definitions(log))
     return ServiceReport(

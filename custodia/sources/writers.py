@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from math import ceil
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 COMPACT_TO_MB = 128
@@ -22,8 +24,22 @@ def overwrite_warehouse(df: DataFrame, path: str, partition: str = "risk_level")
     """Replace the warehouse table, partitioned by risk level (null goes to the default partition).
 
     There is no shuffle by level before the write: a level with most of the rows is written by all tasks.
+    The new table is written beside the old one and put in its place once complete, so a write that
+    fails leaves the old table as it was.
     """
-    df.write.mode("overwrite").partitionBy(partition).parquet(path)
+    path = path.rstrip("/")
+    staged, old = (f"{path}.{kind}-{uuid.uuid4().hex}" for kind in ("staged", "old"))
+    df.write.partitionBy(partition).parquet(staged)
+    jvm = df.sparkSession.sparkContext._jvm
+    here, new, aside = (jvm.org.apache.hadoop.fs.Path(p) for p in (path, staged, old))
+    fs = here.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration())
+    replaced = fs.exists(here)
+    if replaced and not fs.rename(here, aside):
+        raise OSError(f"cannot move {path}")
+    if not fs.rename(new, here):
+        raise OSError(f"cannot move {staged} to {path}")
+    if replaced:
+        fs.delete(aside, True)
 
 
 def append_invalid(validated: DataFrame, path: str, fmt: str = "parquet") -> None:
@@ -138,9 +154,38 @@ def compact_table(spark: SparkSession, source: str, target: str, file_mb: int =
 
 def audit_row(df: DataFrame, table: str, batch_id: int, clock: Column | None = None) -> DataFrame:
     """Audit row of one write: batch, table, number of rows, time."""
-    return df.agg(F.count("*").alias("row_count")).select(
+    return _audit(df.agg(F.count("*").alias("row_count")), table, batch_id, clock)
+
+
+def _audit(counted: DataFrame, table: str, batch_id: int, clock: Column | None) -> DataFrame:
+    return counted.select(
         F.lit(batch_id).cast("bigint").alias("batch_id"),
         F.lit(table).alias("table_name"),
         "row_count",
         (F.current_timestamp() if clock is None else clock).alias("written_at"),
     )
+
+
+def observed(observation: Observation, name: str) -> int:
+    """A count seen during a write; zero when the rows were known to be empty and their plan did not run."""
+    try:
+        return observation.get[name]
+    except Py4JJavaError as error:  # Spark asserts that there is a row
+        if error.java_exception.getClass().getName() != "java.lang.AssertionError":
+            raise
+        return 0
+
+
+def append_audited(
+    df: DataFrame, path: str, audit: str, table: str, batch_id: int, clock: Column | None = None, fmt: str = "parquet"
+) -> int:
+    """Append to a table and then one audit row of that write to the audit log; returns the rows written.
+
+    Rows are counted while they are written. A write without an audit row did not reach its end.
+    """
+    seen = Observation()
+    append_table(df.observe(seen, F.count(F.lit(1)).alias("row_count")), path, fmt)
+    rows = observed(seen, "row_count")
+    counted = df.sparkSession.range(1).select(F.lit(rows).cast("bigint").alias("row_count"))
+    append_table(_audit(counted, table, batch_id, clock), audit, fmt)
+    return rows

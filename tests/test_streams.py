@@ -185,6 +185,39 @@ def test_warehouse_null_level_and_overwrite(spark, tmp_path):
     assert (tmp_path / "w" / "risk_level=__HIVE_DEFAULT_PARTITION__").is_dir()
 
 
+def test_a_failed_write_leaves_the_old_warehouse(spark, tmp_path):
+    path = str(tmp_path / "w")
+    writers.overwrite_warehouse(spark.createDataFrame([("a", "low")], "customer_id string, risk_level string"), path)
+    broken = spark.range(3).select(F.when(F.col("id") == 2, F.raise_error(F.lit("bad row"))).otherwise(F.lit("x")).cast("string").alias("customer_id"), F.lit("low").alias("risk_level"))
+    with pytest.raises(Exception, match="bad row"):
+        writers.overwrite_warehouse(broken, path)
+    assert [r["customer_id"] for r in spark.read.parquet(path).collect()] == ["a"]
+
+
+def test_counts_of_empty_feeds_are_zero(spark, tmp_path):
+    crm = spark.createDataFrame([], "customer_id string, first_name string, last_name string, email string, phone string, address string, updated_at string")
+    kyc = spark.createDataFrame([], "customer_id string, id_type string, id_number string, verification_status string, risk_level string, verified_at string")
+    counts = jobs.integrate_to_warehouse(crm, kyc, str(tmp_path / "w"))
+    assert counts == {"crm": 0, "kyc": 0, "integrated": 0}
+    with pytest.raises(ValueError, match="0 of 0"):
+        jobs.gated_integration(crm, kyc, str(tmp_path / "w"), str(tmp_path / "n"), min_valid_share=0.1)
+
+
+def test_audit_row_of_each_write(spark, tmp_path):
+    path, audit = str(tmp_path / "t"), str(tmp_path / "audit")
+    assert writers.append_audited(spark.range(5), path, audit, "t", 1) == 5
+    assert writers.append_audited(spark.range(5).filter("false"), path, audit, "t", 2) == 0
+    assert sorted((r["batch_id"], r["table_name"], r["row_count"]) for r in spark.read.parquet(audit).collect()) == [(1, "t", 5), (2, "t", 0)]
+
+
+def test_blank_lines_are_dead_letters(spark, tmp_path):
+    source, out, dead = (str(tmp_path / n) for n in ("in", "out", "dead"))
+    land(spark, source, [txn(1), "", " \t"])
+    ingest.ingest(readers.stream_landed(spark, source), TRANSACTION_STREAM, out, str(tmp_path / "c"), dead_letters=dead).awaitTermination()
+    assert spark.read.parquet(out).count() == 1
+    assert sorted(r["offset"] for r in spark.read.parquet(dead).filter("error.rule = 'undecodable'").collect()) == [1, 2]
+
+
 def test_report_file_and_merge_text(spark, tmp_path):
     writers.write_report(spark.createDataFrame([(1, "x")], "a int, b string"), str(tmp_path / "r"))
     assert [json.loads(p.read_text()) for p in (tmp_path / "r").glob("part-*")] == [{"a": 1, "b": "x"}]

@@ -11,7 +11,7 @@ from custodia.functions.records import hostile_identifier, scoring_rules
 from custodia.functions.rules import error_codes, split_valid, validate
 from custodia.functions.schema_dispatch import validate_by_path, validate_messages
 from custodia.operators import compliance, deadletter, quality
-from custodia.plans.jobs import validate_crm, validate_kyc
+from custodia.plans.jobs import validate_batch, validate_crm, validate_kyc
 from custodia.sources.schemas import TRANSACTION_STREAM
 from workload.registry import query
 
@@ -91,12 +91,29 @@ def kyc_validation(d):
       count(*) FILTER (bad_id OR bad_email OR bad_phone OR bad_time) AS invalid FROM checked
     UNION ALL
     SELECT 'kyc', count(*), count(*) FILTER (NOT (bad_status OR bad_risk OR bad_time)),
+      count(*) FILTER (bad_status OR bad_risk OR bad_time) FROM kyc_checked
+    UNION ALL
+    SELECT 'partner', count(*), count(*) FILTER (NOT (bad_status OR bad_risk OR bad_time)),
       count(*) FILTER (bad_status OR bad_risk OR bad_time) FROM kyc_checked""",
     "crm kyc",
 )
 def validation_summary(d):
-    crm = quality.validation_summary(validate_crm(d.view("crm")), "crm")
-    return crm.unionByName(quality.validation_summary(validate_kyc(d.view("kyc")), "kyc"))
+    """Batches by their type; a type without rules of its own is checked as KYC."""
+    batches = {"crm": "crm", "kyc": "kyc", "partner": "kyc"}
+    parts = [quality.validation_summary(validate_batch(d.view(view), kind), kind) for kind, view in batches.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query(
+    "crm_length_errors",
+    """WITH f AS (SELECT msg_offset, length(json_extract_string(value, '$.first_name')) AS a, length(json_extract_string(value, '$.last_name')) AS b FROM crm_msg)
+    SELECT msg_offset, a BETWEEN 1 AND 100 AND b BETWEEN 1 AND 100 AS is_valid, concat_ws('|', CASE WHEN a < 1 THEN 'first_name:minLength' END,
+      CASE WHEN a > 100 THEN 'first_name:maxLength' END, CASE WHEN b > 100 THEN 'last_name:maxLength' END) AS errors FROM f""",
+    "crm_msg",
+)
+def crm_length_errors(d):
+    checked = validate_messages(d.view("crm_msg"), "schemas/customer_schema.json", builtin("crm_customer.schema.json"))
+    return checked.select("msg_offset", "is_valid", error_codes().alias("errors"))
 
 
 @query(

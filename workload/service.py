@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from custodia.contracts import builtin
 from custodia.functions.json_schema import non_empty_object
 from custodia.operators import deadletter, matching, quality, service
+from custodia.plans import jobs
 from custodia.sources.writers import load_report
 from custodia.streaming.dead_letters import retry_message, triage_letters
 from workload.records import TXN_ERRORS, TXN_SCHEMA
@@ -196,6 +197,27 @@ def load_quantiles_sketch(d):
     return service.load_quantiles_approx(d.view("reqlog"), ["phase"])
 
 
+@query(
+    "load_quantiles_sketch_error",
+    f"""SELECT phase, quantile, true AS within_error FROM (SELECT DISTINCT phase FROM reqlog WHERE {OK}), (VALUES ('p95_s'), ('p99_s')) v(quantile)""",
+    "reqlog",
+)
+def load_quantiles_sketch_error(d):
+    """Whether the exact rank of each estimate is within the promised share of the rows."""
+    log, accuracy = d.view("reqlog"), 10_000
+    estimates = service.load_quantiles_approx(log, ["phase"], accuracy)
+    times = log.filter(service.succeeded()).select("phase", "duration_s").join(estimates, "phase")
+    counts = [F.count("*").alias("n")]
+    for name in service.TAILS:
+        counts += [F.count_if(F.col("duration_s") < F.col(name)).alias(f"{name}_below"), F.count_if(F.col("duration_s") <= F.col(name)).alias(f"{name}_upto")]
+    checks = []
+    for name, (i, k) in service.TAILS.items():
+        rank, error = F.col("n") * (i / k), F.col("n") / accuracy + 1
+        within = (F.col(f"{name}_below") <= rank + error) & (F.col(f"{name}_upto") >= rank - error)
+        checks.append(F.struct(F.lit(name).alias("quantile"), within.alias("within_error")))
+    return times.groupBy("phase").agg(*counts).select("phase", F.inline(F.array(*checks)))
+
+
 @query(
     "top_errors",
     """SELECT error[1:100] AS error, count(*) AS occurrences FROM (
@@ -299,6 +321,34 @@ def load_verdict(d):
     return service.load_verdict(service.load_summary(log), service.load_quantiles(log))
 
 
+@query(
+    "service_report_job",
+    f"""WITH {SLO_SQL}, o AS (SELECT avg(compliant::INT) AS c FROM r),
+    w AS (SELECT avg(duration_s) FILTER ({OK} AND phase = 'baseline') AS b, avg(duration_s) FILTER ({OK} AND phase = 'chaos') AS c FROM reqlog)
+    SELECT 'slo' AS part, slo AS item, status AS value FROM r
+    UNION ALL SELECT 'overall', 'grade', CASE WHEN c >= 0.95 THEN 'excellent' WHEN c >= 0.9 THEN 'good' WHEN c >= 0.8 THEN 'acceptable' ELSE 'poor' END FROM o
+    UNION ALL SELECT 'verdict', 'overall', CASE WHEN success_rate >= 0.95 THEN 'EXCELLENT' WHEN success_rate >= 0.9 THEN 'GOOD' ELSE 'POOR' END FROM s
+    UNION ALL SELECT 'summary', 'failed', failed::VARCHAR FROM s
+    UNION ALL SELECT 'phase', phase, count(*)::VARCHAR FROM reqlog GROUP BY phase
+    UNION ALL SELECT 'impact', 'resilience', CASE WHEN abs((c - b) / b) < 0.5 THEN 'GOOD' WHEN abs((c - b) / b) < 2 THEN 'MODERATE' ELSE 'POOR' END FROM w""",
+    "reqlog",
+)
+def service_report_job(d):
+    report = jobs.report_service(d.view("reqlog"), as_of().cast("timestamp"))
+
+    def rows(frame, part, item, value):
+        return frame.select(F.lit(part).alias("part"), item.alias("item"), F.col(value).cast("string").alias("value"))
+
+    return (
+        rows(report.slos, "slo", F.col("slo"), "status")
+        .unionByName(rows(report.overall, "overall", F.lit("grade"), "grade"))
+        .unionByName(rows(report.verdict, "verdict", F.lit("overall"), "overall"))
+        .unionByName(rows(report.summary, "summary", F.lit("failed"), "failed"))
+        .unionByName(rows(report.phases, "phase", F.col("phase"), "requests"))
+        .unionByName(rows(report.impact, "impact", F.lit("resilience"), "resilience"))
+    )
+
+
 @query(
     "batch_gates",
     f"""WITH s AS ({summary_sql("phase")})

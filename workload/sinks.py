@@ -167,11 +167,34 @@ def quarantined_messages(d):
 
 @query(
     "audit_log",
-    "SELECT 7 AS batch_id, 'transactions' AS table_name, count(*) AS row_count, TIMESTAMP '2024-01-31 00:00:00' AS written_at FROM txn",
-    "txn",
+    """SELECT 7 AS batch_id, 'transactions' AS table_name, count(*) AS row_count, TIMESTAMP '2024-01-31 00:00:00' AS written_at FROM txn
+    UNION ALL SELECT 8, 'enriched_customers', count(*), TIMESTAMP '2024-01-31 00:00:00' FROM crm c JOIN kyc k ON c.customer_id = k.customer_id""",
+    "txn crm kyc",
 )
 def audit_log(d):
-    return writers.audit_row(d.view("txn"), "transactions", 7, as_of())
+    """What the writes themselves left in the log."""
+    audit = d.scratch()
+    writers.append_audited(d.view("txn"), d.scratch(), audit, "transactions", 7, as_of())
+    reply = F.concat(F.lit('{"kyc_status":"'), "verification_status", F.lit('"}')).alias("kyc_response_json")
+    jobs.enrich_to_lake(d.view("crm"), d.view("kyc").select("customer_id", reply), d.scratch(), as_of(), audit=audit, batch_id=8)
+    return readers.read_table(d.spark, audit)
+
+
+@query(
+    "kyc_document_scan",
+    """SELECT customer_id, kyc_status, risk_score, documents_verified, make_timestamp(verification_date * 1000) AS verification_date
+    FROM kyc_document""",
+    "kyc_document",
+)
+def kyc_document_scan(d):
+    """Documents of up to 500 customers each, every one a JSON array."""
+    path = d.scratch()
+    rows = d.view("kyc_document")
+    record = F.struct(*[c for c in rows.columns if c != "c_custkey"])
+    arrays = rows.groupBy(F.floor(F.col("c_custkey") / 500).alias("part")).agg(F.to_json(F.collect_list(record)).alias("value"))
+    arrays.write.partitionBy("part").text(path)
+    found = readers.read_kyc_documents(d.spark, path).drop("part")
+    return found.withColumn("verification_date", F.col("verification_date").cast("timestamp_ntz"))
 
 
 @query(
@@ -221,12 +244,12 @@ def gated_integration(d):
 @query(
     "enriched_lake",
     """SELECT c.customer_id, concat('{"kyc_status":"', k.verification_status, '"}') AS kyc_response_json
-    FROM crm c JOIN kyc k ON c.customer_id = k.customer_id WHERE k.rep = 1""",
+    FROM crm c JOIN kyc k ON c.customer_id = k.customer_id""",
     "crm kyc",
 )
 def enriched_lake(d):
     path = d.scratch()
     reply = F.concat(F.lit('{"kyc_status":"'), "verification_status", F.lit('"}')).alias("kyc_response_json")
-    responses = d.view("kyc").filter(F.col("rep") == 1).select("customer_id", reply)
+    responses = d.view("kyc").select("customer_id", reply)
     jobs.enrich_to_lake(d.view("crm"), responses, path, as_of())
     return readers.read_table(d.spark, path).select("customer_id", "kyc_response_json")

@@ -114,30 +114,89 @@ def stream_replay_dedup(d):
     path, checkpoint = d.scratch(), d.scratch()
     messages = envelope(d)
     stream = landed(d, messages.unionByName(messages))
-    unique = ingest.deduplicated(stream.select("offset", "timestamp"), ["offset"], "timestamp")
+    # An offset is unique only within its topic and partition.
+    key = ["topic", "partition", "offset"]
+    unique = ingest.deduplicated(stream.select(*key, "timestamp"), key, "timestamp")
     with state_partitions(d.spark):
         drain(ingest.append_stream(unique, path, checkpoint))
     return d.spark.read.parquet(path).select("offset", F.col("timestamp").cast("timestamp_ntz").alias("sent_at"))
 
 
-@query(
-    "stream_change_mirror",
-    """SELECT id, after_status AS status FROM (
-      SELECT *, row_number() OVER (PARTITION BY id ORDER BY msg_offset DESC) AS n
-      FROM (SELECT msg_offset, id, CASE WHEN after_status = 'view' THEN NULL ELSE after_status END AS after_status FROM cdc))
-    WHERE n = 1 AND after_status IS NOT NULL""",
-    "cdc",
-)
-def stream_change_mirror(d):
-    path, objects, checkpoint = d.scratch(), d.scratch(), d.scratch()
+def changes(d):
+    """Change messages with their keys; a tombstone has no body, so the key names the row."""
     m = d.view("cdc_msg")
     shaped = readers.landed_envelope(m, "crm_customers", F.col("value"), F.col("msg_offset"), as_of())
-    # A tombstone has no body, so the key of the message names the row.
     keyed = shaped.drop("key").join(m.select(F.col("msg_offset").alias("offset"), F.col("msg_key").cast("binary").alias("key")), "offset")
-    stream = landed(d, keyed.select("key", "value", "topic", "partition", "offset", "timestamp"))
-    drain(*jobs.mirror_changes(stream, "status string", path, objects, checkpoint, ["key"]))
-    rows = mirror.read_mirror(d.spark, path, ["key"], "offset")
-    return rows.select(F.col("key").cast("string").alias("id"), "status")
+    return keyed.select("key", "value", "topic", "partition", "offset", "timestamp")
+
+
+def mirrored(d, messages, path, **options):
+    drain(*jobs.mirror_changes(landed(d, messages), "status string", path, d.scratch(), d.scratch(), ["key"], **options))
+
+
+def state(d, path):
+    return mirror.read_mirror(d.spark, path, ["key"], "offset").select(F.col("key").cast("string").alias("id"), "status")
+
+
+def state_sql(where: str = "true") -> str:
+    return f"""SELECT id, after_status AS status FROM (
+      SELECT *, row_number() OVER (PARTITION BY id ORDER BY msg_offset DESC) AS n
+      FROM (SELECT msg_offset, id, CASE WHEN after_status = 'view' THEN NULL ELSE after_status END AS after_status FROM cdc WHERE {where}))
+    WHERE n = 1 AND after_status IS NOT NULL"""
+
+
+@query("stream_change_mirror", state_sql(), "cdc")
+def stream_change_mirror(d):
+    path = d.scratch()
+    mirrored(d, changes(d), path)
+    return state(d, path)
+
+
+@query("mirror_fold_resume", state_sql(), "cdc")
+def mirror_fold_resume(d):
+    """Half of the changes are mirrored and folded; the folded mirror goes on with the other half."""
+    first, folded = d.scratch(), d.scratch()
+    messages = changes(d)
+    mirrored(d, messages.filter(F.col("offset") % 2 == 0), first)
+    mirror.fold_mirror(d.spark, first, folded, ["key"], "offset")
+    mirrored(d, messages.filter(F.col("offset") % 2 == 1), folded)
+    return state(d, folded)
+
+
+@query(
+    "stream_change_rejects",
+    f"""{state_sql("msg_offset % 37 <> 0 AND msg_offset % 41 <> 0")}
+    UNION ALL SELECT 'undecodable', count(*)::VARCHAR FROM cdc WHERE msg_offset % 37 = 0
+    UNION ALL SELECT 'no_key', count(*)::VARCHAR FROM cdc WHERE msg_offset % 37 <> 0 AND msg_offset % 41 = 0""",
+    "cdc",
+)
+def stream_change_rejects(d):
+    """Cut messages and messages without a key go to dead letters and leave the mirror as it is."""
+    path, dead = d.scratch(), d.scratch()
+    cut = F.when(F.col("offset") % 37 == 0, F.lit('{"id":"K').cast("binary")).otherwise(F.col("value"))
+    key = F.when(F.col("offset") % 41 != 0, F.col("key"))
+    mirrored(d, changes(d).withColumns({"value": cut, "key": key}), path, dead_letters_path=dead)
+    rejected = d.spark.read.parquet(dead).groupBy(F.col("rule").alias("id")).agg(F.count("*").cast("string").alias("status"))
+    return state(d, path).unionByName(rejected)
+
+
+@query(
+    "stream_polled_responses",
+    f"""WITH {PARSED} SELECT 'lake' AS sink, count(*) AS messages FROM p WHERE j IS NOT NULL AND NOT coalesce(bad_field, false)
+    UNION ALL SELECT 'undecodable', count(*) FROM p WHERE j IS NULL OR bad_field""",
+    "txn_msg",
+)
+def stream_polled_responses(d):
+    """Responses that land as lines, read on an interval; the query is stopped after its data."""
+    source, path, dead = d.scratch(), d.scratch(), d.scratch()
+    d.view("txn_msg").select(F.coalesce("value", F.lit(""))).write.text(source)
+    responses = readers.stream_responses(d.spark, source)
+    running = ingest.ingest(responses, TRANSACTION_STREAM, path, d.scratch(), dead_letters=dead, interval="1 second", clock=as_of())
+    running.processAllAvailable()
+    running.stop()
+    good = d.spark.read.parquet(path).select(F.lit("lake").alias("sink"))
+    bad = d.spark.read.parquet(dead).select(F.col("error.rule").alias("sink"))
+    return good.unionByName(bad).groupBy("sink").agg(F.count("*").alias("messages"))
 
 
 @query(
@@ -203,9 +262,12 @@ def stream_fan_out(d):
     "txn_msg",
 )
 def ingest_validate_retry_chain(d):
-    folder = d.scratch()
-    stream = landed(d, envelope(d))
-    jobs.ingest_validate_retry(stream, TXN_SCHEMA, builtin("transaction.schema.json"), folder, catalogue(), clock=as_of())
+    """The messages land in two parts and the chain runs after each."""
+    folder, source = d.scratch(), d.scratch()
+    for part in (0, 1):
+        envelope(d).filter(F.col("offset") % 2 == part).write.mode("append").parquet(source)
+        stream = readers.stream_landed(d.spark, source)
+        jobs.ingest_validate_retry(stream, TXN_SCHEMA, builtin("transaction.schema.json"), folder, catalogue(), clock=as_of())
     validated = d.spark.read.parquet(f"{folder}/validated").select(F.col("outcome").alias("step"))
     archived = d.spark.read.parquet(f"{folder}/archive").select(F.lit("archived").alias("step"))
     return validated.unionByName(archived).groupBy("step").agg(F.count("*").alias("messages"))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from custodia.functions.rules import error_codes
 from custodia.operators import compliance, customers, drift, matching, quality
+from custodia.plans import jobs
 from custodia.sources.schemas import with_defaults
 from custodia.streaming import mirror
 from workload.records import ntz
@@ -61,8 +62,10 @@ def integrated_latest(d):
     return joined.select("customer_id", "email", "id_number", "verified_at")
 
 
-KYC_RESPONSES = """SELECT customer_id, concat('{"kyc_status":"', verification_status, '"}') AS kyc_response_json
-  FROM kyc WHERE rep = 1 AND verification_status <> 'unknown'"""
+# A check of unknown status has no response; a customer checked twice has two.
+KYC_RESPONSES = """SELECT customer_id,
+    CASE WHEN verification_status <> 'unknown' THEN concat('{"kyc_status":"', verification_status, '"}') END AS kyc_response_json
+  FROM kyc"""
 
 
 @query(
@@ -73,9 +76,8 @@ KYC_RESPONSES = """SELECT customer_id, concat('{"kyc_status":"', verification_st
     "crm kyc",
 )
 def kyc_enrichment(d):
-    kyc = d.view("kyc").filter((F.col("rep") == 1) & (F.col("verification_status") != "unknown"))
-    reply = F.concat(F.lit('{"kyc_status":"'), "verification_status", F.lit('"}'))
-    responses = kyc.select("customer_id", reply.alias("kyc_response_json"))
+    reply = F.when(F.col("verification_status") != "unknown", F.concat(F.lit('{"kyc_status":"'), "verification_status", F.lit('"}')))
+    responses = d.view("kyc").select("customer_id", reply.alias("kyc_response_json"))
     enriched = customers.enrich(d.view("crm"), responses, "customer_id", "kyc_response_json", as_of())
     return enriched.select("c_custkey", "customer_id", "kyc_response_json", "enrichment_time")
 
@@ -565,11 +567,47 @@ def drift_categorical_js(d):
     return js.withColumns({"js": F.round("js", 9), "chi_square": F.round("chi_square", 6)})
 
 
+DRIFT_SQL = f"""ks AS ({_ks_oracle("amount", "txn", "ts")}),
+    js AS ({_category_oracle("currency", "txn", "ts")} UNION ALL {_category_oracle("customer_id", "txn", "ts")}),
+    {_psi_oracle("amount", "txn", "ts").replace("SELECT 'amount' AS feature", ", psi AS (SELECT 'amount' AS feature") + ")"}"""
+
+
+@query(
+    "drift_report_job",
+    f"""WITH {DRIFT_SQL},
+    m AS (SELECT feature, 'ks' AS measure, ks AS value, ks > 0.1 AS drifted FROM ks
+      UNION ALL SELECT feature, 'psi', psi, psi > 0.2 FROM psi UNION ALL SELECT feature, 'js', js, js > 0.1 FROM js),
+    f AS (SELECT feature, max(drifted::INT) AS drifted FROM m GROUP BY feature),
+    cur AS (SELECT * FROM txn WHERE ts >= TIMESTAMP '{CUT}')
+    SELECT feature, measure, value FROM m
+    UNION ALL SELECT feature, concat(measure, '_drifted'), drifted::INT::DOUBLE FROM m
+    UNION ALL SELECT 'dataset', 'drift_share', round(avg(drifted), 9) FROM f
+    UNION ALL SELECT 'amount', 'missing', (count(*) - count(amount))::DOUBLE FROM cur
+    UNION ALL SELECT 'currency', 'missing', (count(*) - count(currency))::DOUBLE FROM cur
+    UNION ALL SELECT 'customer_id', 'missing', (count(*) - count(customer_id))::DOUBLE FROM cur
+    UNION ALL SELECT 'amount', 'distinct', count(DISTINCT amount)::DOUBLE FROM cur
+    UNION ALL SELECT 'currency', 'distinct', count(DISTINCT currency)::DOUBLE FROM cur
+    UNION ALL SELECT 'customer_id', 'distinct', count(DISTINCT customer_id)::DOUBLE FROM cur""",
+    "txn",
+)
+def drift_report_job(d):
+    report = jobs.monitor_transactions(*halves(d.view("txn"), "ts"))
+
+    def rows(frame, measure, value):
+        return frame.select("feature", measure.alias("measure"), value.cast("double").alias("value"))
+
+    return (
+        rows(report.drift, F.col("measure"), F.round("value", 9))
+        .unionByName(rows(report.drift, F.concat("measure", F.lit("_drifted")), F.col("drifted").cast("int")))
+        .unionByName(rows(report.dataset.withColumn("feature", F.lit("dataset")), F.lit("drift_share"), F.round("drift_share", 9)))
+        .unionByName(rows(report.profile, F.lit("missing"), F.col("missing")))
+        .unionByName(rows(report.profile, F.lit("distinct"), F.col("distinct_values")))
+    )
+
+
 @query(
     "drift_dataset_verdict",
-    f"""WITH ks AS ({_ks_oracle("amount", "txn", "ts")}),
-    js AS ({_category_oracle("currency", "txn", "ts")} UNION ALL {_category_oracle("customer_id", "txn", "ts")}),
-    {_psi_oracle("amount", "txn", "ts").replace("SELECT 'amount' AS feature", ", psi AS (SELECT 'amount' AS feature") + ")"},
+    f"""WITH {DRIFT_SQL},
     f AS (SELECT feature, max(drifted) AS drifted FROM (SELECT feature, (ks > 0.1)::INT AS drifted FROM ks
       UNION ALL SELECT feature, (psi > 0.2)::INT FROM psi UNION ALL SELECT feature, (js > 0.1)::INT FROM js) GROUP BY feature)
     SELECT count(*) AS features, sum(drifted)::BIGINT AS drifted_features, avg(drifted) AS drift_share, avg(drifted) >= 0.5 AS dataset_drift FROM f""",

@@ -1,7 +1,7 @@
 """Views derived from the given tables, in SQL that Spark and DuckDB read alike.
 
 Every view covers its whole table. Defects are planted into values by arithmetic on the key; rows
-are left out only by a business attribute (a balance, a segment, an event's value).
+are left out only where their absence is what a query looks for (consents, stored scores, results).
 """
 
 VIEWS: dict[str, str] = {}
@@ -22,7 +22,7 @@ SELECT c_custkey,
 FROM customer
 """
 
-# Customers in debt have no identity check; those with a high balance were checked twice.
+# Every customer has an identity check; those with a high balance were checked twice.
 VIEWS["kyc"] = """
 SELECT c_custkey, concat('CUST', lpad(CAST(c_custkey AS STRING), 8, '0')) AS customer_id,
   CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE 'passport' END AS id_type,
@@ -31,7 +31,7 @@ SELECT c_custkey, concat('CUST', lpad(CAST(c_custkey AS STRING), 8, '0')) AS cus
        WHEN 4 THEN 'verified' ELSE 'unknown' END AS verification_status,
   CASE c_custkey % 4 WHEN 0 THEN 'low' WHEN 1 THEN 'MEDIUM' WHEN 2 THEN 'high' ELSE 'extreme' END AS risk_level,
   concat('2025-02-', lpad(CAST(c_custkey % 28 + 1 AS STRING), 2, '0'), ' 12:00:00') AS verified_at, 1 AS rep
-FROM customer WHERE c_acctbal >= 0
+FROM customer
 UNION ALL
 SELECT c_custkey, concat('CUST', lpad(CAST(c_custkey AS STRING), 8, '0')) AS customer_id,
   'id_card' AS id_type, concat('IDC', CAST(c_custkey AS STRING)) AS id_number,
@@ -149,13 +149,13 @@ FROM events
 
 VIEWS["requests"] = """
 SELECT event_id AS request_id, concat('CUST', lpad(CAST(user_id AS STRING), 8, '0')) AS customer_id, ts
-FROM events WHERE event_type = 'signup'
+FROM events
 """
 
 VIEWS["results"] = """
 SELECT event_id AS request_id, concat('CUST', lpad(CAST(user_id AS STRING), 8, '0')) AS customer_id,
   ts + (event_id % 60) * INTERVAL '1' SECOND AS ts
-FROM events WHERE event_type = 'signup' AND value >= 5
+FROM events WHERE value >= 5
 """
 
 VIEWS["ingest"] = """
@@ -181,7 +181,25 @@ SELECT event_id, CASE WHEN event_id % 17 = 0 THEN NULL ELSE user_id END AS user_
   concat('v', CAST(event_id % 9 AS STRING)) AS old_version,
   CASE WHEN event_id % 23 = 0 THEN NULL ELSE concat('v', CAST(event_id % 9 + 1 AS STRING)) END AS new_version,
   CASE WHEN event_id % 29 = 0 THEN NULL ELSE event_type END AS reason
-FROM events WHERE event_type IN ('purchase', 'signup')
+FROM events
+"""
+
+# Customer messages with names that are too short, too long and just short enough.
+VIEWS["crm_msg"] = """
+SELECT c_custkey AS msg_offset, concat('{"customer_id":"CUST', CAST(c_custkey AS STRING), '","first_name":"',
+  CASE WHEN c_custkey % 11 = 0 THEN '' WHEN c_custkey % 7 = 0 THEN repeat('a', 101) ELSE concat('F', CAST(c_custkey AS STRING)) END,
+  '","last_name":"', CASE WHEN c_custkey % 13 = 0 THEN repeat('x', 101) WHEN c_custkey % 17 = 0 THEN repeat('é', 100) ELSE c_name END,
+  '","email":"u@example.com","account_status":"active","created_at":"2024-01-01T00:00:00Z"}') AS value
+FROM customer
+"""
+
+# Fields of identity-check documents.
+VIEWS["kyc_document"] = """
+SELECT c_custkey, concat('CUST', lpad(CAST(c_custkey AS STRING), 8, '0')) AS customer_id,
+  CASE c_custkey % 3 WHEN 0 THEN 'VERIFIED' WHEN 1 THEN 'PENDING' ELSE NULL END AS kyc_status,
+  CAST(c_custkey % 9 AS DOUBLE) / 8 AS risk_score, c_custkey % 2 = 0 AS documents_verified,
+  1730419200000 + c_custkey * 1000 AS verification_date
+FROM customer
 """
 
 # Scan reports: one per customer, with an array of findings.

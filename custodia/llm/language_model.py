@@ -17,17 +17,16 @@ from pyspark.sql import functions as F
 from custodia.llm.common import by_group, stored, tidy
 
 END = b"\n"  # the end token; no word contains white space
-HEAD_WORDS = 767  # words with outputs of their own, besides the end
-CLASS_WORDS = 32
+HEAD_WORDS = 1023  # words with outputs of their own, besides the end
+CLASS_WORDS = 64
 KNOWN_WORDS = 200_000  # words whose counts every task holds; the counts of all others are joined
-HIDDEN = 12
+HIDDEN = 16
 WINDOW = 16  # steps of truncated backpropagation
 LANES = 512  # texts that a task reads side by side
 SCORE_LANES = 192
 SCORE_WINDOW = 64  # steps whose outputs are worked out together
 RATE = 0.01
 COUNT_ENTRIES = 500_000  # distinct words a task holds before it passes their counts on
-TRAIN_TOKENS = 512  # a text is learned from in pieces of so many tokens, each from an empty state
 BUFFER_TOKENS = 1_500_000  # tokens a task holds to fill its lanes evenly
 TAILS = 4  # classes of all other words: by a non-ASCII byte and by final punctuation
 _PUNCTUATION = tuple(b".,;:!?")
@@ -251,29 +250,40 @@ class Network:
 
 
 class Trainer:
-    """Adam over windows; the state of each lane is carried from window to window."""
+    """Adam over windows; the state of each lane is carried from window to window.
+
+    Windows of few lanes, such as the ends of long texts, are put together until ``enough`` tokens make a step.
+    """
 
     def __init__(self, net: Network, rate: float = RATE):
         self.net, self.rate, self.steps = net, rate, 0
+        self.enough, self.pending = 1, 0
         self.grad = np.zeros_like(net.flat)
         self.m, self.v = np.zeros_like(net.flat), np.zeros_like(net.flat)
 
     def window(self, h, x, y, first, valid) -> np.ndarray:
         net, p, g = self.net, self.net.views(self.net.flat), self.net.views(self.grad)
-        self.grad[:] = 0
         out, kept = net.forward(p, h, x, first, keep=True)
         pick = np.flatnonzero(valid.ravel())
         _, dh = net.output(p, out.reshape(-1, net.hidden)[pick], y.ravel()[pick], g)
         dout = np.zeros((valid.size, net.hidden), dtype=np.float32)
         dout[pick] = dh
         net.backward(p, kept, x, dout.reshape(out.shape), g)
+        self.pending += len(pick)
+        if self.pending >= self.enough:
+            self.step()
+        return out[-1]
+
+    def step(self) -> None:
+        if not self.pending:
+            return
         self.steps += 1
-        scale = 1.0 / max(1, len(pick))
+        scale = 1.0 / self.pending
         self.m += 0.1 * (self.grad * scale - self.m)
         self.v += 0.01 * ((self.grad * scale) ** 2 - self.v)
         fix = np.sqrt(1 - 0.99**self.steps) / (1 - 0.9**self.steps)
-        net.flat -= self.rate * fix * self.m / (np.sqrt(self.v) + 1e-8)
-        return out[-1]
+        self.net.flat -= self.rate * fix * self.m / (np.sqrt(self.v) + 1e-8)
+        self.grad[:], self.pending = 0, 0
 
 
 def lanes(texts: list[np.ndarray], begin: int, width: int, window: int) -> Iterator[tuple[np.ndarray, ...]]:
@@ -304,13 +314,13 @@ def lanes(texts: list[np.ndarray], begin: int, width: int, window: int) -> Itera
 
 
 def _run(net: Network, texts: list[np.ndarray], trainer: Trainer | None) -> np.ndarray:
-    """Natural log probability of each text's ids; with a trainer, learns instead."""
+    """Natural log probability of each text's ids; with a trainer, learns instead. States are carried over whole texts in both."""
     width, window = (LANES, WINDOW) if trainer is not None else (SCORE_LANES, SCORE_WINDOW)
-    if trainer is not None:
-        texts = [t[i : i + TRAIN_TOKENS] for t in texts for i in range(0, len(t), TRAIN_TOKENS)]
     totals = np.zeros(len(texts))
     if not texts:
         return totals
+    if trainer is not None:
+        trainer.enough = max(1, min(width, len(texts)) * window // 2)
     p = net.views(net.flat)
     h = np.zeros((max(1, min(width, len(texts))), net.hidden), dtype=np.float32)
     for live, x, y, first, owner in lanes(texts, net.inputs - 1, width, window):
@@ -323,6 +333,8 @@ def _run(net: Network, texts: list[np.ndarray], trainer: Trainer | None) -> np.n
         pick = np.flatnonzero(valid.ravel())
         score, _ = net.output(p, out.reshape(-1, net.hidden)[pick], y.ravel()[pick], None)
         totals += np.bincount(owner.ravel()[pick], weights=score, minlength=len(texts))
+    if trainer is not None:
+        trainer.step()
     return totals
 
 

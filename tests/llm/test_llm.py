@@ -337,6 +337,35 @@ def test_language_model(docs, rows, empty):
     assert collect(language_model.score(empty)) == []
 
 
+def test_language_model_carries_states_over_long_texts(monkeypatch):
+    words = [f"w{i}".encode() for i in range(1023)]
+    counts = {language_model.END: 3000, **{w: 2000 - i for i, w in enumerate(words)}}
+    vocab = language_model.Vocabulary(counts, sum(counts.values()), len(counts), np.zeros(4), np.zeros(4), [language_model.END, *words][: language_model.HEAD_WORDS + 1])
+    net = language_model.Network(vocab)
+    assert net.heads == 1024 and net.hidden >= 16  # words far down have outputs of their own
+    texts = [np.arange(n, dtype=np.int32) % 1000 for n in (2000, 700, 3)]
+    begins, learned = [], []
+    learn = language_model.Trainer.window
+
+    def window(self, h, x, y, first, valid):
+        begins.append(first.sum())
+        learned.append(valid.sum())
+        return learn(self, h, x, y, first, valid)
+
+    monkeypatch.setattr(language_model.Trainer, "window", window)
+    language_model._run(net, texts, language_model.Trainer(net))
+    assert sum(begins) == 3 and sum(learned) == 2703  # one begin a text, every token learned from
+
+
+def test_language_model_beats_counts_on_held_out_texts(shipped):
+    rng = random.Random(6)
+    begins = [rng.randrange(24) for _ in range(140)]
+    frame = shipped.createDataFrame([(i, " ".join(WORDS[k % 24] for k in range(a, a + 1200))) for i, a in enumerate(begins)], "doc_id long, text string")
+    held = [r for r in collect(language_model.score(frame)) if r["held_out"]]
+    assert len(held) > 5
+    assert all(r["score"] > 0.5 * r["base_score"] for r in held)
+
+
 def test_network_gradient():
     vocab = language_model.Vocabulary({b"\n": 5, b"a": 4, b"b": 3}, 12, 3, np.zeros(4), np.zeros(4), [b"\n", b"a", b"b"])
     net = language_model.Network(vocab, hidden=3)

@@ -24,7 +24,7 @@ _MARKUP = re.compile(
     re.S | re.I,
 )
 _HEAD = re.compile(r"<head\b[^>]*>.*?(?:</head\s*>|(?=<body\b))", re.S | re.I)
-_ATTR = re.compile(r"(class|id|role|hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+_ATTR = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")  # one whole attribute after another
 _NAME = re.compile(r"[a-z]+")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
@@ -57,15 +57,16 @@ def _hash(text: str) -> int:
 
 
 def _open(parent: Element, tag: str, attrs: str) -> Element:
-    names, hidden, role = [], False, ""
+    names, whole, hidden, role = [], [], False, ""
     for key, a, b, c in _ATTR.findall(attrs) if attrs else ():
-        value = (a or b or c).lower()
-        if key.lower() == "hidden":
+        key, value = key.lower(), (a or b or c).lower()
+        if key == "hidden":
             hidden = True
-        elif key.lower() == "role":
+        elif key == "role":
             role = value
-        else:
+        elif key in ("class", "id"):
             names += _NAME.findall(value)
+            whole += value.split()
     label = ".".join([tag, *names])
     main = parent.main or tag in MAIN or role == "main"
     boilerplate = parent.boilerplate or (
@@ -73,7 +74,7 @@ def _open(parent: Element, tag: str, attrs: str) -> Element:
         or (tag == "header" and not parent.main)
         or hidden
         or role in BOILERPLATE_ROLES
-        or (tag not in ("body", "html") and not BOILERPLATE_NAMES.isdisjoint(names) and not (tag == "header" and parent.main))
+        or (tag not in ("body", "html") and not BOILERPLATE_NAMES.isdisjoint(whole if main else names) and not (tag == "header" and parent.main))
     )
     if not parent.styles or parent.styles[-1] != label:
         parent.styles.append(label)

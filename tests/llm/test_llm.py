@@ -158,6 +158,15 @@ def test_extraction(shipped):
     assert collect(extraction.extract(frame.where("false"))) == []
 
 
+def test_extraction_reads_whole_attributes_and_names():
+    for attrs in ('style="overflow:hidden"', 'aria-hidden="false"', 'title="hidden gems"', 'data-grid="menu"', "data-class='menu'"):
+        assert extraction.main_text(f"<body {attrs}><div {attrs}><p>Text</p></div>") == "Text", attrs
+    for attrs in ("hidden", "class=menu", 'id="top-nav"', "role='search'", 'data-x="a"hidden'):
+        assert extraction.main_text(f"<body><div {attrs}><p>Text</p></div>") == "", attrs
+    inside = "<div class='article-header'>Title</div><div id='related-work'>Work</div><div class='social-policy'>Policy</div><div class='x comments'>No</div>"
+    assert extraction.main_text(f"<body><article>{inside}</article>") == "Title\n\nWork\n\nPolicy"
+
+
 def test_hamming_search(shipped):
     rng = np.random.default_rng(4)
     vectors = [v.tolist() for v in rng.normal(size=(150, 40))]

@@ -136,12 +136,14 @@ def parse(page: str) -> tuple[list[tuple[Element, str]], list[Element]]:
 
 
 def main_text(page: str, low: frozenset[int] = frozenset()) -> str:
-    """Blocks of the main text. With an article or main element, those inside it; else those of the whole body
-    that do not lie in a branch of low importance. Boilerplate by its tag, role or name goes in both cases."""
+    """Blocks of the main text: those inside an article or main element, or of the whole body without one, that do
+    not lie in a branch of low importance. Boilerplate by its tag, role or name goes as well. Where the tree would
+    leave nothing of an article, as on pages that are copies of each other, it does not judge it."""
     blocks, _ = parse(page)
     main = [(e, t) for e, t in blocks if e.main]
-    kept = main or [(e, t) for e, t in blocks if low.isdisjoint(e.nodes)]
-    return "\n\n".join(t for e, t in kept if not e.boilerplate)
+    named = [(e, t) for e, t in main or blocks if not e.boilerplate]
+    kept = [t for e, t in named if low.isdisjoint(e.nodes)]
+    return "\n\n".join(kept or [t for _, t in named if main])
 
 
 def host_of(url: str) -> Column:
@@ -168,10 +170,9 @@ def style_tree(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
                     seen[(e.path, 0, 0)] = 1
                     seen[(e.path, 1, _hash(" ".join(e.styles)))] = 1
                 for e, text in blocks:
-                    if not e.main:  # only what can be removed needs judging
-                        feature = _hash(text)
-                        for node in e.nodes:
-                            seen[(node, 2, feature)] = 1
+                    feature = _hash(text)
+                    for node in e.nodes:
+                        seen[(node, 2, feature)] = 1
                 counts.update((host, *key) for key in seen)
             if counts:
                 columns = list(zip(*counts))

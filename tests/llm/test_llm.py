@@ -167,6 +167,16 @@ def test_extraction_reads_whole_attributes_and_names():
     assert extraction.main_text(f"<body><article>{inside}</article>") == "Title\n\nWork\n\nPolicy"
 
 
+def test_extraction_judges_branches_inside_articles(shipped):
+    page = "<body><article><p>Own text {0}</p><div class='box'><p>Same on every page</p></div><p>More {0}</p></article>"
+    rows = [(i, f"http://c.example/{i}", page.format(i)) for i in range(12)]
+    rows += [(100 + i, f"http://copies.example/{i}", page.format(0)) for i in range(12)]
+    frame = shipped.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in collect(extraction.extract(frame))}
+    assert all(got[i] == f"Own text {i}\n\nMore {i}" for i in range(12))
+    assert all(got[100 + i] == "Own text 0\n\nSame on every page\n\nMore 0" for i in range(12))
+
+
 def test_hamming_search(shipped):
     rng = np.random.default_rng(4)
     vectors = [v.tolist() for v in rng.normal(size=(150, 40))]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from custodia.llm import embeddings, extraction, hamming, language_model, packing, pii, quality, repeats, similarity, tokenization
+from custodia.llm import embeddings, extraction, hamming, language_model, lexical, packing, pii, quality, repeats, similarity, tokenization
 from custodia.llm.common import ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,3 +105,23 @@ def op9(spark, sf_dir):
 @query("op10_recurrent_language_model")
 def op10(spark, sf_dir):
     return language_model.score(table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op13_length_stratified_search",
+    r"""WITH lowered AS (SELECT doc_id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+    split AS (SELECT doc_id, regexp_extract_all(t, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM lowered),
+    lengths AS (SELECT doc_id, len(w) AS n FROM split WHERE len(w) > 0),
+    totals AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS words FROM lengths),
+    normal AS (SELECT doc_id, 100 - 50 + ((50 * n * docs) // words) AS m FROM lengths, totals),
+    held AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(w) AS term FROM split) GROUP BY doc_id, term),
+    asked AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+    weights AS (SELECT term, CAST(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM held, totals GROUP BY term),
+    scores AS (SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+      FROM asked JOIN weights USING (term) JOIN held USING (term) JOIN normal USING (doc_id) GROUP BY item_id, doc_id),
+    ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM scores WHERE score > 0)
+    SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50""",
+)
+def op13(spark, sf_dir):
+    return lexical.search(lexical.build_index(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"))

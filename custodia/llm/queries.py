@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from custodia.llm import embeddings, extraction, hamming, language_model, lexical, packing, pii, quality, repeats, similarity, tokenization
+from custodia.llm import embeddings, extraction, hamming, language_model, lexical, packing, phrases, pii, quality, repeats, similarity, token_files, tokenization
 from custodia.llm.common import ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -125,3 +125,35 @@ def op10(spark, sf_dir):
 )
 def op13(spark, sf_dir):
     return lexical.search(lexical.build_index(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"))
+
+
+@query("op12_directly_addressable_codes")
+def op12(spark, sf_dir):
+    target = token_files.scratch(spark)
+    token_files.write(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), target)
+    return token_files.digests(spark, target)
+
+
+@query(
+    "op11_toivonen_collocations",
+    r"""WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\n-\r]')) AS piece FROM documents),
+    words AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[ \t]+'), lambda x: x <> '') AS w FROM pieces),
+    totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang),
+    grams AS (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(list_slice(w, i, i + k - 1), ' '))) AS phrase
+      FROM words, (VALUES (1), (2), (3), (4)) s(k) WHERE len(w) >= k),
+    counts AS (SELECT lang, k, phrase, count(*) AS a FROM grams GROUP BY ALL HAVING count(*) >= 30),
+    cuts AS (SELECT lang, k, phrase, a, unnest(range(1, k)) AS c, string_split(phrase, ' ') AS w FROM counts WHERE k > 1),
+    scored AS (SELECT cuts.lang, cuts.k, cuts.phrase, cuts.a, c, x.a AS l, y.a AS r, CAST((CAST(2000000 AS HUGEINT) * cuts.a) // (x.a + y.a) AS BIGINT) AS score
+      FROM cuts JOIN counts x ON x.lang = cuts.lang AND x.phrase = array_to_string(list_slice(w, 1, c), ' ')
+      JOIN counts y ON y.lang = cuts.lang AND y.phrase = array_to_string(list_slice(w, c + 1, cuts.k), ' ')),
+    best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) AS o FROM scored) WHERE o = 1),
+    covers AS (SELECT lang, phrase, max(a) AS longer FROM (
+      SELECT lang, a, unnest(list_transform(range(1, k - s.j + 2), lambda i: array_to_string(list_slice(string_split(phrase, ' '), i, i + s.j - 1), ' '))) AS phrase
+      FROM counts, (VALUES (2), (3)) s(j) WHERE s.j < k) GROUP BY lang, phrase),
+    kept AS (SELECT best.* FROM best LEFT JOIN covers ON covers.lang = best.lang AND covers.phrase = best.phrase WHERE coalesce(100 * longer < 80 * a, true)),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM kept)
+    SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000""",
+)
+def op11(spark, sf_dir):
+    return phrases.collocations(table(spark, sf_dir, "documents"))

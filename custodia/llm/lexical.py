@@ -260,6 +260,8 @@ def search(index: Index, queries: DataFrame, k: int = K, id_col: str = "item_id"
     results = []
     for block in range(blocks):
         mine = pairs.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == block).toArrow()
+        if not mine.num_rows:
+            continue
         named = mine["item"].combine_chunks().dictionary_encode(null_encoding="encode")
         coded = mine["term"].combine_chunks().dictionary_encode()
         words = coded.dictionary.to_pylist()
@@ -296,8 +298,8 @@ def search(index: Index, queries: DataFrame, k: int = K, id_col: str = "item_id"
                 yield pa.RecordBatch.from_arrays([pa.array(got[0]), pa.array(got[1], kinds), pa.array(got[2], pa.int64())], names=["item", "doc", "score"])
 
         results.append(index.segments.mapInArrow(tidy(find), f"item {fields['item']}, doc {kind}, score long"))
-    found = results[0]
-    for more in results[1:]:
+    found = spark.createDataFrame([], f"item {fields['item']}, doc {kind}, score long")
+    for more in results:
         found = found.unionAll(more)
     order = Window.partitionBy("item").orderBy(F.desc("score"), F.asc_nulls_last("doc"))
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(

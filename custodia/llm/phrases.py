@@ -9,6 +9,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -69,21 +70,29 @@ class Words:
 
 
 class Filter:
-    """A set of phrases as bits: a phrase in it is always found, another one rarely."""
+    """A set of phrases as bits: a phrase in it is always found, another one rarely.
+
+    A hash sets up to four bits of one 64-bit word, so a look-up touches one place in memory.
+    """
 
     def __init__(self, bits: bytes):
-        self.bits = np.frombuffer(bits, dtype=np.uint8)
+        self.bits = np.frombuffer(bits, dtype="<u8")
 
     @staticmethod
-    def places(hashes: np.ndarray, size: int) -> np.ndarray:
-        step = mix(hashes, 0x2545F4914F6CDD1D) | np.uint64(1)
-        return (hashes[:, None] + step[:, None] * np.arange(PROBES, dtype=np.uint64)) & np.uint64(size - 1)
+    def _split(hashes: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
+        return (hashes & np.uint64(words - 1)).astype(np.int64), mix(hashes, 0x2545F4914F6CDD1D)
+
+    @classmethod
+    def places(cls, hashes: np.ndarray, size: int) -> np.ndarray:
+        word, more = cls._split(hashes, size // 64)
+        bit = np.stack([(more >> np.uint64(6 * k)) & np.uint64(63) for k in range(PROBES)], axis=1)
+        return word[:, None] * 64 + bit.astype(np.int64)
 
     def has(self, hashes: np.ndarray) -> np.ndarray:
-        found = np.ones(len(hashes), dtype=bool)
-        at = self.places(hashes, 8 * len(self.bits)).astype(np.int64)
+        word, more = self._split(hashes, len(self.bits))
+        held, found = self.bits[word], np.ones(len(hashes), dtype=bool)
         for k in range(PROBES):
-            found &= (self.bits[at[:, k] >> 3] >> (at[:, k] & 7).astype(np.uint8)) & 1 == 1
+            found &= (held >> ((more >> np.uint64(6 * k)) & np.uint64(63))) & np.uint64(1) == 1
         return found
 
 
@@ -95,12 +104,15 @@ def build_filter(phrases: DataFrame) -> Broadcast:
 
     def run(batches):
         for batch in batches:
-            langs = batch.column(0).to_pylist()
-            each = np.zeros(len(langs), dtype=np.uint64)
-            for i, (lang, phrase) in enumerate(zip(langs, batch.column(1).to_pylist())):
-                words = Words(phrase.encode(), lang)
-                each[i] = words.runs(np.zeros(1, np.int64), len(words.hash))[0]
-            yield pa.RecordBatch.from_arrays([pa.array(Filter.places(each, 1 << power).ravel().astype(np.int64))], names=["place"])
+            lang = batch.column(0).dictionary_encode()
+            for number, name in enumerate(lang.dictionary.to_pylist()):
+                own = batch.column(1).filter(pc.equal(lang.indices, number)).to_pylist()
+                words = Words("\n".join(own).encode(), name)  # a piece for each phrase
+                first = np.flatnonzero(np.diff(words.piece, prepend=-1))
+                size = np.diff(np.append(first, len(words.hash)))
+                for k in range(1, LONGEST + 1):
+                    places = Filter.places(words.runs(first[size == k], k), 1 << power)
+                    yield pa.RecordBatch.from_arrays([pa.array(places.ravel().astype(np.int64))], names=["place"])
 
     places = phrases.select("lang", "phrase").mapInArrow(tidy(run), "place long")
     blocks = places.groupBy(F.expr("place div 32768").alias("block")).agg(F.expr("bitmap_construct_agg(place % 32768)").alias("bits"))
@@ -138,52 +150,71 @@ def _texts_by_lang(batches) -> Iterator[tuple[str, bytes]]:
         yield name, b"\n".join(texts)
 
 
-def admitted(words: Words, now: Filter | None, before: list[Filter]) -> Iterator[tuple[int, np.ndarray]]:
-    """(size, places) of the phrases to count: those whose first and last words but one are both in the filter.
+class Step:
+    """What one pass counts: phrases whose parts without the last and without the first word are both known.
 
-    That is the filter's set and its negative border. What an earlier filter admitted has been counted and is
-    left out; words are counted once, when there is no earlier filter.
+    That is the known set and its negative border. A pass after the first knows more by some ``fresh``
+    phrases only, so one of the parts must be fresh.
     """
+
+    def __init__(self, known: bytes, fresh: bytes | None):
+        self.known, self.fresh = Filter(known), Filter(fresh) if fresh is not None else None
+
+    def _inside(self, words: Words, at: np.ndarray, size: int) -> np.ndarray:
+        """Whether the phrases and all their parts are known, which is what the first pass goes by, level by level."""
+        ok = self.known.has(words.runs(at, size))
+        return ok if size == 1 else ok & self._inside(words, at, size - 1) & self._inside(words, at + 1, size - 1)
+
+    def admits(self, words: Words, at: np.ndarray, size: int) -> np.ndarray:
+        """Whether this pass counts the phrases with parts of ``size`` words, unless an earlier one has."""
+        if self.fresh is None:
+            return self._inside(words, at, size) & self._inside(words, at + 1, size)
+        head, tail = words.runs(at, size), words.runs(at + 1, size)
+        return self.known.has(head) & self.known.has(tail) & (self.fresh.has(head) | self.fresh.has(tail))
+
+
+def admitted(words: Words, steps: list[Step]) -> Iterator[tuple[int, np.ndarray]]:
+    """(size, places) of the phrases that the last step counts and no earlier one has counted; words come with the first."""
+    every = np.arange(len(words.hash))
+    now, before = steps[-1], steps[:-1]
     if not before:
-        yield 1, np.arange(len(words.hash))
-    if now is None:
-        return
-    whole = np.arange(len(words.hash))
-    single = words.runs(whole, 1)
-    inside = [which.has(single) for which in (now, *before)]
-    for size in range(2, LONGEST + 1):
-        # Places from which ``size`` words lie in one piece; both parts must be in the set.
-        fits = whole[: max(0, len(whole) - size + 1)]
-        fits = fits[words.piece[fits] == words.piece[fits + size - 1]]
-        both = [held[fits] & held[fits + 1] for held in inside]
-        take = both[0].copy()
-        for old in both[1:]:
-            take &= ~old
-        yield size, fits[take]
-        if size < LONGEST:
-            later = []
-            for which, ok in zip([now, *before], both):
-                held = np.zeros(len(whole), dtype=bool)
-                at = fits[ok]
-                held[at] = which.has(words.runs(at, size))
-                later.append(held)
-            inside = later
-
-
-def count(rows: DataFrame, now: Broadcast | None, before: list[Broadcast]) -> DataFrame:
-    """(lang, phrase, size, n) of the admitted phrases; with the words come (lang, null, 0, all words of the language).
+        yield 1, every
+    held = None
+    for size in range(1, LONGEST):
+        fits = every[: max(0, len(every) - size)]
+        together = words.piece[fits] == words.piece[fits + size]  # ``size`` + 1 words in one piece
+        if now.fresh is None:
+            if held is None:
+                held = now.known.has(words.runs(every, 1))
+            at = fits[together & held[fits] & held[fits + 1]]
+            held = np.zeros(len(every), dtype=bool)
+            if size + 1 < LONGEST:
+                held[at] = now.known.has(words.runs(at, size + 1))
+        else:
+            whole = every[: max(0, len(every) - size + 1)]
+            hit = np.zeros(len(every) + 1, dtype=bool)
+            hit[whole] = now.fresh.has(words.runs(whole, size))
+            at = fits[together & (hit[fits] | hit[fits + 1])]
+            take = now.admits(words, at, size)
+            for old in before:
+                take &= ~old.admits(words, at, size)
+            at = at[take]
+        yield size + 1, at
+
+
+def count(rows: DataFrame, steps: list[tuple[Broadcast, Broadcast | None]]) -> DataFrame:
+    """(lang, phrase, size, n) of the phrases of the last step; with the words come (lang, null, 0, all words of the language).
 
     Occurrences are summed in the tasks, chunk by chunk, before they are shuffled.
     """
 
     def run(batches):
-        mine = Filter(now.value) if now is not None else None
-        old = [Filter(b.value) for b in before]
+        made = [Step(known.value, fresh.value if fresh is not None else None) for known, fresh in steps]
         for lang, data in _texts_by_lang(batches):
             words = Words(data, lang)
-            if not before:
+            if len(made) == 1:
                 yield _batch(lang, pa.array([None], pa.string()), 0, np.array([len(words.hash)]))
-            for size, at in admitted(words, mine, old):
+            for size, at in admitted(words, made):
                 if not len(at):
                     continue
                 _, first, n = np.unique(words.runs(at, size), return_index=True, return_counts=True)
@@ -218,23 +249,21 @@ def mine(rows: DataFrame, least: int, proposed: DataFrame | None = None) -> Mine
     joins the set, whose new border is counted by the next pass, until no pass finds one. Every part of a
     frequent phrase is as frequent, so whatever is left uncounted then is not frequent.
     """
-    spark, before, found, totals, passes = rows.sparkSession, [], None, None, 0
-    known = proposed
-    now = build_filter(known) if known is not None else None
+    spark, found, totals = rows.sparkSession, None, None
+    nothing = bytes(1 << (FILTER_BITS[0] - 3))
+    steps = [(build_filter(proposed) if proposed is not None else spark.sparkContext.broadcast(nothing), None)]
     while True:
-        counted = stored(count(rows, now, before).where((F.col("n") >= least) | (F.col("size") == 0)))
-        passes += 1
+        counted = stored(count(rows, steps).where((F.col("n") >= least) | (F.col("size") == 0)))
         if totals is None:
             totals = counted.where("size = 0").select("lang", F.col("n").alias("words"))
         new = counted.where("size > 0")
         found = new if found is None else found.unionAll(new)
-        failed = new if known is None else new.join(known.select("lang", "phrase").hint("merge"), ["lang", "phrase"], "left_anti")
-        # A phrase of the greatest length has no border beyond it.
-        if failed.where(F.col("size") < LONGEST).isEmpty():
-            return Mined(found, totals, passes)
-        before = [*before, now if now is not None else spark.sparkContext.broadcast(bytes(1 << (FILTER_BITS[0] - 3)))]
-        known = found
-        now = build_filter(known)
+        if proposed is not None and len(steps) == 1:
+            new = stored(new.join(proposed.select("lang", "phrase").hint("merge"), ["lang", "phrase"], "left_anti"))
+        fresh = new.where(F.col("size") < LONGEST)  # a phrase of the greatest length has no border beyond it
+        if fresh.isEmpty():
+            return Mined(found, totals, len(steps))
+        steps = [*steps, (build_filter(found), build_filter(fresh))]
 
 
 def sampled(rows: DataFrame, share: int = SHARE) -> DataFrame:

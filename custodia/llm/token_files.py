@@ -102,7 +102,7 @@ class CodeFile:
         between = bits[(block * (SUPER // 8))[:, None] + np.arange(SUPER // 8)]
         whole = np.arange(SUPER // 8)[None, :] < (byte - block * (SUPER // 8))[:, None]
         rest = bits[byte] & ((1 << (at % 8)) - 1).astype(np.uint8)
-        return ones[block] + (np.bitwise_count(between) * whole).sum(axis=1) + np.bitwise_count(rest)
+        return ones[block] + (np.bitwise_count(between) * whole).sum(axis=1, dtype=np.int64) + np.bitwise_count(rest)
 
     def tokens(self, at: np.ndarray) -> np.ndarray:
         """The ids at any places of the file; each costs one step a level, whatever lies around it."""
@@ -243,7 +243,7 @@ def write(docs: DataFrame, path: str, target: str, end_id: int = END_ID, file_id
 
 
 def _files(spark: SparkSession, target: str) -> DataFrame:
-    return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(target).select("path", "content")
+    return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(target).where("length > 0").select("path", "content")
 
 
 def directory(spark: SparkSession, target: str) -> DataFrame:

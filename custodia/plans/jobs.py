@@ -12,10 +12,10 @@ from pyspark.sql.streaming import StreamingQuery
 from custodia.functions.records import crm_normalised, crm_rules, kyc_normalised, kyc_rules
 from custodia.functions.rules import validate
 from custodia.functions.schema_dispatch import validate_messages
-from custodia.operators import customers, deadletter, drift, quality, service
+from custodia.operators import customers, deadletter, drift, quality, service, snapshot
 from custodia.session import ensure_checkpointing
 from custodia.sources import writers
-from custodia.streaming import dead_letters, ingest, mirror
+from custodia.streaming import bucketed_mirror, dead_letters, ingest, mirror
 
 
 def topic_to_lake(
@@ -108,12 +108,13 @@ def monitor_transactions(
 
 
 def gated_integration(
-    crm: DataFrame, kyc: DataFrame, path: str, notify: str, min_valid_share: float = 0.0, clock: Column | None = None
+    crm: DataFrame, kyc: DataFrame, path: str, notify: str, min_valid_share: float = 0.0, clock: Column | None = None, run: str | None = None
 ) -> dict[str, int]:
     """Validate both feeds, integrate the valid records, notify once per integrated customer.
 
     The job stops before anything is written when the share of valid records is below the gate; an
-    empty feed fails any gate above 0.
+    empty feed fails any gate above 0. With the identity of a ``run`` its notifications stand in a folder of their own, so
+    a run that is repeated replaces them instead of notifying again.
     """
     checked_crm, checked_kyc = validate_crm(crm), validate_kyc(kyc)
     summary = quality.validation_summary(checked_crm, "crm").unionByName(
@@ -129,6 +130,7 @@ def gated_integration(
     writers.land_messages(
         customers.notifications(written.select("customer_id").distinct(), clock=clock).withColumn("topic", F.lit("crm_kyc_notifications")),
         notify,
+        run,
     )
     return counts
 
@@ -161,7 +163,8 @@ def ingest_validate_retry(
             counts["valid" if row["outcome"] == "valid" else "invalid"] += row["count"]
         # An unreadable payload is kept as JSON text, so that the envelope itself stays readable.
         payload = F.when(F.try_parse_json("value").isNotNull(), F.col("value")).otherwise(F.to_json(F.struct(F.col("value").alias("raw"))))
-        envelope = F.concat(F.lit('{"payload":'), payload, F.lit(f',"schema_path":"{schema_path}","retry_count":0}}'))
+        shell = F.to_json(F.struct(F.lit(schema_path).alias("schema_path"), F.lit(0).alias("retry_count")))
+        envelope = F.concat(F.lit('{"payload":'), payload, F.lit(","), F.substring(shell, 2, 2_000_000_000))
         dead = done.filter(F.col("outcome") == "dead").select(envelope.alias("value"))
         routed = dead_letters.triage_letters(dead, catalogue, max_retries, clock)
         ingest.write_batch(deadletter.to_archive(routed, clock=clock), f"{folder}/archive", batch_id, writer=writer)
@@ -203,10 +206,25 @@ def mirror_changes(
     dead-letter table where one is named, and never to the mirror."""
     changes = customers.unwrap_change(messages, schema)
     state = mirror.mirror_stream(changes, path, f"{checkpoint}/mirror", keys, "offset")
+    writer = ingest.writer_name(messages.sparkSession, f"{checkpoint}/objects")
     files = ingest.each_batch(
-        messages, lambda batch, number: writers.write_objects(batch, f"{objects}/batch_id={number}"), f"{checkpoint}/objects"
+        messages, lambda batch, number: writers.write_objects(batch, f"{objects}/batch_id={writer}-{number}"), f"{checkpoint}/objects"
     )
     if dead_letters_path is None:
         return [state, files]
     rejected = customers.rejected_changes(messages, keys)
     return [state, files, ingest.append_stream(rejected, dead_letters_path, f"{checkpoint}/rejected")]
+
+
+def mirror_from_snapshot(
+    rows: DataFrame, fences: DataFrame, landed: DataFrame, changes: DataFrame, path: str, checkpoint: str, keys: list[str], position: str,
+    deleted: str = "is_delete",
+) -> StreamingQuery:
+    """A mirror that begins with a snapshot and goes on with the change stream.
+
+    ``landed`` holds the changes that the log has up to the last fence, ``changes`` is the stream of all of
+    them. Reads are put in first; what the stream adds finds its place by position.
+    """
+    reads = snapshot.surviving_reads(rows, fences, landed, keys, position).withColumn(deleted, F.lit(False))
+    bucketed_mirror.seed(reads, path, keys)
+    return bucketed_mirror.bucketed_mirror_stream(changes, path, checkpoint, keys, position)

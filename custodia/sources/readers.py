@@ -50,6 +50,11 @@ def stream_landed(spark: SparkSession, path: str, max_files: int = MAX_FILES_PER
     return spark.readStream.schema(ENVELOPE).option("maxFilesPerTrigger", max_files).parquet(path)
 
 
+def stream_landed_as(spark: SparkSession, path: str, schema: T.StructType, max_files: int = MAX_FILES_PER_TRIGGER) -> DataFrame:
+    """Rows of any shape that land as Parquet files, as a stream."""
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(path)
+
+
 def read_landed(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(ENVELOPE).parquet(path)
 

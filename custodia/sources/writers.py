@@ -73,9 +73,15 @@ def publish(messages: DataFrame, bootstrap_servers: str) -> None:
     messages.write.format("kafka").option("kafka.bootstrap.servers", bootstrap_servers).save()
 
 
-def land_messages(messages: DataFrame, path: str) -> None:
-    """Message rows as files per topic, where no broker is at hand."""
-    messages.write.mode("append").partitionBy("topic").json(path)
+def land_messages(messages: DataFrame, path: str, run: str | None = None) -> None:
+    """Message rows as files per topic, where no broker is at hand.
+
+    Those of a named ``run`` replace what the same run landed before.
+    """
+    if run is None:
+        messages.write.mode("append").partitionBy("topic").json(path)
+    else:
+        messages.write.mode("overwrite").partitionBy("topic").json(f"{path.rstrip('/')}/run={run}")
 
 
 def write_objects(messages: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> None:
@@ -131,15 +137,32 @@ def table_bytes(spark: SparkSession, path: str) -> int:
     return fs.getContentSummary(folder).getLength()
 
 
+def partition_columns(spark: SparkSession, path: str) -> list[str]:
+    """The columns that the folders of a table stand for, outermost first, found by walking down one branch."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    layout: list[str] = []
+    while True:
+        below = fs.listStatusIterator(folder)
+        while below.hasNext():
+            status = below.next()
+            name = status.getPath().getName()
+            if status.isDirectory() and "=" in name:
+                layout.append(name.partition("=")[0])
+                folder = status.getPath()
+                break
+        else:
+            return layout
+
+
 def compact_table(spark: SparkSession, source: str, target: str, file_mb: int = COMPACT_TO_MB) -> int:
     """Rewrite a Parquet table into files of about the given size; returns the number of files to expect.
 
     The copy has the partition folders of the source. The new copy goes to another folder, so readers of the old one are not disturbed.
     """
     rows = spark.read.parquet(source)
-    first = next(iter(rows.inputFiles()), "")
-    stem = source.rstrip("/").rpartition("/")[2]
-    layout = [part.partition("=")[0] for part in first.rpartition(f"/{stem}/")[2].split("/")[:-1] if "=" in part]
+    layout = partition_columns(spark, source)
     files = max(1, ceil(table_bytes(spark, source) / (file_mb * 1024 * 1024)))
     size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
     before = spark.conf.get(size)

@@ -8,7 +8,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from custodia.functions.schema_dispatch import validate_by_path, validate_messages
 from custodia.operators.deadletter import ARCHIVE, RETRY, attempt, parse_envelope, route, to_archive
-from custodia.streaming.ingest import each_batch, write_batch, writer_name
+from custodia.streaming.batches import each_batch, write_batch, writer_name
+from custodia.streaming.commits import write_all
 
 
 def flagged(messages: DataFrame, schema_path: str, schema: dict, value: str = "value") -> DataFrame:
@@ -45,23 +46,20 @@ def triage_stream(
     max_retries: int = 3,
     clock: Column | None = None,
     interval: str | None = None,
+    commits: str | None = None,
 ) -> StreamingQuery:
     """Route dead letters: valid ones below the limit to the retry table, the rest to the archive.
 
-    Each table gets one set-based write per micro-batch, never one per message.
+    Each table gets one set-based write per micro-batch, never one per message. With a log of ``commits`` a batch
+    counts in both tables or in none.
     """
     routed = triage_letters(letters, catalogue, max_retries, clock)
     writer = writer_name(letters.sparkSession, checkpoint)
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            write_batch(retry_message(batch), retry_path, batch_id, writer=writer)
-            write_batch(to_archive(batch.filter(F.col("route") == ARCHIVE), clock=clock), archive_path, batch_id, writer=writer)
-        finally:
-            batch.unpersist()
+    def split(batch: DataFrame) -> dict[str, DataFrame]:
+        return {retry_path: retry_message(batch), archive_path: to_archive(batch.filter(F.col("route") == ARCHIVE), clock=clock)}
 
-    return each_batch(routed, write, checkpoint, interval)
+    return each_batch(routed, lambda batch, number: write_all(batch, split, number, writer, commits), checkpoint, interval)
 
 
 def process_stream(
@@ -76,5 +74,3 @@ def process_stream(
     outcome = attempt(text, max_retries=max_retries)
     writer = writer_name(messages.sparkSession, checkpoint)
     return each_batch(outcome, lambda b, i: write_batch(b, path, i, partition=["outcome"], writer=writer), checkpoint, interval)
-
-

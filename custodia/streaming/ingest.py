@@ -2,24 +2,20 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
 
 from custodia.functions.parsing import CORRUPT, parse_json, parse_or_quarantine, stamp
+from custodia.streaming.batches import each_batch, triggered, write_batch, writer_name
+from custodia.streaming.commits import write_all
 
 TRIGGER = "10 seconds"
 
 
-def triggered(writer: DataStreamWriter, interval: str | None = None) -> DataStreamWriter:
-    """Run on an interval, or once over all that is available when none is given."""
-    return writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
-
-
 def append_stream(
     rows: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", interval: str | None = None, name: str | None = None
 ) -> StreamingQuery:
@@ -45,11 +41,13 @@ def ingest(
     fmt: str = "parquet",
     interval: str | None = None,
     clock: Column | None = None,
+    commits: str | None = None,
 ) -> StreamingQuery:
     """Parse JSON messages and append them to a lake table.
 
     ``on_malformed="null_row"`` appends a row of nulls for an unreadable message; ``"dlq"`` appends
-    the message with its origin to ``dead_letters`` and the readable rows to ``path``.
+    the message with its origin to ``dead_letters`` and the readable rows to ``path``. With a log of ``commits`` a
+    batch counts in both tables or in none, for readers that go by the log.
     """
     if on_malformed == "null_row":
         return append_stream(stamp(parse_json(messages, schema), clock=clock), path, checkpoint, fmt, interval)
@@ -63,7 +61,7 @@ def ingest(
     good = [f.name for f in schema.fields]
     writer = writer_name(messages.sparkSession, checkpoint)
 
-    def split(batch: DataFrame, batch_id: int) -> None:
+    def split(batch: DataFrame) -> dict[str, DataFrame]:
         rows = batch.filter(F.col(CORRUPT).isNull()).select(*good)
         bad = batch.filter(F.col(CORRUPT).isNotNull()).select(
             F.col("_topic").alias("topic"),
@@ -77,52 +75,9 @@ def ingest(
                 F.lit("not readable with the declared schema").alias("message"),
             ).alias("error"),
         )
-        batch.persist()  # the source and the parser run once for both tables
-        try:
-            write_batch(stamp(rows, clock=clock), path, batch_id, fmt, writer=writer)
-            write_batch(bad, dead_letters, batch_id, fmt, writer=writer)
-        finally:
-            batch.unpersist()
-
-    return each_batch(parsed, split, checkpoint, interval)
-
+        return {path: stamp(rows, clock=clock), dead_letters: bad}
 
-def each_batch(
-    rows: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str, interval: str | None = None
-) -> StreamingQuery:
-    """Run a function on every micro-batch; a batch that failed is handed over again with the same number."""
-    writer = rows.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
-    return triggered(writer, interval).start()
-
-
-def writer_name(spark: SparkSession, checkpoint: str) -> str:
-    """The identity of the writer that owns a checkpoint, kept in its folder.
-
-    Batch numbers start at 0 in every checkpoint. With the writer's name in front, two streams, or one
-    stream under a new checkpoint, never replace each other's batches in a shared table.
-    """
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{checkpoint.rstrip('/')}/writer")
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        stream = fs.create(path, False)
-        stream.write(uuid.uuid4().hex.encode())
-        stream.close()
-    return spark.read.text(path.toString()).first()[0]
-
-
-def write_batch(
-    rows: DataFrame, path: str, batch_id: int, fmt: str = "parquet", partition: list[str] | None = None, writer: str = ""
-) -> None:
-    """Write one micro-batch under its own folder, named by its writer and number.
-
-    A replayed batch replaces what its first try left behind, so nothing is stored twice.
-    """
-    name = f"{writer}-{batch_id}" if writer else str(batch_id)
-    out = rows.write.format(fmt).mode("overwrite")
-    if partition:
-        out = out.partitionBy(*partition)
-    out.save(f"{path}/batch_id={name}")
+    return each_batch(parsed, lambda batch, number: write_all(batch, split, number, writer, commits, fmt), checkpoint, interval)
 
 
 def fan_out(

@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from custodia.operators.customers import fold_changes, latest_per_key
 from custodia.sources.schemas import additive_columns
 from custodia.sources.writers import merge_statement
-from custodia.streaming.ingest import each_batch, write_batch, writer_name
+from custodia.streaming.batches import each_batch, write_batch, writer_name
 
 
 def upsert(target: DataFrame, changes: DataFrame, keys: list[str], order: str, deleted: str = "is_delete") -> DataFrame:

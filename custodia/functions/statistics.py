@@ -2,7 +2,7 @@
 
 ``percentile`` keeps every distinct value of a group in one buffer and a window without partitions
 sorts everything in one task. Both fail on a large or lopsided group, so ranks are found here by
-bracketing and running totals by range partitions.
+radix passes over histograms and running totals by range partitions.
 """
 
 from __future__ import annotations
@@ -15,6 +15,10 @@ from pyspark.sql import functions as F
 from custodia.session import ensure_checkpointing
 
 Fraction = tuple[int, int]
+RADIX = 16  # bits of a key that one pass fixes
+FRACTION = 1 << 52  # steps of a double between two powers of two
+LAST_KEY = (1 << 63) - 1
+LEAST, LEAST_NORMAL = "4.9E-324", "2.2250738585072014E-308"
 
 
 def attach(df: DataFrame, per_group: DataFrame, by: list[str], few: bool = False) -> DataFrame:
@@ -43,13 +47,44 @@ def _rank_and_weight(fraction: Fraction, method: str) -> tuple[str, str]:
     return f"({i} * (_n - 1)) div {k} + 1", f"({i} * (_n - 1)) % {k}"
 
 
+def with_ordered_key(df: DataFrame, value: str, key: str) -> DataFrame:
+    """Add a 64-bit number that orders doubles as they are ordered: their bits, negated below zero.
+
+    Exponent and fraction come from exact steps: scaling by a power of two loses nothing, and a logarithm
+    that is off by one is put right. Both zeros are 0, NaN comes last, null stays null.
+    """
+    scaled = F.expr("_size / pow(2D, _guess)")
+    bits = (
+        f"CASE WHEN isnan({value}) THEN {LAST_KEY} WHEN _size = 0 THEN 0L ELSE if({value} < 0, -1L, 1L) * CASE"
+        f" WHEN _size = double('Infinity') THEN 2047L * {FRACTION}"
+        f" WHEN _size < {LEAST_NORMAL}D THEN CAST(_size / {LEAST}D AS BIGINT)"
+        f" ELSE (_exponent + 1023L) * {FRACTION} + CAST((_size / pow(2D, _exponent) - 1) * {FRACTION} AS BIGINT) END END"
+    )
+    return (
+        df.withColumn("_size", F.abs(value))
+        .withColumn("_guess", F.expr("if(_size > 0 AND _size < double('Infinity'), least(1023, greatest(-1022, CAST(floor(log2(_size)) AS INT))), 0)"))
+        .withColumn("_exponent", F.when(scaled >= 2, F.col("_guess") + 1).when((scaled < 1) & (F.col("_guess") > -1022), F.col("_guess") - 1).otherwise(F.col("_guess")))
+        .withColumn(key, F.expr(bits))
+        .drop("_size", "_guess", "_exponent")
+    )
+
+
+def value_of_key(key: str) -> str:
+    """SQL for the double that an ordered key stands for."""
+    size = f"abs({key})"
+    return (
+        f"CASE WHEN {key} = {LAST_KEY} THEN double('NaN') ELSE if({key} < 0, -1D, 1D) * CASE"
+        f" WHEN {size} >= 2047L * {FRACTION} THEN double('Infinity') WHEN {size} < {FRACTION} THEN {size} * {LEAST}D"
+        f" ELSE (1D + ({size} % {FRACTION}) / {FRACTION}D) * pow(2D, ({size} div {FRACTION}) - 1023D) END END"
+    )
+
+
 def exact_quantiles(
     df: DataFrame,
     value: str,
     fractions: dict[str, Fraction],
     by: list[str] | None = None,
     method: str = "exclusive",
-    accuracy: int = 10_000,
     groups: int | None = None,
 ) -> DataFrame:
     """Interpolated quantiles of ``value`` per group: one row with a column per fraction.
@@ -59,66 +94,57 @@ def exact_quantiles(
     ``inclusive`` places it at ``1 + i * (n - 1) / k``. Nulls are ignored; a group without values has
     no row, and without groups there is always one row.
 
-    Three passes over the input, each with map-side partial aggregation: a sketch gives a bracket
-    around each rank, an exact count tells how many values lie below it, and only the values in the
-    brackets (a ``4 / accuracy`` share of a group) are ordered. A bracket that misses its rank is
-    replaced by the whole range, so the result does not depend on the sketch.
+    Four passes over the input narrow all ranks at once, 16 bits of the values' ordered keys a pass. Each is a count
+    by those bits, combined in the tasks before it is shuffled, so a group's histogram has at most 65,536
+    rows for each rank still open, however many values the group has and however they are spread. No values are ordered.
 
     ``groups`` is an upper bound of the number of groups where the caller's arguments give one.
     """
-    by = by or []
-    few = bool(by) and groups is not None
-    parts = range(len(fractions))
-    values = df.select(*by, F.col(value).cast("double").alias("_v"))
-    margin = 2.0 / accuracy
-    edges = [e for i, k in fractions.values() for e in (max(0.0, i / k - margin), min(1.0, i / k + margin))]
-
-    sketch = values.groupBy(*by).agg(
-        F.count("_v").alias("_n"), F.percentile_approx("_v", edges, accuracy).alias("_edges")
-    )
-    counts = [
-        F.expr(text)
-        for p in parts
-        for text in (f"count_if(_v < _edges[{2 * p}]) AS _below{p}", f"count_if(_v <= _edges[{2 * p + 1}]) AS _upto{p}")
-    ]
-    brackets = attach(values, sketch, by, few).groupBy(*by, "_n", "_edges").agg(*counts)
-
-    ranks, uppers, targets = [], [], []
-    for p, fraction in enumerate(fractions.values()):
-        rank, weight = _rank_and_weight(fraction, method)
-        ranks += [f"{rank} AS _r{p}", f"{weight} AS _w{p}"]
-        uppers.append(f"if(_w{p} > 0, _r{p} + 1, _r{p}) AS _u{p}")
-        held = f"_below{p} < _r{p} AND _upto{p} >= _u{p}"
-        targets.append(
-            f"named_struct('p', {p}, 'rank', _r{p}, 'upper', _u{p}, 'weight', _w{p},"
-            f" 'lo', if({held}, _edges[{2 * p}], double('-Infinity')),"
-            f" 'hi', if({held}, _edges[{2 * p + 1}], double('Infinity')),"
-            f" 'below', if({held}, _below{p}, 0L))"
-        )
-    plan = (
-        brackets.selectExpr("*", *ranks)
-        .selectExpr("*", *uppers)
-        .select(*by, F.expr(f"array({', '.join(targets)})").alias("_targets"))
-    )
-
-    inside = [f"_v BETWEEN _targets[{p}].lo AND _targets[{p}].hi" for p in parts]
-    hits = ", ".join(f"if({test}, _targets[{p}], NULL)" for p, test in enumerate(inside))
-    spread = (
-        attach(values, plan, by, few)
-        .filter(" OR ".join(inside))
-        .select(*by, "_v", F.expr(f"explode(array_compact(array({hits})))").alias("_t"))
-    )
-    tallied = spread.groupBy(*by, "_t", "_v").agg(F.count("*").alias("_c"))
-    order = Window.partitionBy(*by, "_t.p").orderBy("_v")
-    ranked = tallied.withColumn("_cum", F.col("_t.below") + F.sum("_c").over(order))
-    picked = ranked.groupBy(*by, F.col("_t.p").alias("_p"), F.col("_t.weight").alias("_w")).agg(
-        F.expr("min(if(_cum >= _t.rank, _v, NULL))").alias("_x"), F.expr("min(if(_cum >= _t.upper, _v, NULL))").alias("_y")
-    )
+    if not by:  # one group, whose row is broadcast; without values its row is empty
+        found = exact_quantiles(df.withColumn("_all", F.lit(0)), value, fractions, ["_all"], method, 1)
+        return found.agg(*[F.max(name).alias(name) for name in fractions])
+    few = groups is not None
+    keys = df.select(*by, F.col(value).cast("double").alias("_v")).where("_v IS NOT NULL")
+    keys = with_ordered_key(keys, "_v", "_k").select(*by, "_k")
+    ranks = [f"{r}{p}" for p in range(len(fractions)) for r in ("_r", "_u")]
+
+    def narrowed(counted: DataFrame, shift: int) -> DataFrame:
+        """For each rank the bits it lies in and the values of its group below them."""
+        parent = F.shiftright("_b", RADIX) if shift < 64 - RADIX else F.lit(0)
+        order = Window.partitionBy(*by, parent).orderBy("_b")
+        cumulated = counted.withColumn("_cum", F.sum("_c").over(order))
+        if shift == 64 - RADIX:
+            whole = Window.partitionBy(*by)
+            wanted, weights = [], []
+            cumulated = cumulated.withColumn("_n", F.sum("_c").over(whole))
+            for p, fraction in enumerate(fractions.values()):
+                rank, weight = _rank_and_weight(fraction, method)
+                cumulated = cumulated.withColumn(f"_r{p}", F.expr(rank)).withColumn(f"_w{p}", F.expr(weight))
+                wanted += [f"_r{p}", f"if(_w{p} > 0, _r{p} + 1, _r{p})"]
+                weights.append(f"_w{p}")
+            found = [f"min(if(_cum >= {w}, named_struct('b', _b, 'below', _cum - _c, 'rank', {w}), NULL))" for w in wanted]
+            return cumulated.groupBy(*by).agg(
+                F.expr(f"array({', '.join(found)})").alias("_t"), F.expr(f"array({', '.join(f'max({w})' for w in weights)})").alias("_w")
+            )
+        found = [
+            f"min(if(shiftright(_b, {RADIX}) = _t[{i}].b AND _t[{i}].below + _cum >= _t[{i}].rank,"
+            f" named_struct('b', _b, 'below', _t[{i}].below + _cum - _c, 'rank', _t[{i}].rank), NULL))"
+            for i in range(len(ranks))
+        ]
+        return cumulated.groupBy(*by, "_t", "_w").agg(F.expr(f"array({', '.join(found)})").alias("_next")).select(*by, F.col("_next").alias("_t"), "_w")
+
+    bits = lambda shift: F.shiftright("_k", shift).alias("_b")
+    state = narrowed(keys.select(*by, bits(64 - RADIX)).groupBy(*by, "_b").agg(F.count("*").alias("_c")), 64 - RADIX)
+    for shift in range(64 - 2 * RADIX, -1, -RADIX):
+        inside = " OR ".join(f"shiftright(_k, {shift + RADIX}) = _t[{i}].b" for i in range(len(ranks)))
+        held = attach(keys, state, by, few).where(inside)
+        state = narrowed(held.select(*by, "_t", "_w", bits(shift)).groupBy(*by, "_t", "_w", "_b").agg(F.count("*").alias("_c")), shift)
     columns = []
     for p, (name, (_, k)) in enumerate(fractions.items()):
-        mixed = f"(_x * ({k} - _w) + _y * _w) / {k}" if method == "exclusive" else f"_x + (_y - _x) * (_w / {k})"
-        columns.append(F.expr(f"max(if(_p = {p}, if(_w = 0, _x, {mixed}), NULL))").alias(name))
-    return picked.groupBy(*by).agg(*columns)
+        x, y, w = value_of_key(f"_t[{2 * p}].b"), value_of_key(f"_t[{2 * p + 1}].b"), f"_w[{p}]"
+        mixed = f"(_x * ({k} - {w}) + _y * {w}) / {k}" if method == "exclusive" else f"_x + (_y - _x) * ({w} / {k})"
+        columns.append(F.expr(f"if({w} = 0, {x}, {mixed.replace('_x', f'({x})').replace('_y', f'({y})')})").alias(name))
+    return state.select(*by, *columns)
 
 
 def running_totals(

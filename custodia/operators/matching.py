@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from custodia.operators.customers import latest_per_key
 
 
+LEVELS = (4, 4, 6)  # bits of each level of a hash tree: 16,384 leaves
+
+
 def reconcile(
     stored: DataFrame, returned: DataFrame, key: str, columns: list[str], order: Column | None = None
 ) -> DataFrame:
@@ -35,6 +38,56 @@ def reconcile(
     )
 
 
+def range_digests(df: DataFrame, key: str, columns: list[str], levels: tuple[int, ...] = LEVELS) -> DataFrame:
+    """(range, row_count, digest): the leaves of a hash tree over ranges of hashed keys; what each side keeps or sends.
+
+    The leaf of a key is the top bits of its hash. A leaf's digest is the sum of its rows' hashes, so it does not depend
+    on their order, and the digest of any wider range is the sum of its leaves'.
+    """
+    row = F.xxhash64(key, *columns).cast("decimal(38,0)")
+    return df.groupBy(range_of(key, levels).alias("range")).agg(F.count("*").alias("row_count"), F.sum(row).alias("digest"))
+
+
+def range_of(key: str, levels: tuple[int, ...] = LEVELS) -> Column:
+    return F.pmod(F.xxhash64(F.lit("range"), key), F.lit(1 << sum(levels))).cast("int")
+
+
+def differing_ranges(left: DataFrame, right: DataFrame, levels: tuple[int, ...] = LEVELS) -> DataFrame:
+    """(range) of the leaves that differ. Levels are compared from the top: only the children of ranges that
+    differ are compared further, so equal parts of the tree are left after one look."""
+    depth = sum(levels)
+    open_ranges = None
+    for at in range(1, len(levels) + 1):
+        shift = depth - sum(levels[:at])
+
+        def level(side: DataFrame, shift=shift, above=open_ranges, bits=levels[at - 1]) -> DataFrame:
+            rows = side
+            if above is not None:
+                rows = side.join(above.withColumnRenamed("range", "_above"), F.shiftright("range", shift + bits) == F.col("_above"), "left_semi")
+            return rows.groupBy(F.shiftright("range", shift).alias("range")).agg(F.sum("row_count").alias("row_count"), F.sum("digest").alias("digest"))
+
+        a, b = level(left), level(right).withColumnsRenamed({"range": "_range", "row_count": "_rows", "digest": "_digest"})
+        same = F.col("row_count").eqNullSafe(F.col("_rows")) & F.col("digest").eqNullSafe(F.col("_digest"))
+        open_ranges = a.join(b, F.col("range") == F.col("_range"), "full_outer").where(~same).select(F.coalesce("range", "_range").alias("range"))
+    return open_ranges
+
+
+def reconcile_by_digest(
+    stored: DataFrame, returned: DataFrame, key: str, columns: list[str], ranges: DataFrame, levels: tuple[int, ...] = LEVELS
+) -> DataFrame:
+    """The result of ``reconcile`` from the rows of the differing ``ranges`` alone.
+
+    There are at most ``2 ** sum(levels)`` ranges, so they are broadcast to filter both sides where they
+    are read; what is shuffled and joined grows with the differences and not with the tables.
+    """
+
+    def inside(side: DataFrame) -> DataFrame:
+        rows = side.select(key, *columns).withColumn("_leaf", range_of(key, levels))
+        return rows.join(F.broadcast(ranges.withColumnRenamed("range", "_leaf")), "_leaf", "left_semi").drop("_leaf")
+
+    return reconcile(inside(stored), inside(returned), key, columns)
+
+
 def match_within(
     requests: DataFrame, results: DataFrame, key: str, ts: str = "ts", seconds: int = 30
 ) -> DataFrame:

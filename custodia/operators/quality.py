@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from math import ceil
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -185,11 +186,53 @@ def profile(
     if not numeric:
         return joined
     quartiles = exact_quantiles(
-        _unpivot(df, numeric, "double"), "v", PROFILE_QUANTILES, ["feature"], "inclusive", accuracy, len(numeric)
+        _unpivot(df, numeric, "double"), "v", PROFILE_QUANTILES, ["feature"], "inclusive", len(numeric)
     )
     return joined.join(quartiles, "feature", "left")
 
 
+def key_dictionary(df: DataFrame, key: str) -> DataFrame:
+    """(key, number) of every key: numbers are dense within a task's stretch. To be written once and read from there."""
+    return df.where(F.col(key).isNotNull()).select(key).distinct().withColumn("number", F.monotonically_increasing_id())
+
+
+def daily_bitmaps(df: DataFrame, dictionary: DataFrame, key: str, ts: str) -> DataFrame:
+    """(day, block, bits): the keys of each day as bitmaps of 32,768 numbers; what is stored."""
+    numbered = df.select(F.to_date(ts).alias("day"), key).join(dictionary, key)
+    return numbered.groupBy("day", F.expr("number div 32768").alias("block")).agg(F.expr("bitmap_construct_agg(number % 32768)").alias("bits"))
+
+
+def rolling_distinct(bitmaps: DataFrame, days: int = 7) -> DataFrame:
+    """(day, distinct_keys): exact number of keys in the days up to each day that has any, from the bitmaps alone.
+
+    A window's bitmaps are joined block by block, so a day costs its blocks and not its rows.
+    """
+    spread = bitmaps.withColumn("until", F.explode(F.sequence("day", F.date_add("day", days - 1))))
+    joined = spread.groupBy("until", "block").agg(F.expr("bitmap_or_agg(bits)").alias("bits"))
+    counted = joined.groupBy(F.col("until").alias("day")).agg(F.sum(F.expr("bitmap_count(bits)")).alias("distinct_keys"))
+    return counted.join(bitmaps.select("day").distinct(), "day", "left_semi")
+
+
+def heavy_values(df: DataFrame, columns: list[str], share: float, tracked: int = 4096) -> DataFrame:
+    """(feature, value, value_count) of the values that make up at least ``share`` of a column's rows, counted exactly.
+
+    A frequent-items sketch per column (Misra-Gries counters, merged over the tasks) keeps every value whose
+    share is above its error, so at most ``tracked`` candidates a column are counted again; a column of unique
+    values shuffles none of them. ``share`` must be above the error of ``tracked`` counters.
+    """
+    if share * tracked < 4:
+        raise ValueError(f"{tracked} counters are too few for a share of {share}")
+    wanted = min(tracked, 4 * ceil(1 / share))
+    sketches = df.agg(*[F.expr(f"approx_top_k(CAST({c} AS STRING), {wanted}, {tracked})").alias(c) for c in columns])
+    candidates = sketches.select(F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("top")) for c in columns])).alias("s"))
+    candidates = candidates.select("s.feature", F.explode("s.top").alias("t")).select("feature", F.col("t.item").alias("v")).where("v IS NOT NULL")
+    # As many rows as columns times counters, by the arguments alone.
+    pairs = _unpivot(df, columns, "string").join(F.broadcast(candidates), ["feature", "v"])
+    rows = df.agg(F.count("*").alias("n"))
+    counted = pairs.groupBy("feature", F.col("v").alias("value")).agg(F.count("*").alias("value_count"))
+    return counted.crossJoin(rows).where(F.col("value_count") >= F.col("n") * share).drop("n")
+
+
 def distinct_counts(df: DataFrame, columns: list[str], approximate: bool = False) -> DataFrame:
     """Distinct values per column in one row."""
     count = F.approx_count_distinct if approximate else F.count_distinct

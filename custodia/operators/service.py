@@ -52,10 +52,10 @@ def load_summary(log: DataFrame, by: list[str] | None = None) -> DataFrame:
     )
 
 
-def load_quantiles(log: DataFrame, by: list[str] | None = None, accuracy: int = 10_000) -> DataFrame:
+def load_quantiles(log: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Exact p95 and p99 of successful response times, by the exclusive definition; zero without any."""
     by = by or []
-    found = exact_quantiles(log.filter(succeeded()), "duration_s", TAILS, by, "exclusive", accuracy)
+    found = exact_quantiles(log.filter(succeeded()), "duration_s", TAILS, by, "exclusive")
     return found.select(*by, *[F.coalesce(name, F.lit(0.0)).alias(name) for name in TAILS])
 
 
@@ -223,7 +223,7 @@ def batch_gate(
     )
 
 
-def daily_trend(log: DataFrame, accuracy: int = 10_000) -> DataFrame:
+def daily_trend(log: DataFrame) -> DataFrame:
     """Per date: mean, p95, throughput over the day, error rate and whether availability was met."""
     dated = log.withColumn("day", F.to_date("ts"))
     ok = succeeded()
@@ -233,7 +233,7 @@ def daily_trend(log: DataFrame, accuracy: int = 10_000) -> DataFrame:
         (F.count("*") / 86_400).alias("throughput"),
         (F.count_if(~ok) / F.count("*")).alias("error_rate"),
     )
-    tails = exact_quantiles(dated.filter(ok), "duration_s", {"p95_s": (19, 20)}, ["day"], "exclusive", accuracy)
+    tails = exact_quantiles(dated.filter(ok), "duration_s", {"p95_s": (19, 20)}, ["day"], "exclusive")
     return (
         totals.join(tails, "day", "left")
         .withColumn("slo_met", F.col("error_rate") <= 0.001)
@@ -288,3 +288,25 @@ def ingestion_latency(messages: DataFrame, created_ms: str, arrived_ms: Column,
     return messages.agg(
         F.count(arrived_ms).alias("messages"), F.avg(arrived_ms - F.col(created_ms)).alias("mean_ms")
     ).withColumn("within_limit", F.coalesce(F.col("mean_ms") < limit_ms, F.lit(False)))
+
+
+SKETCH_K = 800  # rank error of a sketch: about 0.4 %
+
+
+def hourly_tails(log: DataFrame, k: int = SKETCH_K) -> DataFrame:
+    """One row per hour: successful requests and a quantile sketch of their times.
+
+    The rows are what is stored; they are small, and sketches of any hours can be merged later.
+    """
+    taken = log.filter(succeeded() & F.col("duration_s").isNotNull())
+    return taken.groupBy(F.date_trunc("hour", F.col("ts").cast("timestamp")).alias("hour")).agg(
+        F.count("*").alias("served"), F.expr(f"kll_sketch_agg_double(duration_s, {k})").alias("sketch")
+    )
+
+
+def rolling_tails(hourly: DataFrame, window_hours: int = 24, step_hours: int = 1) -> DataFrame:
+    """p95 and p99 of a sliding window, from the hours' sketches alone."""
+    span = F.window("hour", f"{window_hours} hours", f"{step_hours} hours")
+    merged = hourly.groupBy(span.alias("w")).agg(F.sum("served").alias("served"), F.expr("kll_merge_agg_double(sketch)").alias("sketch"))
+    tails = [F.expr(f"kll_sketch_get_quantile_double(sketch, {i / k}D)").alias(name) for name, (i, k) in TAILS.items()]
+    return merged.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "served", *tails)

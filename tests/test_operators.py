@@ -29,7 +29,7 @@ def test_exclusive_quantiles_equal_the_standard_library(spark):
     rng = random.Random(1)
     groups = {n: [rng.choice([1.0, 2.0, 3.5, rng.random() * 10]) for _ in range(n)] for n in (1, 2, 19, 20, 21, 99, 100, 101, 700)}
     df = spark.createDataFrame([(n, v) for n, vs in groups.items() for v in vs], "n int, v double")
-    rows = exact_quantiles(df, "v", {"p95": (19, 20), "p99": (99, 100)}, ["n"], accuracy=50).collect()
+    rows = exact_quantiles(df, "v", {"p95": (19, 20), "p99": (99, 100)}, ["n"]).collect()
     assert len(rows) == len(groups)
     for row in rows:
         vs = groups[row["n"]]

@@ -192,6 +192,9 @@ def load_quantiles_by_phase(d):
     return rounded(service.load_quantiles(d.view("reqlog"), ["phase"]), TAIL_PARTS)
 
 
+SKETCH_ERROR = 0.01  # share of the rows by which the rank of a merged tail may be off
+
+
 @query("load_quantiles_sketch")
 def load_quantiles_sketch(d):
     return service.load_quantiles_approx(d.view("reqlog"), ["phase"])
@@ -458,3 +461,30 @@ def load_report_query(d):
         F.col("test_config")["concurrent_users"].alias("concurrent_users"), "summary.total", "summary.failed",
         F.array_join("errors", "|").alias("errors"),
     )
+
+
+@query(
+    "slo_rolling_tails",
+    f"""WITH ok AS (SELECT ts FROM reqlog WHERE {OK} AND duration_s IS NOT NULL),
+    ends AS (SELECT unnest(range(date_trunc('hour', min(ts)) + INTERVAL 1 HOUR, date_trunc('hour', max(ts)) + INTERVAL 25 HOUR, INTERVAL 1 HOUR)) AS window_end FROM ok)
+    SELECT window_end, quantile, count(*) AS served, true AS within_error FROM ends JOIN ok ON ts >= window_end - INTERVAL 24 HOUR AND ts < window_end,
+      (VALUES ('p95_s'), ('p99_s')) v(quantile) GROUP BY ALL""",
+    "reqlog",
+)
+def slo_rolling_tails(d):
+    """Tails of every 24 hours from stored hourly sketches, and whether the exact rank of each is within the promised error."""
+    stored = d.scratch()
+    log = d.view("reqlog")
+    service.hourly_tails(log).write.parquet(stored)
+    tails = service.rolling_tails(d.spark.read.parquet(stored))
+    times = log.filter(service.succeeded()).select(F.col("ts").cast("timestamp").alias("ts"), "duration_s")
+    # The check alone reads requests; each lies in 24 windows.
+    hours = times.withColumn("window_end", F.explode(F.sequence(F.expr("date_trunc('hour', ts) + INTERVAL 1 HOUR"), F.expr("date_trunc('hour', ts) + INTERVAL 24 HOUR"), F.expr("INTERVAL 1 HOUR"))))
+    joined = hours.join(tails, "window_end")
+    checks = []
+    for name, (i, k) in service.TAILS.items():
+        below, upto = F.count_if(F.col("duration_s") < F.col(name)), F.count_if(F.col("duration_s") <= F.col(name))
+        error = F.greatest(F.lit(1.0), F.count("*") * F.lit(SKETCH_ERROR))
+        checks.append(F.struct(F.lit(name).alias("quantile"), ((below <= F.count("*") * (i / k) + error) & (upto >= F.count("*") * (i / k) - error)).alias("within_error")))
+    found = joined.groupBy("window_end", "served").agg(F.array(*checks).alias("checks"))
+    return found.select(F.col("window_end").cast("timestamp_ntz").alias("window_end"), "served", F.inline("checks"))

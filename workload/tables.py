@@ -401,6 +401,18 @@ def reconcile_results(d):
     return scores_as_double(matching.reconcile(d.view("scoring_stored"), d.view("scoring"), "event_id", ["credit_score"]))
 
 
+@query("reconcile_by_digest", RECONCILE.format(key="event_id", stored="scoring_stored", returned="scoring"), "scoring_stored scoring")
+def reconcile_by_digest(d):
+    """Digests of both sides are stored and compared first; then only the differing ranges are read."""
+    sides = [d.view("scoring_stored").select("event_id", "credit_score"), d.view("scoring").select("event_id", "credit_score")]
+    kept = []
+    for side in sides:
+        kept.append(d.scratch())
+        matching.range_digests(side, "event_id", ["credit_score"]).write.parquet(kept[-1])
+    ranges = matching.differing_ranges(*[d.spark.read.parquet(path) for path in kept])
+    return scores_as_double(matching.reconcile_by_digest(*sides, "event_id", ["credit_score"], ranges))
+
+
 @query(
     "reconcile_latest",
     """WITH s AS (SELECT customer_id, credit_score, row_number() OVER (PARTITION BY customer_id ORDER BY event_id DESC) AS n FROM scoring_stored),
@@ -616,3 +628,32 @@ def drift_report_job(d):
 def drift_dataset_verdict(d):
     report = drift.drift_report(*halves(d.view("txn"), "ts"), ["amount"], ["currency", "customer_id"])
     return drift.dataset_verdict(report)
+
+
+@query(
+    "distinct_customers_rolling",
+    """WITH days AS (SELECT DISTINCT CAST(ts AS DATE) AS day FROM events)
+    SELECT CAST(day AS VARCHAR) AS day, count(DISTINCT user_id) AS distinct_keys FROM days JOIN events ON CAST(ts AS DATE) BETWEEN day - 6 AND day GROUP BY day""",
+)
+def distinct_customers_rolling(d):
+    """Customers of every seven days, from daily bitmaps over a stored dictionary."""
+    numbers, bitmaps = d.scratch(), d.scratch()
+    quality.key_dictionary(d.table("events"), "user_id").write.parquet(numbers)
+    quality.daily_bitmaps(d.table("events"), d.spark.read.parquet(numbers), "user_id", "ts").write.parquet(bitmaps)
+    return quality.rolling_distinct(d.spark.read.parquet(bitmaps)).withColumn("day", F.col("day").cast("string"))
+
+
+HEAVY = {"l_orderkey": "BIGINT", "l_suppkey": "BIGINT", "l_quantity": "DOUBLE", "l_returnflag": "VARCHAR", "l_linestatus": "VARCHAR"}
+
+
+@query(
+    "most_common_heavy",
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS feature, CAST({c} AS VARCHAR) AS value, count(*) AS value_count FROM lineitem WHERE {c} IS NOT NULL
+        GROUP BY {c} HAVING count(*) >= 0.005 * (SELECT count(*) FROM lineitem)"""
+        for c in HEAVY
+    ),
+)
+def most_common_heavy(d):
+    """Values that make up half a percent of a column or more; order keys are nearly unique and have none."""
+    return quality.heavy_values(d.table("lineitem"), list(HEAVY), 0.005)

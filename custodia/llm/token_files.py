@@ -26,6 +26,8 @@ END_ID = 2
 FILE_IDS = 1 << 22  # ids of one file; a document is never cut
 CHUNK_BITS = 8
 SUPER = 512  # bits of a bitmap that one entry of its rank directory stands for
+CACHE = 400_000  # stretches whose ids a worker remembers
+BATCH_CHARS = 1 << 20  # characters whose words are looked up together
 ASKED = 1_000_000  # positions that one task looks up in one file
 
 _MAGIC = b"DACIDS01"
@@ -173,21 +175,56 @@ class WordIds:
         for token, i in ranks.items():
             self.ids[i] = by_token.get(token, -1)
         self.pairs = tiktoken.Encoding("words", pat_str="[^\\x00]+\\x00", mergeable_ranks=ranks, special_tokens={})
+        self.closes = np.array([token.endswith(b"\0") for token in ranks])
+        self.known: dict[str, bytes] = {}
         self.special = [t["content"] for t in spec["added_tokens"]]
         # Letters and numbers up to the end of the Latin blocks, as classes of the pattern of the file.
         kinds = {k: "".join(re.escape(chr(c)) for c in range(1, 0x250) if unicodedata.category(chr(c))[0] == k) for k in "LN"}
         space = "\t-\r \x85\xa0"
         self.words = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{kinds['L']}]+|[{kinds['N']}]|[^{space}{kinds['L']}{kinds['N']}]+").findall
-        self.odd = re.compile("[^\x01-ɏ]|[İı]").search
+        self.control = re.compile("[\0\x1c-\x1f]").search  # the last four are white space to split() alone
+        self.odd = re.compile("[^\x01-įĲ-ɏ]").search  # without İ and ı
 
-    def one(self, text: str) -> np.ndarray:
+    def _cut(self, text: str) -> list[str] | None:
+        """Stretches of a text without white space, or nothing where the library has to see the whole of it."""
         low = text.lower()
-        if self.odd(text) or self.odd(low) or any(s in text for s in self.special):
-            return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4")
-        found = self.words(low)
-        if not found:
-            return np.zeros(0, dtype="<u4")
-        return self.ids[self.pairs.encode_to_numpy("\0".join(found) + "\0", disallowed_special=())].astype("<u4")
+        if self.control(text) or not text.isascii() and (self.odd(text) or self.odd(low)) or any(s in text for s in self.special):
+            return None
+        return low.split()
+
+    def _learn(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of stretches that are not remembered, by one call; every word of them ends with a token that ends words."""
+        if len(self.known) + len(words) > CACHE:
+            self.known.clear()
+        found = [[word] if word.isalpha() else self.words(word) for word in words]
+        made = self.pairs.encode_to_numpy("\0".join(["\0".join(f) for f in found]) + "\0", disallowed_special=())
+        last = np.cumsum([len(f) for f in found]) - 1
+        ids, ends = self.ids[made].astype("<u4").tobytes(), ((np.flatnonzero(self.closes[made])[last] + 1) * 4).tolist()
+        fresh = {word: ids[a:b] for word, a, b in zip(words, [0, *ends], ends)}
+        self.known.update(fresh)
+        return fresh
+
+    def many(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """Ids of each text; a run of texts is cut first, so that what is new in them is merged together."""
+        at = 0
+        while at < len(texts):
+            size, cut, new = 0, [], set()
+            while at < len(texts) and size < BATCH_CHARS:
+                words = self._cut(texts[at])
+                got = list(map(self.known.get, words)) if words else []
+                if None in got:
+                    new.update([w for w, g in zip(words, got) if g is None])
+                cut.append((texts[at], words, got))
+                size, at = size + len(texts[at]), at + 1
+            fresh = self._learn(list(new)) if new else {}
+            for text, words, got in cut:
+                if words is None:
+                    yield np.array(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4")
+                else:
+                    yield np.frombuffer(b"".join([fresh[w] if g is None else g for w, g in zip(words, got)] if None in got else got), dtype="<u4")
+
+    def one(self, text: str) -> np.ndarray:
+        return next(self.many([text]))
 
 
 @lru_cache(maxsize=2)
@@ -226,8 +263,7 @@ def write(docs: DataFrame, path: str, target: str, end_id: int = END_ID, file_id
             return pa.RecordBatch.from_arrays([pa.array([content], pa.binary())], names=["content"])
 
         for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                own = enc.one(text.as_py() or "")
+            for doc, own in zip(batch.column(0).to_pylist(), enc.many([t or "" for t in batch.column(1).to_pylist()])):
                 names.append(doc)
                 lengths.append(len(own) + 1)
                 ids += [own, end]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from custodia.llm.common import stored, tidy
 
 K = 50
-SEGMENT_POSTINGS = 1 << 20  # postings of one segment of the index; a document is never cut
+SEGMENT_POSTINGS = 1 << 19  # postings of one segment of the index; a document is never cut
 BLOCK_PAIRS = 50_000  # (item, term) pairs that are searched for together
 FIRST_VISIT = 256  # documents of the first strata visited; each further visit takes twice as many
 
@@ -77,13 +78,13 @@ class _Builder:
     def clear(self) -> None:
         self.ids, self.lengths, self.sizes = [], [], []
         self.vocabulary: dict[bytes, int] = {}
-        self.term, self.tf = [], []
+        self.term, self.tf = array("i"), array("q")
 
     def add(self, doc, found: list[bytes]) -> None:
         counts = Counter(found)
         number = self.vocabulary.setdefault
-        self.term += [number(t, len(self.vocabulary)) for t in counts]
-        self.tf += counts.values()
+        self.term.extend([number(t, len(self.vocabulary)) for t in counts])
+        self.tf.extend(counts.values())
         self.ids.append(doc)
         self.lengths.append(len(found))
         self.sizes.append(len(counts))
@@ -96,7 +97,7 @@ class _Builder:
         place[by_m] = np.arange(len(m))
         doc = np.repeat(place, self.sizes)
         stratum = np.searchsorted(strata, m)[np.repeat(np.arange(len(m)), self.sizes)]
-        term, tf = np.array(self.term), np.array(self.tf)
+        term, tf = np.array(self.term, dtype=np.int64), np.array(self.tf, dtype=np.int64)
         order = np.lexsort((doc, tf, term * len(strata) + stratum))
         doc, stratum, term, tf = doc[order], stratum[order], term[order], tf[order]
         new = np.ones(len(doc), dtype=bool)

@@ -21,8 +21,8 @@ LONGEST = 4  # words of a phrase
 TOP = 2000
 COVERED = 80  # percent of a phrase's occurrences inside a longer one that make it part of that
 SHARE = 10  # one in so many documents is sampled
-SAMPLE_LEAST = 2  # occurrences in the sample; below LEAST / SHARE, so that few frequent phrases are missed
-CHUNK = 6 << 20  # bytes of text counted at once inside a task
+SAMPLE_LEAST = 3  # occurrences in the sample; LEAST / SHARE
+CHUNK = 3 << 20  # bytes of text counted at once inside a task
 SLICE = 100_000  # rows passed on at once
 FILTER_BITS = (20, 28)  # powers of two: least and greatest size of a filter (32 MB)
 PROBES = 4
@@ -203,9 +203,10 @@ def admitted(words: Words, steps: list[Step]) -> Iterator[tuple[int, np.ndarray]
 
 
 def count(rows: DataFrame, steps: list[tuple[Broadcast, Broadcast | None]]) -> DataFrame:
-    """(lang, phrase, size, n) of the phrases of the last step; with the words come (lang, null, 0, all words of the language).
+    """(key, n) of the phrases of the last step, the key being language and phrase; with the words come all words of a language, under no phrase.
 
-    Occurrences are summed in the tasks, chunk by chunk, before they are shuffled.
+    Occurrences are summed in the tasks, chunk by chunk. Most phrases of a border are rare, so summing them once
+    more before the shuffle would cost more than it saves.
     """
 
     def run(batches):
@@ -213,24 +214,29 @@ def count(rows: DataFrame, steps: list[tuple[Broadcast, Broadcast | None]]) -> D
         for lang, data in _texts_by_lang(batches):
             words = Words(data, lang)
             if len(made) == 1:
-                yield _batch(lang, pa.array([None], pa.string()), 0, np.array([len(words.hash)]))
+                yield _batch(lang, pa.array([""], pa.string()), np.array([len(words.hash)]))
             for size, at in admitted(words, made):
                 if not len(at):
                     continue
                 _, first, n = np.unique(words.runs(at, size), return_index=True, return_counts=True)
                 for a in range(0, len(first), SLICE):
-                    yield _batch(lang, words.texts(at[first[a : a + SLICE]], size), size, n[a : a + SLICE])
+                    yield _batch(lang, words.texts(at[first[a : a + SLICE]], size), n[a : a + SLICE])
 
-    made = rows.mapInArrow(tidy(run), "lang string, phrase string, size int, n long")
-    return made.groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n"))
+    made = rows.mapInArrow(tidy(run), "key string, n long")
+    return made.repartition("key").groupBy("key").agg(F.sum("n").alias("n"))
 
 
-def _batch(lang: str, phrases: pa.Array, size: int, n: np.ndarray) -> pa.RecordBatch:
-    rows = len(phrases)
-    return pa.RecordBatch.from_arrays(
-        [pa.array([lang] * rows, pa.string()), phrases, pa.array(np.full(rows, size, np.int32)), pa.array(n.astype(np.int64))],
-        names=["lang", "phrase", "size", "n"],
-    )
+def _batch(lang: str, phrases: pa.Array, n: np.ndarray) -> pa.RecordBatch:
+    keys = pc.binary_join_element_wise(pa.scalar(lang), phrases, pa.scalar("\n"))  # no phrase holds a line end
+    return pa.RecordBatch.from_arrays([keys, pa.array(n.astype(np.int64))], names=["key", "n"])
+
+
+def opened(counted: DataFrame) -> DataFrame:
+    """(lang, phrase, size, n) of counted keys."""
+    phrase = F.substring_index("key", "\n", -1)
+    lang = F.expr("substring(key, 1, char_length(key) - char_length(phrase) - 1)")
+    words = F.expr("if(phrase = '', 0, size(split(phrase, ' ')))")
+    return counted.withColumn("phrase", phrase).select(lang.alias("lang"), "phrase", words.alias("size"), "n")
 
 
 @dataclass
@@ -253,7 +259,7 @@ def mine(rows: DataFrame, least: int, proposed: DataFrame | None = None) -> Mine
     nothing = bytes(1 << (FILTER_BITS[0] - 3))
     steps = [(build_filter(proposed) if proposed is not None else spark.sparkContext.broadcast(nothing), None)]
     while True:
-        counted = stored(count(rows, steps).where((F.col("n") >= least) | (F.col("size") == 0)))
+        counted = stored(opened(count(rows, steps).where((F.col("n") >= least) | F.col("key").endswith("\n"))))
         if totals is None:
             totals = counted.where("size = 0").select("lang", F.col("n").alias("words"))
         new = counted.where("size > 0")

@@ -76,11 +76,27 @@ class Packer:
             left = left - np.array([size, 1, used])
             if size < length:
                 cut.append((doc, start + size, length - size, loss - used))
+        back = self._shorten(placed) if not taken.all() else []
         self.items = [x for x, t in zip(self.items, taken) if not t]
         self.need = self.need[~taken]
-        self.add(cut)
+        self.add(cut + back)
         return placed
 
+    @staticmethod
+    def _shorten(placed: list[tuple]) -> list[tuple]:
+        """Cut a sequence that another limit has closed early down to a power of two, which needs no padding; returns what is cut off."""
+        over = (total := sum(p[2] for p in placed)) - (1 << total.bit_length() - 1)
+        back = []
+        while over and placed:
+            doc, start, length, loss = placed.pop()
+            kept = max(0, length - over)
+            over -= length - kept
+            later = min(loss, length - kept)  # loss-bearing tokens come last
+            back.append((doc, start + kept, length - kept, later))
+            if kept:
+                placed.append((doc, start, kept, loss - later))
+        return back
+
 
 class ByteEncoder:
     """Ids of a byte-level BPE file, special tokens in the text recognised, none added."""
@@ -110,33 +126,37 @@ def byte_encoder(path: str) -> ByteEncoder:
 
 def pack_documents(
     docs: DataFrame, path: str, capacity: int = CAPACITY, segments: int = SEGMENTS, end_id: int = 1,
-    id_col: str = "doc_id", text_col: str = "text",
+    id_col: str = "doc_id", text_col: str = "text", loss_col: str | None = None, loss_limit: int | None = None,
 ) -> DataFrame:
     """One row per piece of a document placed in a sequence; all ids of all documents are placed.
 
-    A document is its ids and then ``end_id``; null text counts as empty and is that one id. All tokens
-    bear loss. Each task packs what it reads, holds at most ``POOL`` pieces and leaves no more than a
+    A document is its ids and then ``end_id``; null text counts as empty and is that one id. ``loss_col`` says how
+    many of a document's last ids bear loss (null or without the column: all; never more than there are), and a
+    sequence holds at most ``loss_limit`` of them (without it: its capacity); rows then carry ``loss`` as well. A
+    sequence that the limits on segments or loss close early is cut to a power of two. Each task packs what it reads, holds at most ``POOL`` pieces and leaves no more than a
     dozen sequences short of ``capacity``, each of a power of two. The sequence id is the task's number
     and a counter, so a task that runs again gives the same rows. Null ids and repeated rows are packed
     as documents of their own.
     """
-    limits = (capacity, segments, capacity)
+    limit = loss_limit or capacity
+    limits = (capacity, segments, limit)
+    extra = ["loss"] if loss_col else []
 
     def run(batches):
         enc = byte_encoder(path)
         packer = Packer(limits)
         task = TaskContext.get().partitionId() << 33
         number = 0
-        names = [id_col, "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+        names = [id_col, "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", *extra]
 
         def emit(sequences):
             nonlocal number
             out = []
             for pieces in sequences:
                 offset = 0
-                for (doc, base, ids, total), start, length, _ in pieces:
+                for (doc, base, ids, total), start, length, loss in pieces:
                     crc = zlib.crc32(ids[start - base : start - base + length].tobytes())
-                    out.append((doc, start, length, crc, total, task + number, offset))
+                    out.append((doc, start, length, crc, total, task + number, offset, loss)[: len(names)])
                     offset += length
                 number += 1
             if out:
@@ -148,19 +168,24 @@ def pack_documents(
         id_type = pa.int64()
         for batch in batches:
             id_type = batch.schema.field(0).type
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            bearing = batch.column(2).to_pylist() if loss_col else [None] * batch.num_rows
+            for doc, text, loss in zip(batch.column(0).to_pylist(), batch.column(1), bearing):
                 ids = np.append(enc.encode(text.as_py() or ""), np.uint32(end_id)).astype("<u4")
                 total = len(ids)
-                rest = total - total % capacity
-                # Pieces as long as a sequence are one by themselves; of a long text only the rest waits.
-                yield from emit([((doc, 0, ids, total), s, capacity, capacity)] for s in range(0, rest, capacity))
-                if rest < total:
-                    packer.add([((doc, rest, ids[rest:].copy(), total), rest, total - rest, total - rest)])
-                    if len(packer.items) >= 2 * POOL:
-                        yield from emit(packer.sequences())
+                first = 0 if loss is None else total - min(max(loss, 0), total)  # the first id that bears loss
+                for s in range(0, total, capacity):
+                    size = min(capacity, total - s)
+                    own = max(0, s + size - max(first, s))
+                    # Pieces as long as a sequence are one by themselves; of a long text only the rest waits.
+                    if size == capacity and own <= limit:
+                        yield from emit([[((doc, 0, ids, total), s, size, own)]])
+                    else:
+                        packer.add([((doc, s, ids[s : s + size].copy(), total), s, size, own)])
+                if len(packer.items) >= 2 * POOL:
+                    yield from emit(packer.sequences())
         yield from emit(packer.sequences(final=True))
 
     kind = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(tidy(run), f"{id_col} {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-    )
+    rows = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("text"), *([F.col(loss_col).cast("long").alias("loss")] if loss_col else []))
+    columns = f"{id_col} {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+    return rows.mapInArrow(tidy(run), columns + ", loss long" * bool(loss_col))

@@ -409,3 +409,36 @@ def test_network_gradient():
         step = np.zeros_like(net.flat)
         step[i] = 1e-2
         assert (loss(net.flat + step) - loss(net.flat - step)) / 2e-2 == pytest.approx(grad[i], abs=2e-3)
+
+
+@pytest.mark.parametrize("words", [3, 5, 9])
+def test_packing_of_short_documents_needs_no_padding(shipped, words):
+    docs = shipped.createDataFrame([(i, "a " * words) for i in range(5000)], "doc_id long, text string").repartition(2)
+    used = Counter()
+    for p in collect(packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))):
+        used[p["sequence_id"]] += p["length"]
+    padded = sum(n if n & (n - 1) == 0 else 2048 for n in used.values())
+    assert sum(used.values()) / padded > 0.99
+
+
+def test_packing_limits_loss_bearing_tokens(shipped):
+    rng = random.Random(8)
+    rows = []
+    for i in range(400):
+        prompt, answer = rng.randint(1, 300), rng.randint(0, 120)
+        rows.append((i, " ".join(["prompt"] * prompt + ["answer"] * answer), answer + 1))
+    rows += [(1000, "long " * 5000, 4500), (1001, None, None), (1002, "none", 0), (1003, "all", 99)]
+    docs = shipped.createDataFrame(rows, "doc_id long, text string, bearing long").repartition(2)
+    pieces = collect(packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), loss_col="bearing", loss_limit=512))
+    tokens, loss, per_doc, whole = Counter(), Counter(), Counter(), Counter()
+    for p in pieces:
+        tokens[p["sequence_id"]] += p["length"]
+        loss[p["sequence_id"]] += p["loss"]
+        per_doc[p["doc_id"]] += p["loss"]
+        whole[p["doc_id"]] += p["length"]
+        assert p["loss"] == max(0, p["start"] + p["length"] - max(p["start"], p["doc_tokens"] - {1001: 1, 1003: 2}.get(p["doc_id"], rows[p["doc_id"]][2] if p["doc_id"] < 400 else {1000: 4500, 1002: 0}.get(p["doc_id"], 0))))
+    assert max(tokens.values()) <= 2048 and max(loss.values()) <= 512 and max(loss.values()) > 400
+    assert all(whole[p["doc_id"]] == p["doc_tokens"] for p in pieces)
+    assert per_doc[1000] == 4500 and per_doc[1002] == 0
+    padded = sum(n if n & (n - 1) == 0 else 2048 for n in tokens.values())
+    assert sum(tokens.values()) / padded > 0.97

@@ -121,3 +121,44 @@ def test_run_equals_its_stages_in_documents_and_tokens(spark, sf_dir):
         docs = common.stored(stage(spark, docs, sf_dir))
     tokens = lambda f: {(r["doc_id"], r["n"]) for r in f.groupBy("doc_id").agg(F.sum("length").alias("n")).collect()}
     assert tokens(rows) == tokens(docs)
+
+
+def odd_rows(spark):
+    """Null and repeated ids, empty and very long texts, columns named like those that stages make."""
+    rng = random.Random(12)
+    a, b, c = (" ".join(rng.choices(WORDS, k=70)) for _ in range(3))
+    passage = " ".join(rng.choices(WORDS, k=60))
+    rows = [(1, a), (None, a), (2, b), (2, b), (3, c), (4, None), (4, ""), (None, None), (5, f"x1 {passage} y1"), (6, " ".join(rng.choices(WORDS, k=30_000)) + f" {passage}")]
+    names = ["kept_text", "row_serial", "kept", "component_id", "id", "serial", "packed", "lang"]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    return frame.select("*", *(F.lit("x").alias(n) for n in names), F.char_length("text").cast("long").alias("n_chars"))
+
+
+def test_stages_judge_rows_and_not_ids(spark, sf_dir):
+    common.ship(spark)
+    docs = odd_rows(spark)
+    kept = corpus_pipeline.reject_poor(spark, docs, sf_dir)
+    assert kept.columns == docs.columns and kept.count() == docs.count()
+    # Junk under a null id and under the id of a clean document goes; clean rows of the same ids stay.
+    clean = common.table(spark, sf_dir, "documents").where("doc_id < 500")
+    noise = [(doc, " ".join(f"Q{i}" for i in range(60)), "en", "s", 0) for doc in (None, 300)] + [(None, WORDS[1] + " " + " ".join(WORDS), "en", "s", 0)]
+    judged = corpus_pipeline.reject_poor(spark, clean.unionByName(spark.createDataFrame(noise, clean.schema)), sf_dir)
+    assert judged.where("text LIKE 'Q%'").isEmpty() and judged.count() == clean.count() + 1
+    single = corpus_pipeline.drop_near_duplicates(spark, docs, sf_dir)
+    assert single.columns == docs.columns
+    assert sorted(str(r["doc_id"]) for r in single.where("length(text) BETWEEN 100 AND 2000 AND doc_id < 5").collect()) == ["1", "2", "3"]
+    assert single.where("text IS NULL OR text = ''").count() == 3 and single.count() == 8
+    cut = corpus_pipeline.cut_repeats(spark, single, sf_dir)
+    assert cut.columns == docs.columns and cut.count() == 8 and cut.where("kept_text = 'x' AND row_serial = 'x'").count() == 8
+    before, after = ({r["doc_id"]: r["text"] for r in f.where("doc_id IN (5, 6)").collect()} for f in (single, cut))
+    assert len(after[5]) < len(before[5]) - 199 and len(after[6]) < len(before[6]) - 199
+    masked = corpus_pipeline.mask_personal_data(spark, cut, sf_dir)
+    assert masked.columns == docs.columns and corpus_pipeline.pack(spark, masked, sf_dir).select("doc_id").distinct().count() >= 6
+
+
+def test_stages_of_nothing(spark, sf_dir):
+    docs = common.table(common.ship(spark), sf_dir, "documents").where("false")
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, sf_dir)
+        assert docs.collect() == []
+        docs = common.stored(docs)

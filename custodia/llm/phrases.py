@@ -157,8 +157,9 @@ class Step:
     phrases only, so one of the parts must be fresh.
     """
 
-    def __init__(self, known: bytes, fresh: bytes | None):
+    def __init__(self, known: bytes, fresh: bytes | None, sizes: frozenset[int]):
         self.known, self.fresh = Filter(known), Filter(fresh) if fresh is not None else None
+        self.sizes = sizes  # of the fresh phrases
 
     def _inside(self, words: Words, at: np.ndarray, size: int) -> np.ndarray:
         """Whether the phrases and all their parts are known, which is what the first pass goes by, level by level."""
@@ -181,6 +182,8 @@ def admitted(words: Words, steps: list[Step]) -> Iterator[tuple[int, np.ndarray]
         yield 1, every
     held = None
     for size in range(1, LONGEST):
+        if now.fresh is not None and size not in now.sizes:
+            continue
         fits = every[: max(0, len(every) - size)]
         together = words.piece[fits] == words.piece[fits + size]  # ``size`` + 1 words in one piece
         if now.fresh is None:
@@ -202,7 +205,7 @@ def admitted(words: Words, steps: list[Step]) -> Iterator[tuple[int, np.ndarray]
         yield size + 1, at
 
 
-def count(rows: DataFrame, steps: list[tuple[Broadcast, Broadcast | None]]) -> DataFrame:
+def count(rows: DataFrame, steps: list[tuple[Broadcast, Broadcast | None, frozenset[int]]]) -> DataFrame:
     """(key, n) of the phrases of the last step, the key being language and phrase; with the words come all words of a language, under no phrase.
 
     Occurrences are summed in the tasks, chunk by chunk. Most phrases of a border are rare, so summing them once
@@ -210,7 +213,7 @@ def count(rows: DataFrame, steps: list[tuple[Broadcast, Broadcast | None]]) -> D
     """
 
     def run(batches):
-        made = [Step(known.value, fresh.value if fresh is not None else None) for known, fresh in steps]
+        made = [Step(known.value, fresh.value if fresh is not None else None, sizes) for known, fresh, sizes in steps]
         for lang, data in _texts_by_lang(batches):
             words = Words(data, lang)
             if len(made) == 1:
@@ -257,7 +260,7 @@ def mine(rows: DataFrame, least: int, proposed: DataFrame | None = None) -> Mine
     """
     spark, found, totals = rows.sparkSession, None, None
     nothing = bytes(1 << (FILTER_BITS[0] - 3))
-    steps = [(build_filter(proposed) if proposed is not None else spark.sparkContext.broadcast(nothing), None)]
+    steps = [(build_filter(proposed) if proposed is not None else spark.sparkContext.broadcast(nothing), None, frozenset())]
     while True:
         counted = stored(opened(count(rows, steps).where((F.col("n") >= least) | F.col("key").endswith("\n"))))
         if totals is None:
@@ -267,9 +270,10 @@ def mine(rows: DataFrame, least: int, proposed: DataFrame | None = None) -> Mine
         if proposed is not None and len(steps) == 1:
             new = stored(new.join(proposed.select("lang", "phrase").hint("merge"), ["lang", "phrase"], "left_anti"))
         fresh = new.where(F.col("size") < LONGEST)  # a phrase of the greatest length has no border beyond it
-        if fresh.isEmpty():
+        sizes = frozenset(r["size"] for r in fresh.select("size").distinct().collect())  # three at most
+        if not sizes:
             return Mined(found, totals, len(steps))
-        steps = [*steps, (build_filter(found), build_filter(fresh))]
+        steps = [*steps, (build_filter(found), build_filter(fresh), sizes)]
 
 
 def sampled(rows: DataFrame, share: int = SHARE) -> DataFrame:

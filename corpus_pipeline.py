@@ -13,11 +13,15 @@ ORACLE_SQL = None  # hashing, a trained model and tokenizers: tested against a b
 
 
 def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
-    """The rows with a number of their own, written once, and the number's column, whose name no other column has."""
+    """The rows with a number of their own, and the number's column, whose name no other column has.
+
+    A stage's documents are a written table, cut into the same tasks and read in the same order each time, so
+    every reading numbers them alike and no copy has to be written.
+    """
     serial = "row_serial"
     while serial in docs.columns:
         serial += "_"
-    return stored(docs.withColumn(serial, F.monotonically_increasing_id())), serial
+    return docs.withColumn(serial, F.monotonically_increasing_id()), serial
 
 
 def reject_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -177,6 +179,72 @@ def test_extraction_judges_branches_inside_articles(shipped):
     assert all(got[100 + i] == "Own text 0\n\nSame on every page\n\nMore 0" for i in range(12))
 
 
+def test_style_tree_against_recount(shipped):
+    """Importance and verdict of every node, counted anew from the words that the pages were made of."""
+    rng = random.Random(8)
+    often, vocabulary = ["alpha", "beta", "gamma"], [f"w{i}" for i in range(400)]
+    paths = {"x p": ["body", "div.x", "p"], "y p": ["body", "div.y", "p"], "y li": ["body", "div.y", "ul", "li"]}
+    pages, made = [], []
+    for i in range(30):
+        texts = {"x p": rng.sample(often, 2), "y p": rng.choices(vocabulary, k=40)}
+        if i % 3:
+            texts["y li"] = rng.choices(vocabulary, k=5) + ["More"]
+        listed = f"<ul><li>{' '.join(texts['y li'])}<a href='/next'>\u00a0</a></li></ul>" if i % 3 else ""
+        pages.append(f"<body><div class='x'><p>{' '.join(texts['x p'])}</p></div><div class='y'><p>{' '.join(texts['y p'])}</p>{listed}</div></body>")
+        made.append({name: {w.lower() for w in words} | ({"href=/next"} if name == "y li" else set()) for name, words in texts.items()})
+    entropy, weight = {}, {}
+    for name in paths:
+        have = [m[name] for m in made if name in m]
+        counts = Counter(w for words in have for w in words)
+        entropy[name] = sum(math.log(n) for n in counts.values()) / len(counts) / math.log(len(have))
+        weight[name] = sum(counts.values())
+    styles = {("body",): ["div.x div.y"] * 30, ("body", "div.x"): ["p"] * 30, ("body", "div.y"): ["p ul" if i % 3 else "p" for i in range(30)]}
+    frame = shipped.createDataFrame([(i, "https://Site.example/a", p) for i, p in enumerate(pages)], "page_id long, url string, html string")
+    host = frame.select(extraction.host_of("url")).first()[0]
+    got = {r["node"]: r for r in collect(extraction.style_tree(frame))}
+    want = {}
+    for name, path in paths.items():
+        for depth in range(1, len(path) + 1):
+            at = tuple(path[:depth])
+            inside = [n for n, other in paths.items() if tuple(other[:depth]) == at]
+            content = 1 - sum(weight[n] * entropy[n] for n in inside) / sum(weight[n] for n in inside)
+            kinds = Counter(styles.get(at, [""]))
+            total = sum(kinds.values())
+            shown = -sum(c / total * math.log(c / total) for c in kinds.values()) / math.log(total) if total > 1 else 0.0
+            share = 0.9 ** (len(kinds) - 1)
+            node = host
+            for label in at:
+                node = extraction._hash(f"{node}>{label}")
+            want[node] = ((1 - share) * shown + share * content, at)
+    assert set(want) == set(got) - {host}
+    main = entropy["y p"]
+    for node, (importance, at) in want.items():
+        assert abs(got[node]["importance"] - importance) < 1e-6, at
+        holds_main = tuple(paths["y p"][: len(at)]) == at
+        assert got[node]["low"] == (not holds_main and 1 - importance >= max(2 * main, 0.1)), at
+    text = {r["page_id"]: r["text"] for r in collect(extraction.extract(frame))}
+    assert not any(set(often) & set(t.split()) for t in text.values()) and all(text.values())
+    known = extraction.BROADCAST_NODES
+    try:
+        extraction.BROADCAST_NODES = -1  # the way of more nodes than tasks may hold
+        assert {r["page_id"]: r["text"] for r in collect(extraction.extract(frame))} == text
+    finally:
+        extraction.BROADCAST_NODES = known
+
+
+def test_extraction_keeps_copies_and_reads_hard_pages(shipped):
+    rows = [(i, f"http://copies.example/{i}", "<body><div><p>One text</p></div><p>Tail</p></body>") for i in range(12)]
+    frame = shipped.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r["text"] for r in collect(extraction.extract(frame))} == {"One text\n\nTail"}
+    began = time.perf_counter()
+    assert extraction.main_text("<head>" * 100_000 + "x") == "x"
+    assert extraction.main_text("<head " * 100_000).count("<head") == 100_000
+    deep = "<div>" * 5_000 + "deep" + "</div>" * 5_000 + "<p>after"
+    assert extraction.main_text(deep) == "deep\n\nafter"
+    assert max(len(e.nodes) for e in extraction.parse(deep)[1]) == extraction.DEPTH
+    assert time.perf_counter() - began < 20
+
+
 def test_hamming_search(shipped):
     rng = np.random.default_rng(4)
     vectors = [v.tolist() for v in rng.normal(size=(150, 40))]

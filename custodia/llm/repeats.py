@@ -12,12 +12,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from custodia.llm.common import mix, prefix_hashes, stored, text_chunks, tidy, whole_groups
+from custodia.llm.common import CHUNK_BYTES, mix, prefix_hashes, stored, text_chunks, tidy, whole_groups
 
 LENGTH = 200  # bytes of a passage
 ANCHOR = 100  # bytes of the string that names a passage's group
 SEED = 16  # length of the strings that the search starts from
-BATCH = 1 << 20  # bytes of one transform
+BATCH = 1 << 20  # most bytes of one transform of contexts, whose length is 300 at most, unless an anchor has more
 HOT = 8192  # different contexts of an anchor beyond which its windows are counted one by one
 _END = 0xFF  # never a byte of UTF-8, and last in order
 _POSITION = np.uint64(34)  # bits of a position in a text
@@ -148,17 +148,32 @@ def _anchors(data: np.ndarray, offsets: np.ndarray):
 _PLACE = np.dtype([("serial", "<i8"), ("start", "<i4"), ("run", "<i4")])
 
 
+def _opened(batch: pa.RecordBatch):
+    """(serials, bytes, offsets) of consecutive compressed texts with about ``text_chunks``' bytes in all."""
+    open_ = zstandard.ZstdDecompressor()
+    serials, packed = batch.column(0).to_numpy(), batch.column(1)
+    first, held, size = 0, [], 0
+    for i in range(len(packed)):
+        held.append(open_.decompress(packed[i].as_py()))
+        size += len(held[-1])
+        if size >= CHUNK_BYTES or i + 1 == len(packed):
+            for a, b, data, offsets in text_chunks(pa.array(held, pa.large_binary())):
+                yield serials[first + a : first + b], data, offsets
+            first, held, size = i + 1, [], 0
+
+
 def _occurrences(texts: DataFrame) -> DataFrame:
-    """(anchor, context, places): places of one anchor and context within a chunk are one row."""
+    """(anchor, context, places) of the texts (serial, packed): places of one anchor and context within a chunk are
+    one row. Texts are opened by the worker that reads them, chunk by chunk."""
 
     def run(batches):
         for batch in batches:
-            for first, _, data, offsets in text_chunks(batch.column(1)):
+            for serials, data, offsets in _opened(batch):
                 found = _anchors(data, offsets)
                 if found is None:
                     continue
                 row, start, length, anchor, context = found
-                serial = batch.column(0).to_numpy()[first + row]
+                serial = serials[row]
                 order = np.lexsort((context, anchor))
                 places = np.empty(len(order), dtype=_PLACE)
                 places["serial"], places["start"], places["run"] = serial[order], start[order], length[order]
@@ -276,7 +291,7 @@ def _search(contexts: DataFrame) -> DataFrame:
         return _ranges(table["serial"].to_numpy()[r], table["start"].to_numpy()[r] + at[first] - begin[r], at[last] - at[first])
 
     def run(batches):
-        for table in whole_groups(batches, "anchor", rows=BATCH // 256):
+        for table in whole_groups(batches, "anchor", rows=BATCH // 512):
             made = solve(table)
             if made is not None:
                 yield made
@@ -335,15 +350,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     )
     texts = stored(rows.mapInArrow(tidy(number), f"serial long, id {kind}, packed binary{carried}"))
 
-    def unpack(batches):
-        open_ = zstandard.ZstdDecompressor()
-        for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([open_.decompress(b) for b in part.column(1).to_pylist()], pa.binary())], names=["serial", "bytes"])
-
-    full = texts.where("packed IS NOT NULL").select("serial", "packed").mapInArrow(tidy(unpack), "serial long, bytes binary")
-    decided = stored(_decide(_occurrences(full)))
+    decided = stored(_decide(_occurrences(texts.where("packed IS NOT NULL").select("serial", "packed"))))
     singles = decided.where("places IS NULL")
     # All contexts of one text are cut from it at once.
     wanted = singles.groupBy("serial").agg(F.collect_list(F.struct("anchor", "start", "run", "alone")).alias("cuts"))

@@ -8,7 +8,7 @@ from custodia.contracts import builtin
 from custodia.functions.schema_dispatch import validate_messages
 from custodia.operators import customers
 from custodia.plans import jobs
-from custodia.sources import readers, writers
+from custodia.sources import compaction, readers, writers
 from workload.records import PARSED, TXN_ERRORS, TXN_SCHEMA, ntz
 from workload.registry import query
 from workload.tables import as_of
@@ -127,6 +127,25 @@ def compacted_table(d):
     return d.spark.read.parquet(target)
 
 
+@query(
+    "compaction_plan",
+    """SELECT o_orderstatus, count(*) AS n_rows, CAST(sum(o_orderkey) AS BIGINT) AS keys, CAST(0 AS BIGINT) AS files_to_pack,
+      true AS fewer_files FROM orders GROUP BY 1""",
+)
+def compaction_plan(d):
+    """A table of many small files, compacted in its place until no two files of a folder go together."""
+    path = d.scratch()
+    d.table("orders").select("o_orderkey", "o_orderstatus").repartition(24).write.partitionBy("o_orderstatus").parquet(path)
+    before = compaction.data_files(d.spark, path).count()
+    while compaction.compact_small_files(d.spark, path):
+        pass
+    files = compaction.data_files(d.spark, path)
+    left = compaction.compaction_plan(files).agg(F.count("*").alias("files_to_pack"))
+    counts = files.agg((F.count("*") < before).alias("fewer_files"))
+    rows = d.spark.read.parquet(path).groupBy("o_orderstatus").agg(F.count("*").alias("n_rows"), F.sum("o_orderkey").alias("keys"))
+    return rows.crossJoin(F.broadcast(left)).crossJoin(F.broadcast(counts))  # one row each
+
+
 @query(
     "published_messages",
     """SELECT customer_id AS key, concat('{"customer_id":"', customer_id, '","verification_status":"', verification_status, '"}') AS value,

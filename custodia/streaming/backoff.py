@@ -17,13 +17,17 @@ PROCESSED, RETRY, DLQ = "processed", "retry", "dlq"
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 ATTEMPTS = "key string, attempt int, at_ms long, outcome string, body string"
+BLOCK = 200  # waiting messages that are read and written together
+MOST_HELD = 20_000  # messages of one key in memory before they are written
+
 
 class BackOff(StatefulProcessor):
     """Tries a message when it comes and again ``2 ** n`` seconds after its n-th failure.
 
-    What waits is a row of the body and the attempts so far under the message's key, and a timer.
-    When the timer is due the message is tried again; after ``max_retries`` failures it is a dead letter. Several
-    messages of one key wait side by side, in a list that is tried in turn. In processing time the list is also
+    What waits are blocks of messages under the message's key, each with a timer for the first that is due in it.
+    Whatever of a block is due by then is tried again, the rest waits on; after ``max_retries`` failures a message is
+    a dead letter. The messages that one key leaves waiting in a batch are written as few blocks of up to ``BLOCK``,
+    so that calls of the state store grow with blocks, not with messages. In processing time a block is also
     given a time to live, so that nothing stays for ever if a timer were lost.
     """
 
@@ -32,13 +36,13 @@ class BackOff(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        # Due time in milliseconds -> JSON list of [body, attempts so far].
+        # First due time in milliseconds -> JSON list of [body, attempts so far, due time], the first due first.
         key = T.StructType([T.StructField("due", T.LongType())])
         value = T.StructType([T.StructField("waiting", T.StringType())])
         self.waiting = handle.getMapState("waiting", key, value, self.live_ms) if self.live_ms else handle.getMapState("waiting", key, value)
 
-    def _try(self, key: str, body: str | None, attempt: int, now: int, passed: int) -> Iterator[Row]:
-        """Attempts from ``now`` on; those whose time has ``passed`` follow at once, the next one waits."""
+    def _try(self, key: str, body: str | None, attempt: int, now: int, passed: int, held: list) -> Iterator[Row]:
+        """Attempts from ``now`` on; those whose time has ``passed`` follow at once, the next one is ``held``."""
         while True:
             works = self.works(body, attempt)
             outcome = PROCESSED if works else DLQ if attempt >= self.max_retries else RETRY
@@ -48,26 +52,45 @@ class BackOff(StatefulProcessor):
             now, attempt = now + 1000 * 2**attempt, attempt + 1
             if now > passed:
                 break
-        held = json.loads(self.waiting.getValue((now,))[0]) if self.waiting.containsKey((now,)) else []
-        self.waiting.updateValue((now,), (json.dumps([*held, [body, attempt]]),))
-        self.handle.registerTimer(now)
+        held.append([body, attempt, now])
+
+    def _hold(self, held: list) -> None:
+        """Writes blocks of what waits, each under its first due time, and their timers."""
+        held.sort(key=lambda m: m[2])
+        for at in range(0, len(held), BLOCK):
+            block = held[at : at + BLOCK]
+            due = block[0][2]
+            known = self.waiting.getValue((due,))
+            self.waiting.updateValue((due,), (json.dumps([*json.loads(known[0]), *block] if known else block),))
+            self.handle.registerTimer(due)
 
     def _passed(self, times) -> int:
         return times.getCurrentProcessingTimeInMs() if self.live_ms else times.getCurrentWatermarkInMs()
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:  # noqa: N802, N803 - Spark's names
+        held, passed = [], self._passed(timerValues)
         for row in rows:
             if row["at_ms"] is not None:
-                yield from self._try(key[0], row["body"], 0, row["at_ms"], self._passed(timerValues))
+                yield from self._try(key[0], row["body"], 0, row["at_ms"], passed, held)
+            if len(held) >= MOST_HELD:
+                self._hold(held)
+                held.clear()
+        self._hold(held)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:  # noqa: N802, N803 - Spark's names
         due = expiredTimerInfo.getExpiryTimeInMs()
-        if not self.waiting.containsKey((due,)):
+        known = self.waiting.getValue((due,))
+        if known is None:
             return
-        held = json.loads(self.waiting.getValue((due,))[0])
+        held, passed = [], self._passed(timerValues)
         self.waiting.removeKey((due,))
-        for body, attempt in held:
-            yield from self._try(key[0], body, attempt, due, self._passed(timerValues))
+        for body, attempt, *later in json.loads(known[0]):
+            at = later[0] if later else due  # a block of an older checkpoint holds messages of one time
+            if at > passed:
+                held.append([body, attempt, at])
+            else:
+                yield from self._try(key[0], body, attempt, at, passed, held)
+        self._hold(held)
 
     def close(self) -> None:
         pass

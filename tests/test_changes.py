@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 import time
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -254,3 +255,59 @@ def test_a_schema_path_with_quotes_stays_readable(spark, tmp_path):
     jobs.ingest_validate_retry(stream, odd, {"type": "object", "properties": {}}, str(tmp_path / "f"), {})
     archived = spark.read.parquet(str(tmp_path / "f/archive")).first()
     assert json.loads(archived["message"])["schema_path"] == odd
+
+
+class _Store:
+    """Keyed state and timers of one key that count their calls."""
+
+    def __init__(self):
+        self.rows, self.timers, self.calls = {}, [], 0
+
+    def getMapState(self, *_):  # noqa: N802 - Spark's names
+        return self
+
+    def getValue(self, key):  # noqa: N802
+        self.calls += 1
+        return self.rows.get(key)
+
+    def containsKey(self, key):  # noqa: N802
+        self.calls += 1
+        return key in self.rows
+
+    def updateValue(self, key, value):  # noqa: N802
+        self.calls += 1
+        self.rows[key] = value
+
+    def removeKey(self, key):  # noqa: N802
+        self.calls += 1
+        del self.rows[key]
+
+    def registerTimer(self, due):  # noqa: N802
+        self.calls += 1
+        self.timers.append(due)
+
+
+def test_calls_of_the_state_store_grow_with_blocks_not_with_messages():
+    class Times:
+        def __init__(self, now):
+            self.getCurrentWatermarkInMs = lambda: now
+
+    class Timer:
+        def __init__(self, due):
+            self.getExpiryTimeInMs = lambda: due
+
+    store, got = _Store(), []
+    processor = backoff.BackOff(failing(), 3, None)
+    processor.init(store)
+    rows = [{"at_ms": 10 * i, "body": str(i % 6)} for i in range(2_000)] + [{"at_ms": 50, "body": str(i % 6)} for i in range(500)]
+    got += processor.handleInputRows(("k",), iter(rows), Times(0))
+    for now in (5_000, 12_000, 100_000):
+        while due := [t for t in store.timers if t <= now]:
+            store.timers.remove(min(due))
+            got += processor.handleExpiredTimer(("k",), Times(now), Timer(min(due)))
+    want = Counter(
+        (int(r["body"]), k, r["at_ms"] + 1000 * (2**k - 1), "processed" if k >= int(r["body"]) else "dlq" if k >= 3 else "retry")
+        for r in rows for k in range(min(int(r["body"]), 3) + 1)
+    )
+    assert Counter((int(r.body), r.attempt, r.at_ms, r.outcome) for r in got) == want
+    assert not store.rows and store.calls < 400

@@ -9,7 +9,9 @@ and maps followed down. Rows that only their own values make unreadable (a null,
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -218,6 +220,11 @@ def _project(value: Column, writer: object, reader: object, path: str) -> tuple[
     return value.cast(sql_type(reader)), errors
 
 
+def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, however often the body names it."""
+    return F.transform(F.array(value), lambda x: body(x))[0]
+
+
 def resolved(value: Column, writer: dict, reader: dict) -> tuple[Column, Column]:
     """(record as the reader has it, array of the paths that keep a row from being read) of a column that holds
     the writer's record as a struct of ``sql_type``; a document that can read no message at all is an error."""
@@ -237,12 +244,17 @@ def resolve_messages(message: Column, version: Column, writers: dict[object, dic
     errors is null. Each message is parsed once and opened with its own version's type.
     """
     kind = sql_type(expanded(reader))
-    document = F.try_parse_json(message)
-    is_object = F.schema_of_variant(document).startswith("OBJECT")
-    out = F.struct(F.lit(None).cast(kind).alias("record"), F.array(F.lit("$")).alias("errors"))
-    for name, writer in writers.items():
-        typed = F.try_variant_get(document, "$", sql_type(expanded(writer)))
-        record, errors = resolved(typed, writer, reader)
-        made = F.struct(F.when(F.size(errors) == 0, record).cast(kind).alias("record"), errors.alias("errors"))
-        out = F.when((version == name) & is_object, made).otherwise(out)
-    return out
+
+    def made(value: Column, writer: dict) -> Column:
+        record, errors = resolved(value, writer, reader)
+        return _bound(errors, lambda found: F.struct(F.when(F.size(found) == 0, record).cast(kind).alias("record"), found.alias("errors")))
+
+    def opened(document: Column) -> Column:
+        is_object = F.schema_of_variant(document).startswith("OBJECT")
+        out = F.struct(F.lit(None).cast(kind).alias("record"), F.array(F.lit("$")).alias("errors"))
+        for name, writer in writers.items():
+            typed = F.try_variant_get(document, "$", sql_type(expanded(writer)))
+            out = F.when((version == name) & is_object, _bound(typed, partial(made, writer=writer))).otherwise(out)
+        return out
+
+    return _bound(F.try_parse_json(message), opened)

@@ -87,3 +87,11 @@ def test_rows_that_cannot_be_read_keep_their_paths(spark):
 def test_a_reader_that_can_take_nothing_is_an_error(spark):
     with pytest.raises(ValueError, match="cannot take"):
         resolved(F.col("x"), one("string"), one("int"))
+
+
+def test_a_message_is_parsed_and_opened_once(spark):
+    writer = record(*((f"f{i}", "int", {}) for i in range(20)))
+    frame = spark.createDataFrame([('{"f0": 1}',)], "t string")
+    column = resolve_messages(F.col("t"), F.lit("v"), {"v": writer}, writer)
+    plan = frame.select(column.alias("o"))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("parse_json") == 1 and plan.count("variant_get") == 1

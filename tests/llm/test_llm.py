@@ -510,3 +510,39 @@ def test_packing_limits_loss_bearing_tokens(shipped):
     assert per_doc[1000] == 4500 and per_doc[1002] == 0
     padded = sum(n if n & (n - 1) == 0 else 2048 for n in tokens.values())
     assert sum(tokens.values()) / padded > 0.97
+
+
+def test_every_trusted_text_is_counted(shipped, monkeypatch):
+    """Words that only a long text, or only the last of many texts, holds are known; nothing depends on a sample."""
+    rng = random.Random(3)
+    texts = [(i, " ".join([f"only{i}", *rng.choices(WORDS[:30], k=5)])) for i in range(3_500)] + [(9_999, "long " * 4_000 + "deepdeep")]
+    frame = shipped.createDataFrame(texts, "doc_id long, text string")
+    fitted = []
+    fit = quality.fit
+    monkeypatch.setattr(quality, "fit", lambda rows: fitted.append(fit(rows)) or fitted[0])
+    verdict = quality.classify(frame.withColumn("lang", F.lit("a")), frame.selectExpr("doc_id", "1 AS quality", "0 AS toxic"))
+    assert verdict.count() == len(texts)
+    known = set(fitted[0].grams[1][0].tolist())
+    held = {r.doc_id for r in frame.where("pmod(xxhash64(doc_id), 4) = 0").collect()}
+    for i, text in texts:
+        word = (text.split()[-1] if i == 9_999 else text.split()[0]).encode()
+        w, *_ = quality._ngrams(np.frombuffer(word, np.uint8), np.array([0, len(word)]))
+        assert (int(w[0]) in known) == (i not in held)
+
+
+def test_a_pruned_model_sums_to_one(shipped):
+    rng = random.Random(4)
+    vocabulary = [f"w{i}" for i in range(40)]
+    texts = shipped.createDataFrame([(" ".join(rng.choices(vocabulary, weights=range(1, 41), k=30)),) for _ in range(200)], "text string")
+    whole, model = quality.fit(texts), quality.fit(texts, most=300)
+    assert len(model.grams[3][0]) <= 300 < len(whole.grams[3][0])
+    assert set(model.grams[3][0].tolist()) < set(whole.grams[3][0].tolist())
+    for context in ("w39 w38", "w39", "w1 w2", ""):
+        ends = 10 ** _last(model, context.encode())
+        total = ends
+        for word in (*vocabulary, "unseen"):
+            a, b = f"{context} {word}".strip().encode(), context.encode()
+            score = model.scorer()
+            logs = [score(np.frombuffer(x, np.uint8), np.array([0, len(x)]))[1][0] for x in (a, b)]
+            total += 10 ** (logs[0] - _last(model, a) - (logs[1] - _last(model, b)))
+        assert total == pytest.approx(1.0, abs=1e-3)

@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 
 from custodia.llm.common import tidy
 
-CACHE = 400_000  # encoded chunks a worker remembers
+CACHE = 200_000  # encoded chunks a worker remembers as new, and as many as old
+PREFIX = 5  # characters by which the longest label is known
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
 
 
@@ -78,9 +79,10 @@ class Automaton:
         self.text = list(labels)
         # label -> (state behind it, column of its arc, id)
         self.arcs = {s: (state[i], arc[i], ids[s]) for s, i in labels.items() if s in ids}
-        self.reach: dict[str, int] = {}  # longest label by its first two characters
+        self.reach: dict[str, int] = {}  # longest label by its first PREFIX characters, of those that have as many
         for s in self.arcs:
-            self.reach[s[:2]] = max(len(s), self.reach.get(s[:2], 0))
+            if len(s) >= PREFIX:
+                self.reach[s[:PREFIX]] = max(len(s), self.reach.get(s[:PREFIX], 0))
 
     def encode(self, text: str, size: int) -> list[int]:
         """Ids along the only path that spells ``text``: ``size`` symbols, the last with the end mark.
@@ -93,7 +95,7 @@ class Automaton:
         at, row, tried = 0, rows[0], []
         stop = whole
         while at < whole:
-            far = at + reach.get(text[at : at + 2], 1)
+            far = at + reach.get(text[at : at + PREFIX], PREFIX - 1)
             if stop == whole and far < whole:
                 stop = min(last, far)
             while stop > at:
@@ -130,27 +132,33 @@ class Encoder:
         pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.pieces = regex.compile(pattern).findall
         self.printable = dict(enumerate(self.symbols))
-        self.cache: dict[str, tuple[bytes, bytes]] = {}
+        self.cache: dict[str, tuple[bytes, bytes]] = {}  # by chunk; when it is full it becomes the old one
+        self.old: dict[str, tuple[bytes, bytes]] = {}
 
     def _chunk(self, chunk: str) -> tuple[bytes, bytes]:
         """(ids, labels) of text without white space."""
-        ids: list[int] = []
-        if chunk.isalpha():
-            pieces = [chunk]
-        elif chunk[:-1].isalpha() and chunk[-1] in ".,;:!?":
-            pieces = [chunk[:-1], chunk[-1]]
-        else:
-            pieces = self.pieces(chunk)
-        for piece in pieces:
-            word = piece if piece.isascii() and piece.isprintable() else piece.encode().decode("latin-1").translate(self.printable)
-            ids += self.automaton.encode(word + self.end, len(word))
-        made = (np.array(ids, dtype="<u4").tobytes(), self.decode(ids).encode())
+        made = self.old.get(chunk)
+        if made is None:
+            if chunk.isalpha():
+                made = self._pieces([chunk])
+            elif chunk[:-1].isalpha() and chunk[-1] in ".,;:!?":
+                word, mark = (self.cache.get(x) or self._chunk(x) if x.isalpha() else self._pieces([x]) for x in (chunk[:-1], chunk[-1]))
+                made = word[0] + mark[0], word[1] + b" " + mark[1]
+            else:
+                made = self._pieces(self.pieces(chunk))
         if len(chunk) <= 64:
             if len(self.cache) >= CACHE:
-                self.cache.clear()
+                self.old, self.cache = self.cache, {}
             self.cache[chunk] = made
         return made
 
+    def _pieces(self, pieces: list[str]) -> tuple[bytes, bytes]:
+        ids: list[int] = []
+        for piece in pieces:
+            word = piece if piece.isascii() and piece.isprintable() else piece.encode().decode("latin-1").translate(self.printable)
+            ids += self.automaton.encode(word + self.end, len(word))
+        return np.array(ids, dtype="<u4").tobytes(), self.decode(ids).encode()
+
     @staticmethod
     def lower(text: str) -> str:
         low = text.lower()
@@ -158,7 +166,6 @@ class Encoder:
 
     def parts(self, text: str) -> Iterator[tuple[bytes, bytes]]:
         """(ids, decoded) of the non-empty parts of a text; the decoded parts are joined by one space."""
-        cache = self.cache
         for segment in self.split_special.split(text) if self.split_special else [text]:
             if segment in self.special:
                 yield np.array([self.special[segment]], dtype="<u4").tobytes(), segment.encode()
@@ -169,7 +176,7 @@ class Encoder:
             else:
                 chunks = clean.split()
             for chunk in chunks:
-                made = cache.get(chunk) or self._chunk(chunk)
+                made = self.cache.get(chunk) or self._chunk(chunk)
                 if made[0]:
                     yield made
 
@@ -178,7 +185,7 @@ class Encoder:
 
     def decode(self, ids: list[int]) -> str:
         """The labels of the arcs, joined by one space."""
-        return " ".join(self.label[i] for i in ids)
+        return " ".join([self.label[i] for i in ids])
 
 
 @lru_cache(maxsize=2)

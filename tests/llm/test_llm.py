@@ -546,3 +546,12 @@ def test_a_pruned_model_sums_to_one(shipped):
             logs = [score(np.frombuffer(x, np.uint8), np.array([0, len(x)]))[1][0] for x in (a, b)]
             total += 10 ** (logs[0] - _last(model, a) - (logs[1] - _last(model, b)))
         assert total == pytest.approx(1.0, abs=1e-3)
+
+
+def test_a_word_with_a_final_mark_is_taken_from_the_remembered_word(monkeypatch):
+    enc = tokenization.Encoder(public_tokenizers.path("word_bpe_49k.json"))
+    list(enc.parts("remembering"))
+    tried, encode = [], enc.automaton.encode
+    monkeypatch.setattr(enc.automaton, "encode", lambda text, size: tried.append(text) or encode(text, size))
+    both = [b"".join(m[0] for m in enc.parts(t)) for t in ("remembering,", "remembering ,")]
+    assert both[0] == both[1] and len(tried) <= 2 and not any(t.startswith("rem") for t in tried)

@@ -167,31 +167,36 @@ class Network:
     def views(self, flat: np.ndarray) -> dict[str, np.ndarray]:
         return {k: flat[a:b].reshape(s) for k, (a, b, s) in self.slices.items()}
 
-    def forward(self, p: dict, h: np.ndarray, x: np.ndarray, first: np.ndarray, keep: bool) -> tuple[np.ndarray, list]:
+    def forward(self, p: dict, h: np.ndarray, x: np.ndarray, first: np.ndarray, keep: bool) -> tuple[np.ndarray, tuple]:
         """Hidden states after each step of a window, from state ``h``; ``first`` marks begins of texts."""
-        H, steps = self.hidden, []
-        out = np.empty((len(x), *h.shape), dtype=np.float32)
-        for t in range(len(x)):
-            live = ~first[t]
-            if first[t].any():
-                h = h * live[:, None]
-            a, g = p["E"][x[t]], h @ p["W"]
-            gates = a[:, : 2 * H] + g[:, : 2 * H]
-            gates *= np.float32(0.5)
-            np.tanh(gates, out=gates)
-            gates += np.float32(1)
-            gates *= np.float32(0.5)
-            z, r = gates[:, :H], gates[:, H:]
-            n = r * g[:, 2 * H :]
-            n += a[:, 2 * H :]
-            np.tanh(n, out=n)
-            np.subtract(h, n, out=out[t])
-            out[t] *= z
-            out[t] += n
+        H, (T, L) = self.hidden, x.shape
+        out = np.empty((T, L, H), dtype=np.float32)
+        rows = T if keep else 1  # steps whose gates are kept for the way back
+        before, gates, news, pushed = (np.empty((rows, L, k * H), dtype=np.float32) for k in (1, 2, 1, 3))
+        a, W = p["E"][x], p["W"].copy()
+        a[:, :, : 2 * H] *= np.float32(0.5)
+        W[:, : 2 * H] *= np.float32(0.5)
+        begins = first.any(axis=1)
+        for t in range(T):
+            if begins[t]:
+                h = h * ~first[t][:, None]
+            k = t if keep else 0
+            g, gate, n, made = pushed[k], gates[k], news[k], out[t]
             if keep:
-                steps.append((h, z, r, n, g[:, 2 * H :], live))
-            h = out[t]
-        return out, steps
+                before[k] = h
+            np.matmul(h, W, out=g)
+            np.add(a[t, :, : 2 * H], g[:, : 2 * H], out=gate)
+            np.tanh(gate, out=gate)
+            gate += np.float32(1)
+            gate *= np.float32(0.5)
+            np.multiply(gate[:, H:], g[:, 2 * H :], out=n)
+            n += a[t, :, 2 * H :]
+            np.tanh(n, out=n)
+            np.subtract(h, n, out=made)
+            made *= gate[:, :H]
+            made += n
+            h = made
+        return out, (before, gates, news, pushed[:, :, 2 * H :], ~first)
 
     def output(self, p: dict, h: np.ndarray, y: np.ndarray, grad: dict | None) -> tuple[np.ndarray, np.ndarray | None]:
         """Natural log probability of the targets ``y`` (of tail words: of their class); gradients into ``grad``."""
@@ -226,23 +231,27 @@ class Network:
                 dh[at] += inner @ p["U"][s]
         return score, dh
 
-    def backward(self, p: dict, steps: list, x: np.ndarray, dout: np.ndarray, grad: dict) -> None:
+    def backward(self, p: dict, steps: tuple, x: np.ndarray, dout: np.ndarray, grad: dict) -> None:
         """Truncated at the window: nothing flows into the state before it."""
-        H = self.hidden
-        dh = np.zeros_like(dout[0])
-        pushed = np.empty((len(steps), len(dh), 3 * H), dtype=np.float32)
-        for t in range(len(steps) - 1, -1, -1):
-            h, z, r, n, g, live = steps[t]
-            dh = dh + dout[t]
-            dn = dh * (1 - z) * (1 - n * n)
-            da = pushed[t]
-            da[:, :H] = dh * (h - n) * z * (1 - z)
-            da[:, H : 2 * H] = dn * g * r * (1 - r)
-            da[:, 2 * H :] = dn
-            dg = da.copy()
-            dg[:, 2 * H :] *= r
-            grad["W"] += h.T @ dg
-            dh = (dh * z + dg @ p["W"].T) * live[:, None]
+        H, (T, L) = self.hidden, x.shape
+        before, gates, n, g, live = steps
+        z, r = gates[:, :, :H], gates[:, :, H:]
+        new = (1 - z) * (1 - n * n)
+        # What a step's state does to the gates' inputs, as factors of its gradient.
+        factors = np.stack([(before - n) * z * (1 - z), new * g * r * (1 - r), new * r], axis=2)
+        pushed, states = np.empty((T, L, 3, H), dtype=np.float32), np.empty((T, L, H), dtype=np.float32)
+        back, keep = np.ascontiguousarray(p["W"].T), z * live[:, :, None]
+        ends = ~live.all(axis=1)
+        dh = np.zeros((L, H), dtype=np.float32)
+        for t in range(T - 1, -1, -1):
+            state = np.add(dh, dout[t], out=states[t])
+            np.multiply(factors[t], state[:, None, :], out=pushed[t])
+            dh = pushed[t].reshape(L, 3 * H) @ back
+            if ends[t]:
+                dh *= live[t][:, None]
+            dh += state * keep[t]
+        grad["W"] += before.reshape(-1, H).T @ pushed.reshape(-1, 3 * H)
+        pushed[:, :, 2] = states * new
         ids = x.ravel()
         order = np.argsort(ids, kind="stable")
         starts = np.flatnonzero(np.diff(ids[order], prepend=-1))
@@ -258,25 +267,33 @@ class Trainer:
     def __init__(self, net: Network, rate: float = RATE):
         self.net, self.rate, self.steps = net, rate, 0
         self.enough, self.pending = 1, 0
+        self.held: list[tuple] = []  # windows of the next step
         self.grad = np.zeros_like(net.flat)
         self.m, self.v = np.zeros_like(net.flat), np.zeros_like(net.flat)
 
     def window(self, h, x, y, first, valid) -> np.ndarray:
+        out, kept = self.net.forward(self.net.views(self.net.flat), h, x, first, keep=True)
+        self.held.append((*kept, x, y, valid, out))
+        self.pending += int(valid.sum())
+        if self.pending >= self.enough:
+            self.step()
+        return out[-1]
+
+    def gradients(self) -> None:
+        """Of all windows held, as lanes side by side: nothing flows from one into another."""
         net, p, g = self.net, self.net.views(self.net.flat), self.net.views(self.grad)
-        out, kept = net.forward(p, h, x, first, keep=True)
+        *kept, x, y, valid, out = (np.concatenate(part, axis=1) if len(part) > 1 else part[0] for part in zip(*self.held))
         pick = np.flatnonzero(valid.ravel())
         _, dh = net.output(p, out.reshape(-1, net.hidden)[pick], y.ravel()[pick], g)
         dout = np.zeros((valid.size, net.hidden), dtype=np.float32)
         dout[pick] = dh
-        net.backward(p, kept, x, dout.reshape(out.shape), g)
-        self.pending += len(pick)
-        if self.pending >= self.enough:
-            self.step()
-        return out[-1]
+        net.backward(p, tuple(kept), x, dout.reshape(out.shape), g)
+        self.held = []
 
     def step(self) -> None:
         if not self.pending:
             return
+        self.gradients()
         self.steps += 1
         scale = 1.0 / self.pending
         self.m += 0.1 * (self.grad * scale - self.m)

@@ -555,3 +555,14 @@ def test_a_word_with_a_final_mark_is_taken_from_the_remembered_word(monkeypatch)
     monkeypatch.setattr(enc.automaton, "encode", lambda text, size: tried.append(text) or encode(text, size))
     both = [b"".join(m[0] for m in enc.parts(t)) for t in ("remembering,", "remembering ,")]
     assert both[0] == both[1] and len(tried) <= 2 and not any(t.startswith("rem") for t in tried)
+
+
+def test_windows_of_few_lanes_share_their_way_back(monkeypatch):
+    vocab = language_model.Vocabulary({b"a": 5, b"b": 3}, 8, 2, np.ones(4), np.ones(4), [language_model.END, b"a", b"b"])
+    net = language_model.Network(vocab)
+    texts = [np.array([1, 2, 0], dtype=np.int32)] * 40 + [np.tile(np.array([1, 2], dtype=np.int32), 400)]
+    trainer, calls, back = language_model.Trainer(net), [], language_model.Network.backward
+    monkeypatch.setattr(language_model.Network, "backward", lambda *args: calls.append(1) or back(*args))
+    language_model._run(net, texts, trainer)
+    assert 1 < len(calls) == trainer.steps < 800 // language_model.WINDOW
+    assert not trainer.held and np.isfinite(net.flat).all()

@@ -6,6 +6,7 @@ import heapq
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -27,7 +28,7 @@ SCORE_LANES = 192
 SCORE_WINDOW = 64  # steps whose outputs are worked out together
 RATE = 0.01
 COUNT_ENTRIES = 500_000  # distinct words a task holds before it passes their counts on
-BUFFER_TOKENS = 1_500_000  # tokens a task holds to fill its lanes evenly
+BUFFER_TOKENS = 4_000_000  # ids a task holds to fill its lanes evenly: however many, it goes on as long as its longest text
 TAILS = 4  # classes of all other words: by a non-ASCII byte and by final punctuation
 _PUNCTUATION = tuple(b".,;:!?")
 
@@ -356,8 +357,10 @@ def _run(net: Network, texts: list[np.ndarray], trainer: Trainer | None) -> np.n
 
 
 def _ids(words: list[bytes], vocab: Vocabulary) -> np.ndarray:
-    get, base = vocab.ids.get, vocab.size
-    return np.array([i if (i := get(w, -1)) >= 0 else base + tail_class(w) for w in words], dtype=np.int32)
+    ids = np.fromiter(map(vocab.ids.get, words, repeat(-1)), dtype=np.int32, count=len(words))
+    for i in np.flatnonzero(ids < 0).tolist():
+        ids[i] = vocab.size + tail_class(words[i])
+    return ids
 
 
 def train(docs: DataFrame, vocab: Vocabulary, rounds: int = 2, seed: int = 7) -> np.ndarray:
@@ -433,36 +436,39 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         params, voc = shared.value
         net = Network(voc)
         net.flat[:] = params
-        local = {w: np.log10(n + 1.0) for w, n in voc.counts.items()}
+        # Each word is looked up once; the last place stands for the words that are not among the known.
+        place = {w: k for k, w in enumerate(voc.counts)}.get
+        known_ids = np.array([*map(voc.ids.get, voc.counts), 0], dtype=np.int32)
+        known_logs = np.append(np.log10(np.array(list(voc.counts.values()), dtype=np.float64) + 1.0), 0.0)
         serial = TaskContext.get().partitionId() << 33
         held: list = []
         size = 0
 
+        def counted(words):
+            """(ids, number of known words, their smoothed logs, those of tail words within their classes, all others)"""
+            at = np.fromiter(map(place, words, repeat(-1)), dtype=np.int64, count=len(words))
+            ids, value = known_ids[at], known_logs[at]
+            others = np.flatnonzero(at < 0)
+            rare = [words[i] for i in others]
+            ids[others] = _ids(rare, voc)
+            tail = ids - voc.size
+            inner = (value[tail >= 0] - tail_log[tail[tail >= 0]]).sum()
+            return ids, len(words) - len(rare), float(value.sum() - len(words) * denominator), inner, Counter(rare)
+
         def emit():
             nonlocal held, size, serial
             logs = _run(net, [h[2] for h in held], None) / np.log(10.0)
-            n, known, base, model = [], [], [], []
+            model = [float(log + h[5]) for h, log in zip(held, logs)]
             rare_words, rare_n, cuts = [], [], [0]
-            for (_, words, ids, _), log in zip(held, logs):
-                here = [local.get(w, -1.0) for w in words]
-                value = np.array(here)
-                seen = value >= 0
-                value[~seen] = 0.0
-                tail = ids - voc.size
-                inner = (value[tail >= 0] - tail_log[tail[tail >= 0]]).sum()
-                n.append(len(words))
-                known.append(int(seen.sum()))
-                base.append(float(value.sum() - len(words) * denominator))
-                model.append(float(log + inner))
-                rare = Counter([words[i] for i in np.flatnonzero(~seen)])
+            for *_, rare in held:
                 rare_words += rare.keys()
                 rare_n += rare.values()
                 cuts.append(len(rare_words))
             count = len(held)
             made = pa.RecordBatch.from_arrays(
-                [pa.array(range(serial, serial + count), pa.int64()), pa.array([h[0] for h in held], id_type), pa.array([h[3] for h in held], pa.bool_()),
-                 pa.array(n, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(model, pa.float64()),
-                 
+                [pa.array(range(serial, serial + count), pa.int64()), pa.array([h[0] for h in held], id_type), pa.array([h[1] for h in held], pa.bool_()),
+                 pa.array([len(h[2]) for h in held], pa.int64()), pa.array([h[3] for h in held], pa.int64()), pa.array([h[4] for h in held], pa.float64()),
+                 pa.array(model, pa.float64()),
                  pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.StructArray.from_arrays([pa.array(rare_words, pa.binary()), pa.array(rare_n, pa.int64())], names=["word", "n"]))],
                 names=["serial", "id", "held_out", "n_tokens", "n_known", "base", "model", "rare"],
             )
@@ -473,9 +479,8 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         for batch in batches:
             id_type = batch.schema.field(0).type
             for doc, text, out in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()), batch.column(2).to_pylist()):
-                words = tokens(text.as_py())
-                held.append((doc, words, _ids(words, voc), out))
-                size += len(words)
+                held.append((doc, out, *counted(tokens(text.as_py()))))
+                size += len(held[-1][2])
                 if size >= BUFFER_TOKENS:
                     yield emit()
         if held:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
@@ -19,6 +20,7 @@ ANCHOR = 100  # bytes of the string that names a passage's group
 SEED = 16  # length of the strings that the search starts from
 BATCH = 1 << 20  # most bytes of one transform of contexts, whose length is 300 at most, unless an anchor has more
 HOT = 8192  # different contexts of an anchor beyond which its windows are counted one by one
+FILTER_BITS = 1 << 28  # at most, of the texts that the search of contexts asks for
 _END = 0xFF  # never a byte of UTF-8, and last in order
 _POSITION = np.uint64(34)  # bits of a position in a text
 
@@ -317,6 +319,29 @@ def _count_windows(contexts: DataFrame) -> DataFrame:
     return windows.where("alone").join(often, "name", "left_semi").select("serial", "start", F.lit(0).cast("long").alias("run"))
 
 
+def _asked(texts: DataFrame, asked: DataFrame) -> DataFrame:
+    """The texts whose serial is in ``asked``, and a few more, found without a shuffle of the texts.
+
+    The tasks hold the hashes of the serials as bits, 8 or more a serial as long as FILTER_BITS are enough.
+    """
+    spark = texts.sparkSession
+    number = asked.agg(F.approx_count_distinct("serial")).first()[0]
+    size = min(FILTER_BITS, max(1 << 15, 1 << (12 * number).bit_length()))
+    place = F.pmod(F.xxhash64("serial"), F.lit(size))
+    blocks = asked.select(place.alias("place")).groupBy(F.expr("place div 32768").alias("block")).agg(F.expr("bitmap_construct_agg(place % 32768)").alias("bits"))
+    bits = np.zeros(size >> 3, dtype=np.uint8)
+    for row in blocks.toLocalIterator():
+        bits[row["block"] * 4096 : row["block"] * 4096 + 4096] = np.frombuffer(row["bits"], dtype=np.uint8)
+    shared = spark.sparkContext.broadcast(bits)  # bounded by FILTER_BITS
+
+    @F.pandas_udf("boolean")
+    def found(place: pd.Series) -> pd.Series:
+        at = place.to_numpy()
+        return pd.Series((shared.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0)
+
+    return texts.where(found(place))
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
     """Per document: id, n_bytes, n_removed, n_spans, kept_sha256; with ``keep_text`` also kept_text,
     and the columns named in ``carry``.
@@ -372,7 +397,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary())
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=["anchor", "serial", "start", "run", "alone", "bytes"])
 
-    contexts = texts.select("serial", "packed").join(wanted, "serial").mapInArrow(tidy(cut), "anchor long, serial long, start long, run long, alone boolean, bytes binary")
+    contexts = _asked(texts.select("serial", "packed"), singles.select("serial")).join(wanted, "serial").mapInArrow(tidy(cut), "anchor long, serial long, start long, run long, alone boolean, bytes binary")
     hot = stored(singles.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > HOT).select("anchor"))
     ranges = _whole(decided)
     if hot.isEmpty():

@@ -566,3 +566,52 @@ def test_windows_of_few_lanes_share_their_way_back(monkeypatch):
     language_model._run(net, texts, trainer)
     assert 1 < len(calls) == trainer.steps < 800 // language_model.WINDOW
     assert not trainer.held and np.isfinite(net.flat).all()
+
+
+def test_trigrams_travel_in_fewer_bytes_than_their_words():
+    rng = np.random.default_rng(5)
+    words = rng.integers(0, 2**48, 3_000, dtype=np.uint64)
+    grams, n = words[rng.integers(0, 3_000, (3, 20_000))], rng.integers(1, 400, 20_000)
+    blobs = [quality._packed(grams[:, :15_000], n[:15_000]), quality._packed(grams[:, 15_000:], n[15_000:])]
+    assert sum(map(len, blobs)) < 11 * 20_000
+    back, often = quality._unpacked(blobs)
+    assert (back == grams).all() and (often == n).all()
+    one, single = quality._unpacked([quality._packed(grams[:, :1], np.array([70_000]))])
+    assert one.tolist() == grams[:, :1].tolist() and single.tolist() == [70_000]
+
+
+def test_a_stretch_of_texts_is_sent_together(shipped, monkeypatch):
+    """Trigrams of many small texts weigh once a stretch, and short stretches give the same counts."""
+    texts = shipped.createDataFrame([("a b c d a b c",)] * 50 + [("x y z",)], "text string").coalesce(1)
+    whole = sorted(map(tuple, quality.counts(texts, 3, 1).where("kind > 1").collect()))
+    assert all(r[5] == 0 for r in whole if r[0] == 3) and all(r[2] == r[3] == 0 for r in quality.counts(texts, 3, 1).where("kind = 1").collect())
+    monkeypatch.setattr(quality, "STRETCH", 1)
+    monkeypatch.setattr(quality, "text_chunks", lambda array: common.text_chunks(array, 10))
+    assert sorted(map(tuple, quality.counts(texts, 3, 1).where("kind > 1").collect())) == whole
+
+
+def test_only_texts_with_contexts_to_search_are_shuffled(shipped):
+    texts = shipped.range(5_000).selectExpr("id * 7919 AS serial", "binary('x') AS packed")
+    asked = texts.where("serial % 50 = 0").select("serial")
+    got = {r.serial for r in repeats._asked(texts, asked.union(asked)).collect()}
+    want = {r.serial for r in asked.collect()}
+    assert want <= got and len(got) < 1_500
+    assert repeats._asked(texts, asked.where("false")).count() == 0
+
+
+def test_scoring_holds_ids_and_looks_a_word_up_once(shipped, monkeypatch):
+    """A flush a text and one flush for all give the same rows; lanes are filled from millions of ids at a time."""
+    assert language_model.BUFFER_TOKENS >= 4_000_000
+    rows = [(i, " ".join(["common"] * (i % 5) + [f"rare{i}", "Common."])) for i in range(40)] + [(40, None), (41, ""), (None, "never \u00e9t\u00e9")]
+    frame = shipped.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    counts = language_model.stored(language_model.word_counts(frame.where("doc_id < 20")))
+    vocab = language_model.vocabulary(counts, known_words=3)
+    assert language_model._ids([b"common", b"unseen", b"unseen.", b"\xc3\xa9"], vocab).tolist() == [vocab.ids[b"common"], vocab.size, vocab.size + 1, vocab.size + 2]
+    monkeypatch.setattr(language_model, "train", lambda docs, voc: language_model.Network(voc).flat)
+    whole = collect(language_model.score(frame))
+    monkeypatch.setattr(language_model, "BUFFER_TOKENS", 1)
+    by_text = collect(language_model.score(frame))
+    key = lambda r: (r["doc_id"] is None, r["doc_id"])
+    for a, b in zip(sorted(whole, key=key), sorted(by_text, key=key)):
+        assert [a[c] for c in ("doc_id", "n_tokens", "n_known", "train_tokens", "base_score")] == [b[c] for c in ("doc_id", "n_tokens", "n_known", "train_tokens", "base_score")]
+        assert a["score"] == pytest.approx(b["score"], rel=1e-5)

@@ -615,3 +615,72 @@ def test_scoring_holds_ids_and_looks_a_word_up_once(shipped, monkeypatch):
     for a, b in zip(sorted(whole, key=key), sorted(by_text, key=key)):
         assert [a[c] for c in ("doc_id", "n_tokens", "n_known", "train_tokens", "base_score")] == [b[c] for c in ("doc_id", "n_tokens", "n_known", "train_tokens", "base_score")]
         assert a["score"] == pytest.approx(b["score"], rel=1e-5)
+
+
+def recounted(texts):
+    """Probability of a word after two others, by a plain recount of all n-grams."""
+    c3 = Counter(g for t in texts for w in [["<b>", "<b>", *t.split(), "<e>"]] for g in zip(w, w[1:], w[2:]))
+    c2 = Counter((v, w) for _, v, w in c3)
+    c1 = Counter(w for _, w in c2)
+
+    def discounts(counts):
+        n = [sum(x == k for x in counts.values()) for k in range(5)]
+        y = n[1] / (n[1] + 2 * n[2]) if n[1] else 0.0
+        return [0.0] + [min(k, max(0.0, k - (k + 1) * y * n[k + 1] / n[k])) if n[k] else 0.5 * k for k in (1, 2, 3)]
+
+    d1, d2, d3 = (discounts(c) for c in (c1, c2, c3))
+    total, left = Counter(), Counter()
+    for counts, d in ((c3, d3), (c2, d2)):
+        for gram, n in counts.items():
+            total[gram[:-1]] += n
+            left[gram[:-1]] += d[min(n, 3)]
+    spare = sum(d1[min(n, 3)] for n in c1.values()) / len(c2)
+
+    def p(u, v, w):
+        found = (c1[w] - d1[min(c1[w], 3)]) / len(c2) + spare / (len(c1) + 1)
+        for counts, d, context in ((c2, d2, (v,)), (c3, d3, (u, v))):
+            if total[context]:
+                n = counts[(*context, w)]
+                found = (n - d[min(n, 3)] + left[context] * found) / total[context]
+        return found
+
+    return p
+
+
+def test_every_n_gram_of_much_text_counts(shipped, monkeypatch):
+    """Over 8 MB of trusted text, texts are scored as a recount of all n-grams says, of those seen once as well."""
+    rng = random.Random(12)
+    vocabulary = [f"w{i}" + "x" * 230 for i in range(2_000)]
+    texts = [" ".join(rng.choices(vocabulary, weights=range(1, 2_001), k=100)) for _ in range(400)]
+    monkeypatch.setattr(quality, "STRETCH", 3_000)
+    model = quality.fit(shipped.createDataFrame([(t,) for t in texts], "text string"))
+    asked = [*enumerate(texts[:20]), (0, texts[30]), (None, texts[31]), (50, " ".join(rng.choices(vocabulary, k=60))), (51, "unseen " * 5), (52, ""), (53, None), (54, " \n")]
+    frame = shipped.createDataFrame([(i, t, k) for k, (i, t) in enumerate(asked)], "doc_id long, text string, k long")
+    got = {r["k"]: r for r in collect(quality.perplexities(frame.withColumn("lang", F.lit(None)), model, carry=("k",)))}
+    p = recounted(texts)
+    assert len(got) == len(asked)
+    for k, (i, text) in enumerate(asked):
+        w = ["<b>", "<b>", *(text or "").split(), "<e>"]
+        assert (got[k]["doc_id"], got[k]["lang"], got[k]["n_tokens"]) == (i, "", len(w) - 2)
+        assert got[k]["log10_prob"] == pytest.approx(sum(math.log10(p(*g)) for g in zip(w, w[1:], w[2:])), rel=1e-6)
+
+
+def test_shards_score_as_the_model_that_tasks_hold(shipped, rows, monkeypatch):
+    docs = shipped.createDataFrame([(i, t, "a" if (i or 0) % 2 else None) for i, t in rows], "doc_id long, text string, lang string").withColumn("blob", F.lit(1))
+    texts = docs.where("doc_id < 300 AND text <> ''")
+    held = collect(quality.perplexities(docs, quality.fit(texts)))
+    for name, value in {"SMALL_BYTES": 0, "SHARD_BYTES": 1_500, "BUCKET_BYTES": 3_000, "STRETCH": 400, "SLICE_BYTES": 5_000, "BLOB_KEYS": 100}.items():
+        monkeypatch.setattr(quality, name, value)
+    model = quality.fit(texts)
+    assert isinstance(model, quality.Shards) and model.shards > 1
+    order = lambda r: (str(r["doc_id"]), r["n_tokens"], r["lang"], r["perplexity"])
+    for a, b in zip(sorted(held, key=order), sorted(collect(quality.perplexities(docs, model)), key=order), strict=True):
+        assert all(a[c] == (b[c] if c not in ("log10_prob", "perplexity") else pytest.approx(b[c], rel=1e-5)) for c in a)
+
+
+def test_a_passing_table_is_removed(shipped):
+    with common.passing(shipped.range(5)) as table:
+        files = table.inputFiles()
+        assert table.count() == 5
+    with pytest.raises(Exception, match="(?i)path|file"):
+        shipped.read.parquet(files[0].rpartition("/")[0]).count()

@@ -162,3 +162,21 @@ def test_stages_of_nothing(spark, sf_dir):
         docs = stage(spark, docs, sf_dir)
         assert docs.collect() == []
         docs = common.stored(docs)
+
+
+def test_the_quality_stage_counts_every_n_gram_of_much_text(spark, tmp_path, monkeypatch):
+    """Over 8 MB of trusted text no n-gram is left out of the stage's model, and every row is judged once."""
+    rng = random.Random(13)
+    vocabulary = [f"w{i}" + "x" * 230 for i in range(500)]
+    rows = [(i, " ".join(rng.choices(vocabulary, k=100)), "en") for i in range(600)]
+    rows += [(None, rows[7][1], None), (3, "", "en"), (3, None, "en"), (9_000, " ".join(f"Q{rng.random()}" for _ in range(99)), "en")]
+    folder = str(tmp_path)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").select("*", F.lit("s").alias("source"), F.char_length("text").cast("long").alias("n_chars"))
+    spark.createDataFrame([(i, 1, 0) for i in range(600)], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    models, fit = [], corpus_pipeline.quality.fit
+    monkeypatch.setattr(corpus_pipeline.quality, "fit", lambda texts: models.append(fit(texts)) or models[0])
+    kept = corpus_pipeline.reject_poor(spark, docs, folder).collect()
+    assert Counter(r["doc_id"] for r in kept) == Counter(i for i, *_ in rows if i != 9_000)
+    counted = {r.doc_id for r in docs.where("doc_id < 600 AND pmod(xxhash64(doc_id), 4) <> 0 AND text <> ''").collect()}
+    words = [["<b>", *t.split(), "<e>"] for i, t, _ in rows if i in counted and t]
+    assert models[0].pairs == len({p for w in words for p in zip(w, w[1:])})

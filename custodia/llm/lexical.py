@@ -11,13 +11,14 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from custodia.llm.common import stored, tidy
+from custodia.llm.common import pack, steps, stored, tidy, unpack
 
 K = 50
-SEGMENT_POSTINGS = 1 << 19  # postings of one segment of the index; a document is never cut
+SEGMENT_POSTINGS = 1 << 17  # postings of one segment of the index; a document is never cut
 BLOCK_PAIRS = 50_000  # (item, term) pairs that are searched for together
 FIRST_VISIT = 256  # documents of the first strata visited; each further visit takes twice as many
 
@@ -49,7 +50,8 @@ class Index:
 
     A segment holds its documents in order of m, the strata (m and first document of each), and for each
     term its runs: the documents of one stratum in which the term occurs equally often, in order of
-    stratum and occurrences.
+    stratum and occurrences. All but the ids is packed, as rows pass through the JVM several times, which
+    holds a file's rows at once.
     """
 
     segments: DataFrame
@@ -104,19 +106,23 @@ class _Builder:
         new[1:] = (term[1:] != term[:-1]) | (stratum[1:] != stratum[:-1]) | (tf[1:] != tf[:-1])
         begin = np.flatnonzero(new)
         size = len(self.vocabulary)
+        runs_of = np.searchsorted(term[begin], np.arange(size + 1))
+        run_begin = np.append(begin, len(doc))
         columns = [
-            pa.array([[t.decode() for t in self.vocabulary]], pa.list_(pa.string())),
-            np.bincount(term, minlength=size).astype("<i4"),
-            np.searchsorted(term[begin], np.arange(size + 1)).astype("<i4"),
+            pa.array([zstandard.ZstdCompressor(level=1).compress(b" ".join(self.vocabulary))], pa.binary()),  # no term has a space
+            pa.array([pack(np.bincount(term, minlength=size))], pa.binary()),
             pa.array([[self.ids[i] for i in by_m]], pa.list_(self.id_type)),
-            strata.astype("<i8"), np.append(first, len(m)).astype("<i4"), stratum[begin].astype("<i4"), tf[begin].astype("<i8"),
-            np.append(begin, len(doc)).astype("<i4"), doc.astype("<i4"),
-        ]
+            pa.array([pack(strata, *(steps(x) for x in (np.append(first, len(m)), runs_of, run_begin)), stratum[begin], tf[begin], doc)], pa.binary()),
+        ]
         self.clear()
-        return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array([c.tobytes()], pa.binary()) for c in columns], names=_COLUMNS)
+        return pa.RecordBatch.from_arrays(columns, names=_COLUMNS)
 
 
-_COLUMNS = ["terms", "df", "runs_of", "docs", "m", "first", "run_stratum", "run_tf", "run_begin", "posts"]
+def _terms_of(segment: pa.Scalar) -> pa.Array:
+    return pa.array(zstandard.ZstdDecompressor().decompress(segment.as_py()).split(b" "), pa.binary())
+
+
+_COLUMNS = ["terms", "df", "docs", "runs"]
 
 
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Index:
@@ -144,7 +150,7 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         if made and made.ids:
             yield made.segment()
 
-    schema = f"terms array<string>, df binary, runs_of binary, docs array<{kind}>, " + ", ".join(f"{c} binary" for c in _COLUMNS[4:])
+    schema = f"terms binary, df binary, docs array<{kind}>, runs binary"
     return Index(stored(rows.mapInArrow(tidy(run), schema)), n, words)
 
 
@@ -164,34 +170,32 @@ class Searcher:
 
     def __init__(self, items: list, words: list[str], weights: list[int], pairs: tuple[np.ndarray, np.ndarray], k: int):
         self.items, self.k = items, k
-        self.words, self.weights = pa.array(words, pa.string()), np.array(weights, dtype=np.int64)
+        self.words, self.weights = pa.array(words, pa.string()).cast(pa.binary()), np.array(weights, dtype=np.int64)
         order = np.argsort(pairs[0], kind="stable")
         self.of_item = np.split(pairs[1][order], np.searchsorted(pairs[0][order], np.arange(1, len(items))))
         self.best: list[list[tuple]] = [[] for _ in items]
 
     def visit(self, row: dict) -> None:
-        read = lambda name, kind: np.frombuffer(row[name].as_py(), dtype=kind)
-        terms_here = row["terms"].values
-        local = pc.index_in(self.words, value_set=terms_here)
+        local = pc.index_in(self.words, value_set=_terms_of(row["terms"]))
         at = pc.fill_null(local, -1).to_numpy(zero_copy_only=False).astype(np.int64)
         here = at >= 0
         if not here.any():
             return
-        m, first, runs_of = read("m", "<i8"), read("first", "<i4").astype(np.int64), read("runs_of", "<i4").astype(np.int64)
+        m, first, runs_of, begin, stratum, tf, posts = unpack(row["runs"].as_py())
+        m, first, runs_of, begin = m.astype(np.int64), *(np.cumsum(x, dtype=np.int64) for x in (first, runs_of, begin))
         low, high = np.where(here, runs_of[at], 0), np.where(here, runs_of[at + 1], 0)
         # Runs of all wanted terms, and where those of each term lie among them.
         runs = _ranges(low, high)
         to = np.cumsum(high - low)
         since = to - (high - low)
-        stratum, tf = read("run_stratum", "<i4")[runs].astype(np.int64), read("run_tf", "<i8")[runs]
-        begin = read("run_begin", "<i4").astype(np.int64)
+        stratum, tf = stratum[runs].astype(np.int64), tf[runs].astype(np.int64)
         begin, end = begin[runs], begin[runs + 1]
         score = impact(tf, m[stratum]) * np.repeat(self.weights, high - low)
         # The last run of a term in a stratum has most occurrences, so the largest impact.
         last = np.ones(len(runs), dtype=bool)
         last[:-1] = stratum[1:] != stratum[:-1]
         last[to[here] - 1] = True
-        posts, sizes = read("posts", "<i4"), np.diff(first)
+        sizes = np.diff(first)
         docs = row["docs"].values
         for item, wanted in enumerate(self.of_item):
             wanted = wanted[here[wanted]]
@@ -269,14 +273,14 @@ def search(index: Index, queries: DataFrame, k: int = K, id_col: str = "item_id"
         sent = spark.sparkContext.broadcast(words)
 
         def count(batches, sent=sent):
-            wanted = pa.array(sent.value, pa.string())
+            wanted = pa.array(sent.value, pa.string()).cast(pa.binary())
             total = np.zeros(len(wanted), dtype=np.int64)
             for batch in batches:
                 for at in range(batch.num_rows):
-                    found = pc.index_in(wanted, value_set=batch.column(0)[at].values)
+                    found = pc.index_in(wanted, value_set=_terms_of(batch.column(0)[at]))
                     place = pc.fill_null(found, -1).to_numpy(zero_copy_only=False)
-                    df = np.frombuffer(batch.column(1)[at].as_py(), dtype="<i4")
-                    total += np.where(place >= 0, df[place], 0)
+                    df = unpack(batch.column(1)[at].as_py())[0]
+                    total += np.where(place >= 0, df[place], 0).astype(np.int64)
             held = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(total[held])], names=["term", "df"])
 

@@ -261,3 +261,28 @@ def test_search_of_nothing(shipped):
     assert lexical.search(lexical.build_index(docs), none).collect() == []
     assert lexical.search(lexical.build_index(docs.where("false")), asked).collect() == []
     assert [r["doc_id"] for r in lexical.search(lexical.build_index(docs), asked).collect()] == [1]
+
+
+def test_a_segment_is_a_small_row():
+    """The JVM holds several rows of the index at once, so that a segment of megabytes ends executors on large inputs."""
+    import pyarrow as pa
+
+    rng = random.Random(14)
+    vocabulary = [f"term{i}" for i in range(20_000)]
+    docs = [" ".join(rng.choices(vocabulary, k=80)).encode() for _ in range(lexical.SEGMENT_POSTINGS // 80)]
+    builder = lexical._Builder(len(docs), 80 * len(docs), pa.int64())
+    for i, text in enumerate(docs):
+        builder.add(i, lexical.terms(text))
+    postings = len(builder.term)
+    segment = builder.segment()
+    assert segment.nbytes < min(8 * postings, 2 << 20)
+    search = lexical.Searcher([7], ["term5"], [1_000], (np.array([0]), np.array([0])), 10**6)
+    search.visit({c: segment.column(c)[0] for c in segment.schema.names})
+    assert {d for _, d, _ in search.rows()} == {i for i, t in enumerate(docs) if b"term5" in t.split()}
+
+
+def test_numbers_come_back_packed():
+    arrays = [np.array(x, dtype=np.int64) for x in ([], [0, 0], [255, 256], [3, 70_000], [2**56, 1], [2**63 - 1])]
+    assert [x.tolist() for x in common.unpack(common.pack(*arrays))] == [x.tolist() for x in arrays]
+    rising = np.array([4, 4, 2**55], dtype=np.uint64)
+    assert np.cumsum(common.unpack(common.pack(common.steps(rising)))[0], dtype=np.uint64).tolist() == rising.tolist()
